@@ -175,7 +175,9 @@ def runs(flags: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> list[tupl
     return list(zip(piece[cut].tolist(), off[cut].tolist(), (off[last] + 1).tolist(), strict=True))
 
 
-SPANS = "k long, n int, first int, last int, h long, d1 long, d2 long, shard int, need boolean"
+SPANS = "k long, n int, first int, last int, h long, part int, shard int, run binary"
+RUN = np.dtype([("d1", "<i8"), ("d2", "<i8"), ("k", "<i8"), ("n", "<i4"), ("first", "<i4"), ("need", "?")])
+PART = 50_000  # windows of one digest range, about
 
 
 def shard_spans(g: pd.DataFrame, window: int = WINDOW) -> pd.DataFrame:
@@ -198,37 +200,43 @@ def shard_spans(g: pd.DataFrame, window: int = WINDOW) -> pd.DataFrame:
     repeats[sa[pair - 1]] = True
     multi, salted = g["multi"].to_numpy(), g["salted"].to_numpy()
     k, n, s = g["k"].tolist(), g["n"].tolist(), g["start"].tolist()
-    out = [(k[p], n[p], s[p] + x, s[p] + y + window - 1, None, None, None, 0, False) for p, x, y in runs(repeats, starts, counts) if not multi[p]]
+    out = [(k[p], n[p], s[p] + x, s[p] + y + window - 1, None, None, None, None) for p, x, y in runs(repeats, starts, counts) if not multi[p]]
     if salted.any():
-        piece = np.repeat(np.arange(len(starts)), counts)
         owner = np.zeros(len(a), np.int64)
-        owner[place] = piece
+        owner[place] = np.repeat(np.arange(len(starts)), counts)
         leaders = sa[(shared < window) & salted[owner[sa]]]
-        d1, d2 = (_grams(a, window, m).view(np.int64)[leaders] for m in (_M, np.uint64(0xD6E8FEB86659FD93)))
         own = owner[leaders]
-        need = ~repeats[leaders] & ~multi[own]
-        hs, sh = g["h"].tolist(), g["shard"].tolist()
-        for q, at, x, y, z in zip(own.tolist(), (leaders - starts[own]).tolist(), d1.tolist(), d2.tolist(), need.tolist(), strict=True):
-            out.append((k[q], n[q], s[q] + at, s[q] + at + window, hs[q], x, y, sh[q], z))
-    return pd.DataFrame(out, columns=[x.split()[0] for x in SPANS.split(", ")], dtype=object).astype({c: "Int64" for c in ("k", "n", "first", "last", "h", "d1", "d2", "shard")} | {"need": bool})
-
-
-def merged(g: pd.DataFrame) -> pd.DataFrame:
-    """The windows of one digest range that another shard has too: each shard's sorted run is searched in the others'."""
-    g = g.sort_values(["d1", "d2"], ignore_index=True)
-    d1, d2, shard, need = (g[c].to_numpy() for c in ("d1", "d2", "shard", "need"))
-    hit = np.zeros(len(g), bool)
-    own = {s: np.flatnonzero(shard == s) for s in np.unique(shard)}
-    d1 = d1.astype(np.int64)
-    for s, mine in own.items():
-        others = np.flatnonzero(shard != s)
-        mine = mine[need[mine]]
-        if not len(others) or not len(mine):
-            continue
-        lo, hi = np.searchsorted(d1[others], d1[mine], "left"), np.searchsorted(d1[others], d1[mine], "right")
-        for m, x, y in zip(mine[lo < hi], lo[lo < hi], hi[lo < hi], strict=True):
-            hit[m] = bool((d2[others[x:y]] == d2[m]).any())
-    return g.loc[hit, ["k", "n", "first", "last"]]
+        run = np.empty(len(leaders), RUN)
+        run["d1"], run["d2"] = (_grams(a, window, m).view(np.int64)[leaders] for m in (_M, np.uint64(0xD6E8FEB86659FD93)))
+        run["k"], run["n"] = g["k"].to_numpy()[own], g["n"].to_numpy()[own]
+        run["first"] = g["start"].to_numpy()[own] + leaders - starts[own]
+        run["need"] = ~repeats[leaders] & ~multi[own]
+        run = run[np.lexsort((run["d2"], run["d1"]))]
+        parts = max(1, int(g["m"].iloc[0]) * 128 // PART)  # the same for all shards of this anchor
+        part = ((run["d1"].view(np.uint64) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+        for x in range(parts):
+            mine = run[part == x]
+            if len(mine):
+                out.append((None, None, None, None, int(g["h"].iloc[0]), x, int(g["shard"].iloc[0]), mine.tobytes()))
+    return pd.DataFrame(out, columns=[x.split()[0] for x in SPANS.split(", ")], dtype=object).astype({c: "Int64" for c in ("k", "n", "first", "last", "h", "part", "shard")})
+
+
+def merged(g: pd.DataFrame, window: int = WINDOW) -> pd.DataFrame:
+    """The windows of one digest range that another shard has too: each shard's sorted run is searched in all others'."""
+    held = [np.frombuffer(b, RUN) for b in g["run"]]
+    out = []
+    for i, mine in enumerate(held):
+        mine = mine[mine["need"]]
+        hit = np.zeros(len(mine), bool)
+        for j, other in enumerate(held):
+            if i == j:
+                continue
+            lo, hi = np.searchsorted(other["d1"], mine["d1"], "left"), np.searchsorted(other["d1"], mine["d1"], "right")
+            for m in np.flatnonzero((lo < hi) & ~hit).tolist():
+                hit[m] = bool((other["d2"][lo[m] : hi[m]] == mine["d2"][m]).any())
+        out.append(mine[hit])
+    found = np.concatenate(out) if out else np.zeros(0, RUN)
+    return pd.DataFrame({"k": found["k"], "n": found["n"], "first": found["first"], "last": found["first"] + window})
 
 
 def covered(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -282,8 +290,7 @@ def covered(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     salt = F.pmod(F.xxhash64("k", "start"), F.ceil(F.col("m") / MOST)).cast("int")
     dealt = pieces.withColumn("salted", F.col("m") > MOST).withColumn("shard", F.when(F.col("salted"), salt).otherwise(0)).withColumn("to", F.when(F.col("salted"), F.xxhash64("h", "shard")).otherwise(F.pmod(F.xxhash64("h"), F.lit(shards))))
     spans = stored(dealt.groupBy("to").applyInPandas(lambda g: shard_spans(g, window), SPANS))
-    digests = spans.where("h is not null").withColumn("part", F.pmod(F.xxhash64("d1"), F.lit(max(1, total // 200))))
-    cross = digests.groupBy("h", "part").applyInPandas(merged, "k long, n int, first int, last int")
+    cross = spans.where("h is not null").select("h", "part", "shard", "run").groupBy("h", "part").applyInPandas(lambda g: merged(g, window), "k long, n int, first int, last int")
     whole = met.where("multi").select("k", "n", "first", (F.col("last") + window - 1).alias("last"))
     every = whole.unionByName(spans.where("h is null").select("k", "n", "first", "last")).unionByName(cross)
     return every.groupBy("k", "n").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
