@@ -222,20 +222,19 @@ def shard_spans(g: pd.DataFrame, window: int = WINDOW) -> pd.DataFrame:
 
 
 def merged(g: pd.DataFrame, window: int = WINDOW) -> pd.DataFrame:
-    """The windows of one digest range that another shard has too: each shard's sorted run is searched in all others'."""
-    held = [np.frombuffer(b, RUN) for b in g["run"]]
-    out = []
-    for i, mine in enumerate(held):
-        mine = mine[mine["need"]]
-        hit = np.zeros(len(mine), bool)
-        for j, other in enumerate(held):
-            if i == j:
-                continue
-            lo, hi = np.searchsorted(other["d1"], mine["d1"], "left"), np.searchsorted(other["d1"], mine["d1"], "right")
-            for m in np.flatnonzero((lo < hi) & ~hit).tolist():
-                hit[m] = bool((other["d2"][lo[m] : hi[m]] == mine["d2"][m]).any())
-        out.append(mine[hit])
-    found = np.concatenate(out) if out else np.zeros(0, RUN)
+    """The windows of one digest range that another shard has too.
+
+    The shards' runs are merged into one; each window asked for is searched in it, and found at
+    least twice if another shard has it, as a shard sends no window twice.
+    """
+    run = np.concatenate([np.frombuffer(b, RUN) for b in g["run"]])
+    run = run[np.lexsort((run["d2"], run["d1"]))]
+    asked = run[run["need"]]
+    lo, hi = np.searchsorted(run["d1"], asked["d1"], "left"), np.searchsorted(run["d1"], asked["d1"], "right")
+    hit = np.zeros(len(asked), bool)
+    for m in np.flatnonzero(hi - lo > 1).tolist():
+        hit[m] = (run["d2"][lo[m] : hi[m]] == asked["d2"][m]).sum() > 1
+    found = asked[hit]
     return pd.DataFrame({"k": found["k"], "n": found["n"], "first": found["first"], "last": found["first"] + window})
 
 
