@@ -39,3 +39,26 @@ def without_collisions(df: DataFrame, column: str, key: str) -> DataFrame:
     tail = F.lpad(F.pmod(F.xxhash64(key), F.lit(1000000)).cast("string"), 6, "0")
     out = df.join(several, column, "left")
     return out.withColumn(column, F.when(F.col("_n").isNotNull(), F.concat(F.expr(f"substring({column}, 1, greatest(0, length({column}) - 6))"), tail)).otherwise(F.col(column))).select(*df.columns)
+
+
+def fully_excluded(columns: DataFrame, exceptions: DataFrame) -> DataFrame:
+    """(owner, table) whose columns are all excluded."""
+    out = exceptions.where("active = 'Y' and action = 'EXCLUDE'").select(*KEY).distinct().withColumn("_hit", F.lit(1))
+    g = columns.join(out, KEY, "left").groupBy("owner", "table").agg(F.count("*").alias("_n"), F.count("_hit").alias("_hits"))
+    return g.where("_n = _hits").select("owner", "table")
+
+
+def synced(target: DataFrame, source: DataFrame, keys: list[str], column: str, value: str, length: int) -> DataFrame:
+    """``column`` takes the matched row's ``value``; the rule is skipped whole if any value is longer than ``length``.
+
+    ``source`` has a row per key; other rows keep their value.
+    """
+    too_long = source.agg(F.max(F.length(value))).first()[0]
+    if too_long is not None and too_long > length:
+        return target
+    s = source.select(*keys, F.col(value).alias("_value"), F.lit(True).alias("_hit"))
+    return target.join(s, keys, "left").withColumn(column, F.when(F.col("_hit"), F.col("_value")).otherwise(F.col(column))).select(*target.columns)
+
+
+def sync_mismatches(target: DataFrame, source: DataFrame, keys: list[str], column: str, value: str) -> int:
+    return target.join(source.select(*keys, F.col(value).alias("_value")), keys).where(~F.col(column).eqNullSafe(F.col("_value"))).count()
