@@ -27,7 +27,7 @@ from opsledger.llm.common import checkpoint, stored, table
 WINDOW = 200
 GRAM = 32
 BLOCK = 1 << 18  # bytes that are hashed at a time, if no document is longer
-PIECES = 2048  # pieces of a shard, on average
+PIECES = 1024  # pieces of a shard, on average
 MOST = 2048  # pieces of one anchor in one shard
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -87,19 +87,19 @@ def suffix_array(a: np.ndarray) -> np.ndarray:
     key = np.zeros(n, np.uint64)
     for k in range(8):
         key = key << np.uint64(8) | padded[k : k + n]
-    sa = np.argsort(key, kind="stable")
-    new = np.concatenate(([True], key[sa[1:]] != key[sa[:-1]]))
-    head = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    rank = np.zeros(n + 1, np.int64)
-    rank[sa] = head + 1  # past the end: 0
+    sa = np.argsort(key, kind="stable").astype(np.int32)  # a shard is far below 2 GB
+    key = key[sa]
+    new = np.concatenate(([True], key[1:] != key[:-1]))
+    del key
+    rank = np.zeros(n + 1, np.int32)
+    rank[sa] = np.maximum.accumulate(np.where(new, np.arange(n, dtype=np.int32), 0)) + 1  # past the end: 0
     depth = 8
     ends = np.concatenate((new[1:], [True]))
     open_ = np.flatnonzero(~(new & ends))
     while len(open_):
         at = sa[open_]
         beyond = rank[np.minimum(at + depth, n)]
-        group = rank[at]
-        both = group * (n + 1) + beyond
+        both = rank[at].astype(np.int64) * (n + 1) + beyond
         order = np.argsort(both, kind="stable")
         both, at = both[order], at[order]
         sa[open_] = at
@@ -124,11 +124,11 @@ def common_prefixes(a: np.ndarray, sa: np.ndarray, starts: np.ndarray, counts: n
     eight = np.zeros(n, np.uint64)
     for k in range(8):
         eight = eight << np.uint64(8) | padded[k : k + n]
-    before = np.full(n + 1, -1, np.int64)
+    before = np.full(n + 1, -1, np.int32)
     before[sa[1:]] = sa[:-1]
     valid = np.zeros(n + 2, bool)
     valid[sa] = True
-    shared = np.zeros(n + 1, np.int64)
+    shared = np.zeros(n + 1, np.int32)
     order = np.argsort(-counts, kind="stable")
     starts, counts = starts[order], counts[order]
     h, was = np.zeros(len(starts), np.int64), np.full(len(starts), -2, np.int64)
@@ -188,7 +188,7 @@ def shard_spans(g: pd.DataFrame, window: int = WINDOW) -> pd.DataFrame:
     a = np.frombuffer(b"\0".join(pieces) + b"\0", np.uint8)
     starts = np.cumsum(lengths + 1) - lengths - 1
     counts = lengths - window + 1
-    place = np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+    place = (np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())).astype(np.int32)
     valid = np.zeros(len(a), bool)
     valid[place] = True
     sa = suffix_array(a)
@@ -202,8 +202,8 @@ def shard_spans(g: pd.DataFrame, window: int = WINDOW) -> pd.DataFrame:
     k, n, s = g["k"].tolist(), g["n"].tolist(), g["start"].tolist()
     out = [(k[p], n[p], s[p] + x, s[p] + y + window - 1, None, None, None, None) for p, x, y in runs(repeats, starts, counts) if not multi[p]]
     if salted.any():
-        owner = np.zeros(len(a), np.int64)
-        owner[place] = np.repeat(np.arange(len(starts)), counts)
+        owner = np.zeros(len(a), np.int32)
+        owner[place] = np.repeat(np.arange(len(starts), dtype=np.int32), counts)
         leaders = sa[(shared < window) & salted[owner[sa]]]
         own = owner[leaders]
         run = np.empty(len(leaders), RUN)
@@ -247,14 +247,15 @@ def covered(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     def find(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
             p = p.drop_duplicates(["k", "n"])
-            ks, ns, texts = p["k"].to_numpy(), p["n"].to_numpy(), [x.encode("utf-8", "surrogatepass") for x in p["text"]]
+            ks, ns, texts = p["k"].to_numpy(), p["n"].to_numpy(), p["text"].tolist()
+            del p
             at = 0
             while at < len(texts):
                 end, size = at, 0
-                while end < len(texts) and (end == at or size + len(texts[end]) <= BLOCK):
-                    size += len(texts[end])
+                while end < len(texts) and (end == at or size + ns[end] <= BLOCK):
+                    size += int(ns[end])
                     end += 1
-                own = texts[at:end]
+                own = [x.encode("utf-8", "surrogatepass") for x in texts[at:end]]
                 t, h, first, last = anchors(own, window)
                 ph = np.fromiter((xxhash.xxh3_64_intdigest(own[i][x : y + window - 1]) for i, x, y in zip(t.tolist(), first.tolist(), last.tolist(), strict=True)), np.uint64, len(t)).view(np.int64)
                 yield pd.DataFrame({"k": ks[at:end][t], "n": ns[at:end][t], "first": first.astype(np.int32), "last": last.astype(np.int32), "h": h, "ph": ph})
@@ -276,7 +277,7 @@ def covered(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 for c in cuts:
                     rows.append((k, n, c["first"], c["h"], c["multi"], c["m"], b[c["first"] : c["last"] + window - 1]))
                     held += 400
-                if held > 16 << 20:
+                if held > 4 << 20:
                     yield pd.DataFrame(rows, columns=["k", "n", "start", "h", "multi", "m", "piece"])
                     rows, held = [], 0
             if rows:
