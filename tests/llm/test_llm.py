@@ -279,6 +279,46 @@ def test_passages_find_shared_windows(docs):
     assert {i for s in seen.values() if len(s) > 1 for i in s} <= got
 
 
+def uncovered(rows, found, least=50):
+    """(id, place) of the windows of ``least`` words that a row with a smaller id has too and that no found passage holds."""
+    first = {}
+    for i, x in sorted(rows):
+        w = (x or "").split()
+        for k in range(len(w) - least + 1):
+            first.setdefault(tuple(w[k : k + least]), i)
+    out = []
+    for i, x in rows:
+        w = (x or "").split()
+        own = [(r["first_word"], r["last_word"]) for r in found if r["doc_id"] == i]
+        out += [(i, k) for k in range(len(w) - least + 1) if first[tuple(w[k : k + least])] != i and not any(a <= k and k + least <= b for a, b in own)]
+    return out
+
+
+def test_passages_whose_seeds_have_other_first_documents(spark):
+    rng = np.random.RandomState(5)
+    fill = lambda n: [f"f{x}" for x in rng.randint(0, 1 << 40, n)]
+    rows, at = [], 100
+    for n in (50, 51, 60, 75, 90):
+        p = [f"p{n}x{i}" for i in range(n)]
+        half = n // 2
+        for part in (p[: half + 4], p[half - 4 :], p, p):
+            rows.append((at, " ".join([*fill(30), *part, *fill(40)])))
+            at += 1
+    cycle = [f"c{i}" for i in range(7)] * 20
+    rows += [(at, " ".join([*fill(9), *cycle])), (at + 1, " ".join([*cycle[3:], *fill(20)]))]
+    found = chaining.shared(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert uncovered(rows, found) == []
+    words = {i: x.split() for i, x in rows}
+    for r in found:
+        assert r["match_doc_id"] < r["doc_id"]
+        if r["similarity"] == 1.0:
+            assert words[r["doc_id"]][r["first_word"] : r["last_word"]] == words[r["match_doc_id"]][r["match_first_word"] : r["match_last_word"]]
+
+
+def test_passages_hold_every_shared_window(docs):
+    assert uncovered(held(docs), chaining.shared(docs).collect()) == []
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
