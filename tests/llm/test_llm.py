@@ -319,6 +319,16 @@ def test_passages_hold_every_shared_window(docs):
     assert uncovered(held(docs), chaining.shared(docs).collect()) == []
 
 
+def test_passages_reach_past_an_edit_beyond_the_last_seed(spark):
+    k, e = 1379, 181  # 34 words of the passage lie beyond its last seed
+    p = [f"t{k}x{i}" for i in range(200)]
+    a = [*(f"a{k}x{i}" for i in range(30)), *p, *(f"b{k}x{i}" for i in range(200))]
+    c = [*(f"c{k}x{i}" for i in range(30)), *p[:e], "edit", *p[e + 1 :], *(f"d{k}x{i}" for i in range(200))]
+    df = spark.createDataFrame([(1, " ".join(a)), (2, " ".join(c))], "doc_id long, text string")
+    got = chaining.shared(df).collect()
+    assert [(r["first_word"], r["last_word"]) for r in got] == [(30, 230)]
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
