@@ -154,7 +154,7 @@ def labels(found: list[tuple[str, int, bool, bool]]) -> list[bool]:
             first.append(None)
         else:
             words = s.lower().split()
-            dense = sum(w.strip(".,;:!?()\"'") in STOP for w in words[:400]) >= DENSE * min(len(words), 400)
+            dense = sum(w.strip(".,;:!?()\"'") in STOP for w in words) >= DENSE * len(words)
             first.append(True if dense else None if inside or not article else False)
     out, n = [], len(first)
     ahead, behind = [n + 1] * n, [n + 1] * n

@@ -246,6 +246,12 @@ def test_main_text(spark):
     assert [(r["text"], r["n_chars"]) for r in extract.extracted(df).orderBy("page_id").collect()] == [("", 0), ("é x", 3)]
 
 
+def test_stop_words_of_a_whole_block_count():
+    names = " ".join(f"Name{i}" for i in range(400))
+    prose = " ".join(["it is the end of the day and all of them are here"] * 60)
+    assert extract.main_text(f"<div><a href=x>{'Home ' * 30}</a></div><div>{names}<br>{prose}</div><div><a href=x>{'More ' * 30}</a></div>") == f"{names} {prose}"
+
+
 def test_pages_are_their_articles(spark):
     import html
 
