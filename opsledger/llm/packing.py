@@ -29,7 +29,7 @@ REMEMBERED = 300_000
 
 
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"  # the file's own pre-tokens
-PLAIN = re.compile("[^\\x01-\\x1b\\x20-\\x7f\\xa1-\\xff]|<\\|")  # not in texts whose words can be told apart without the library
+PLAIN = re.compile("[^\\x01-\\x0a\\x0c-\\x1b\\x20-\\x7f\\xa1-\\xff]|<\\|")  # not in texts whose words can be told apart without the library
 
 
 def segments(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -193,6 +193,15 @@ def test_packing(both):
         assert at <= 2048
 
 
+def test_ids_of_texts_with_control_characters():
+    tokenizer, ids = Tokenizer.from_file(P.path("word_bpe_49k.json")), packing.Ids(P.path("word_bpe_49k.json"))
+    marks = [chr(k) for k in (*range(0x21), *range(0x7F, 0xA1), 0xAD)]
+    texts = [x for c in marks for x in (c, f"one{c}two", f"one {c} two", f"{c}{c}x", f"!{c}?", f"a {c}", f"1{c}'s")]
+    for batch in (texts, *([x] for x in texts)):
+        want = [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(batch, add_special_tokens=False)]
+        assert ids.encode(batch) == want
+
+
 def test_closest_sum():
     rng = np.random.RandomState(3)
     for _ in range(50):
