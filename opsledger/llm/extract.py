@@ -29,37 +29,64 @@ HELD = frozenset("article aside blockquote body center dialog details div dl fie
 BOILER = frozenset("nav aside footer form menu dialog".split())
 VOID = frozenset("br hr img input meta link area base col embed source track wbr".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar".split())
-NAMED = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|adverts?|adsbygoogle|banners?|sponsor\w*|promo\w*|cookies?\w*|consent|gdpr|notices?|alerts?|nav\w*|menus?|breadcrumbs?|sidebars?|footers?|headers?|masthead|topbar|comments?|commentlist|repl(?:y|ies)|disqus|respond|discussion|share\w*|sharing|social\w*|related\w*|recommend\w*|newsletter|subscri\w*|sign-?up|log-?in|popups?|modals?|overlay|widgets?|paginat\w*|pagers?|toolbar|search\w*|skip\w*|copyright|legal|disclaimers?)(?:$|[\s_-])", re.I)
-READERS = re.compile(r"(?:^|[\s_-])(?:comments?|repl(?:y|ies)|teaser|related\w*|promo\w*|ads?)(?:$|[\s_-])", re.I)
+_PLACES = r"(?:site|page|main|top|bottom|left|right|upper|lower|primary|secondary|global|mobile|desktop|sticky|list|items?|area|box|bar|links?|buttons?|btn|icons?|container|wrap(?:per)?|inner|outer|block|section|panel|module|group|row|posts?|articles?|stories|form|text|message|media|[0-9]+)"
+_NAMES = r"(?:ads?|advert[a-z0-9]*|adsbygoogle|banners?|sponsor[a-z0-9]*|promo[a-z0-9]*|cookies?[a-z0-9]*|consent|gdpr|notices?|alerts?|nav[a-z0-9]*|menus?|breadcrumbs?|sidebars?|footers?|headers?|masthead|topbar|comments?|commentlist|repl(?:y|ies)|disqus|respond|discussion|shar(?:es?|ed|ers?|ing|ebar|ethis)|social[a-z0-9]*|related[a-z0-9]*|recommend[a-z0-9]*|newsletter|subscri[a-z0-9]*|sign-?up|log-?in|popups?|modals?|overlay|widgets?|paginat[a-z0-9]*|pagers?|toolbar|search(?:es|box|bar|form)?|skip[a-z0-9]*|copyright|legal|disclaimers?)"
+_READERS = r"(?:comments?|repl(?:y|ies)|teaser|related[a-z0-9]*|promo[a-z0-9]*|ads?)"
+
+
+def _tokens(names: str) -> re.Pattern[str]:
+    """A whole class token of ``names``, alone or with words that only say where it stands."""
+    return re.compile(rf"(?:^|\s)(?:(?:{_PLACES}|{names})[_-]+)*{names}(?:[_-]+(?:{_PLACES}|{names}))*(?:$|\s)", re.I)
+
+
+NAMED, READERS = _tokens(_NAMES), _tokens(_READERS)
+OUTER, MARKED, SURE = 1, 2, 3  # bad places: by the name of an element around the article, by name, by the element itself
 TAG = re.compile(r"<(?:!--.*?(?:--!?>|\Z)|(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*+)>|!\[CDATA\[(?P<data>.*?)(?:\]\]>|\Z)|[!?/][^>]*+>)", re.S)
 ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 
 
-def _boiler(name: str, attrs: str, inside: bool) -> bool:
+def _boiler(name: str, attrs: str, inside: bool) -> int:
+    """How surely an element isn't content: 0, MARKED or SURE."""
+    mark = 0
     if name in BOILER or (name == "header" and not inside):
-        return True
+        return SURE
     if len(attrs) < 3 or name in ("html", "body"):
-        return False
+        return 0
     for key, a, b, c in ATTR.findall(attrs):
         value = a or b or c
         key = key.lower()
         if key in ("class", "id"):
             if (READERS if name in ("article", "main") else NAMED).search(value) and not (name == "header" and inside):
-                return True
+                mark = MARKED
         elif key == "role":
             if value.lower() in ROLES:
-                return True
+                return SURE
         elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
-            return True
-    return False
+            return SURE
+    return mark
+
+
+def _dense(s: str) -> bool:
+    words = s.lower().split()
+    return sum(w.strip(".,;:!?()\"'") in STOP for w in words) >= DENSE * len(words)
+
+
+def _settled(found: list[tuple[str, int, int, bool]]) -> list[tuple[str, int, bool, bool]]:
+    """``found`` with the places that aren't content decided: names are evidence only while other text remains."""
+    least = MARKED
+    if any(inside and not bad for _, _, bad, inside in found):
+        least = OUTER
+    elif not any(inside and bad == OUTER for _, _, bad, inside in found) and not any(not bad and len(s) >= LONG and linked <= LINKED * len(s) and _dense(s) for s, linked, bad, _ in found):
+        least = SURE
+    return [(s, linked, bad >= least, inside) for s, linked, bad, inside in found]
 
 
 def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
     """(text, characters in links, in a place that isn't content, in an article) of each block, in page order."""
-    out: list[tuple[str, int, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, boilerplate, article: each holds for what is inside
+    out: list[tuple[str, int, int, bool]] = []
+    stack: list[tuple[str, int, bool]] = []  # name, boilerplate, article: each holds for what is inside
     text: list[str] = []
-    linked, in_link, bad, inside, at, end = 0, False, False, False, 0, len(page)
+    linked, in_link, bad, inside, at, end = 0, False, 0, False, 0, len(page)
 
     def close() -> None:
         nonlocal linked
@@ -98,7 +125,7 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
         if name in DROPPED and not ending:
             if attrs.endswith("/") and name not in ("script", "style", "title", "textarea"):
                 continue
-            done = re.compile(rf"</{re.escape(name)}\s*[^>]*>", re.I).search(page, at)
+            done = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
             if done:
                 at = done.end()
             elif name in ("script", "style", "title", "textarea", "iframe"):
@@ -131,14 +158,17 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
             elif name == "li" and stack and stack[-1][0] in ("li", "p"):
                 while stack and stack[-1][0] in ("li", "p", "span"):
                     stack.pop()
-            was_bad, was_in = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            now = was_bad or _boiler(name, attrs, was_in)
-            if now != was_bad and not block:
+            was_bad, was_in = (stack[-1][1], stack[-1][2]) if stack else (0, False)
+            own = _boiler(name, attrs, was_in)
+            if was_bad == MARKED and not own and (name == "main" or name == "article") and all(x[0] != "article" for x in stack):
+                was_bad = OUTER
+            now = max(was_bad, own)
+            if now != bad and not block:
                 close()
             stack.append((name, now, was_in or name in ("article", "main")))
-        bad, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        bad, inside = (stack[-1][1], stack[-1][2]) if stack else (0, False)
     close()
-    return out
+    return _settled(out)
 
 
 def labels(found: list[tuple[str, int, bool, bool]]) -> list[bool]:
@@ -153,9 +183,7 @@ def labels(found: list[tuple[str, int, bool, bool]]) -> list[bool]:
         elif len(s) < LONG:
             first.append(None)
         else:
-            words = s.lower().split()
-            dense = sum(w.strip(".,;:!?()\"'") in STOP for w in words) >= DENSE * len(words)
-            first.append(True if dense else None if inside or not article else False)
+            first.append(True if _dense(s) else None if inside or not article else False)
     out, n = [], len(first)
     ahead, behind = [n + 1] * n, [n + 1] * n
     nxt: list[bool | None] = [None] * n

@@ -261,6 +261,27 @@ def test_stop_words_of_a_whole_block_count():
     assert extract.main_text(f"<div><a href=x>{'Home ' * 30}</a></div><div>{names}<br>{prose}</div><div><a href=x>{'More ' * 30}</a></div>") == f"{names} {prose}"
 
 
+@pytest.mark.parametrize("name", ["content-sidebar-wrap", "layout with-sidebar", "shareholder-letter", "legal-opinion", "research search-results", "legal", "page-header"])
+def test_class_names_do_not_drop_the_text(name):
+    prose = "This is the text of the page and it is long enough to be good by itself, as all of it is here."
+    for inner in (f"<main><p>{prose}</p></main>", f"<article><p>{prose}</p></article>", f"<p>{prose}</p>"):
+        assert extract.main_text(f"<body><nav>Home</nav><div class='{name}'>{inner}</div></body>") == prose
+    page = f"<body><div class='{name}'><main><article><p>{prose}</p><div class='post-comments'><p>{prose} No.</p></div></article></main></div><div class='site-footer'>{prose}</div></body>"
+    assert extract.main_text(page) == prose
+
+
+def test_marked_blocks_beside_the_text_go():
+    prose = "This is the text of the page and it is long enough to be good by itself, as all of it is here."
+    for name in ("cookie-notice", "site-footer", "main-nav", "comments", "related-posts", "sidebar_left", "newsletter-signup"):
+        assert extract.main_text(f"<body><div>{prose}</div><div id='{name}'>{prose}</div></body>") == prose
+    assert extract.main_text(f"<body><article>{prose}</article><div class=related-posts><article>{prose} Other.</article></div></body>") == prose
+
+
+def test_an_unclosed_head_ends_before_a_header():
+    prose = "This is the text of the page and it is long enough to be good by itself, as all of it is here."
+    assert extract.main_text(f"<html><head><title>T</title><body><article><header><h1>Heading</h1></header><p>{prose}</p></article></body>") == "Heading\n\n" + prose
+
+
 def test_pages_are_their_articles(spark):
     import html
 
