@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,6 +22,14 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def apart(df: DataFrame, needed: list[str], results: list[str]) -> tuple[list[Column], DataFrame]:
+    """``df`` with its columns under names that clash with nothing, and those needed under their own too; and how to get the columns back, but for those named like ``results``."""
+    names = df.columns
+    held = df.toDF(*[f"_in{k}" for k in range(len(names))])
+    back = [F.col(f"_in{k}").alias(c) for k, c in enumerate(names) if c not in results]
+    return back, held.select("*", *[F.col(f"_in{names.index(c)}").alias(c) for c in needed])
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cuts the lineage through files in the shared folder, which outlive lost executors."""
     shared_dir(df.sparkSession)

@@ -215,7 +215,7 @@ def test_closest_sum():
         assert all(n <= Counter(lengths)[k] for k, n in got.items())
 
 
-def test_cover_trees(spark):
+def test_cover_trees(spark, monkeypatch):
     rng = np.random.RandomState(0)
     centres = rng.randn(20, 16)
     rows = [(k, (centres[rng.randint(20)] + 0.15 * rng.randn(16)).tolist(), int(k % 2)) for k in range(300)]
@@ -229,14 +229,35 @@ def test_cover_trees(spark):
     for r, row in zip(root, rows):
         if row[0] is not None:
             least[r] = min(least.get(r, row[0]), row[0])
-    want = [(row[0], n[k], least.get(root[k])) for k, row in enumerate(rows)]
-    for block in (2048, 40):
-        covertree.BLOCK = block
-        got = [(r["vec_id"], r["n_links"], r["component_id"]) for r in covertree.linked(df).collect()]
+    want = [(row[0], n[k], least.get(root[k]), row[0] == least.get(root[k])) for k, row in enumerate(rows)]
+    for block in (covertree.BLOCK, 12):
+        monkeypatch.setattr(covertree, "BLOCK", block)
+        got = [(r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in covertree.linked(df).collect()]
         assert sorted(got, key=str) == sorted(want, key=str)
+    named = df.select("*", *[F.lit("mine").alias(c) for c in ("x", "good", "k1", "n", "name", "g", "kept")])
+    got = covertree.linked(named)
+    assert got.columns == ["vec_id", "embedding", "label", "x", "good", "k1", "n", "name", "g", "n_links", "component_id", "kept"]
+    assert {tuple(r) for r in got.select("x", "good", "k1", "n", "name", "g").collect()} == {("mine",) * 6}
     assert covertree.linked(df.limit(0)).count() == 0
 
 
+def test_trees_drop_far_nodes_and_count_near_ones_whole():
+    rng = np.random.RandomState(1)
+    x = np.concatenate([np.repeat(rng.randn(40, 3), 20, 0) + 0.02 * rng.randn(800, 3), np.ones((600, 3)) + 0.01 * rng.randn(600, 3)])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    w, r, tree = rng.randint(1, 4, len(x)).astype(float), np.arange(len(x)), covertree.Tree(x)
+    found = covertree.Links(tree, tree, w, w, 0.93)
+    n, a, b = found.result(r, r, len(x))
+    near = x @ x.T >= 0.93
+    np.fill_diagonal(near, False)
+    assert (n == near @ w).all() and (covertree._roots(len(x), a, b) == covertree._roots(len(x), *np.nonzero(near))).all()
+    assert found.compared < near.sum() / 4  # fewer distances than links
+    for k in np.flatnonzero(tree.past):
+        kids = np.arange(tree.child[k], tree.past[k])
+        assert tree.centre[kids[0]] == tree.centre[k] and tree.first[kids[0]] == tree.first[k] and tree.last[kids[-1]] == tree.last[k]
+        assert (tree.radius[kids] <= max(1e-9, tree.radius[k])).all()
+
+
 def test_bpe(both):
     T = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     rows = bpe.encoded(both, P.path("byte_bpe_50k.json")).select("doc_id", "bpe.*").collect()
