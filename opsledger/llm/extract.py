@@ -1,8 +1,9 @@
 """Main text of HTML pages by two passes of block rules.
 
-The first pass judges each block by the place it stands in, its stop-word density, its length
-and its link density: good, bad, or undecided. In the second, undecided blocks take the label of
-the nearest decided neighbour; between two as near that differ, and with none, the place decides.
+The first pass judges each block by its stop-word density, its length and its link density, also
+inside an article: good, bad, or undecided; a place that isn't content rules it out. In the second,
+undecided blocks take the label of the nearest decided neighbour of their place; between two as
+near that differ, and with none, the place decides.
 """
 
 from __future__ import annotations
@@ -16,9 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from opsledger.llm.common import table
+from opsledger.llm.common import apart, table
 
-DENSE = 0.25  # stop words among words of a good block
+DENSE = 0.2  # stop words among words of a good block
+SPARSE = 0.02  # and of a bad one, below
 LONG = 70  # characters of a block that can be good by itself
 LINKED = 0.4  # characters in links of a bad block
 # fixed values: frequent function words of English, German, French and Spanish
@@ -29,17 +31,22 @@ HELD = frozenset("article aside blockquote body center dialog details div dl fie
 BOILER = frozenset("nav aside footer form menu dialog".split())
 VOID = frozenset("br hr img input meta link area base col embed source track wbr".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar".split())
-_PLACES = r"(?:site|page|main|top|bottom|left|right|upper|lower|primary|secondary|global|mobile|desktop|sticky|list|items?|area|box|bar|links?|buttons?|btn|icons?|container|wrap(?:per)?|inner|outer|block|section|panel|module|group|row|posts?|articles?|stories|form|text|message|media|[0-9]+)"
-_NAMES = r"(?:ads?|advert[a-z0-9]*|adsbygoogle|banners?|sponsor[a-z0-9]*|promo[a-z0-9]*|cookies?[a-z0-9]*|consent|gdpr|notices?|alerts?|nav[a-z0-9]*|menus?|breadcrumbs?|sidebars?|footers?|headers?|masthead|topbar|comments?|commentlist|repl(?:y|ies)|disqus|respond|discussion|shar(?:es?|ed|ers?|ing|ebar|ethis)|social[a-z0-9]*|related[a-z0-9]*|recommend[a-z0-9]*|newsletter|subscri[a-z0-9]*|sign-?up|log-?in|popups?|modals?|overlay|widgets?|paginat[a-z0-9]*|pagers?|toolbar|search(?:es|box|bar|form)?|skip[a-z0-9]*|copyright|legal|disclaimers?)"
-_READERS = r"(?:comments?|repl(?:y|ies)|teaser|related[a-z0-9]*|promo[a-z0-9]*|ads?)"
+# class and id words of the places that aren't content, and words that only say where something stands
+NAMES = frozenset("ad ads advert adverts banner breadcrumb breadcrumbs comment comments cookie cookies footer header masthead menu nav navbar navigation newsletter notice notices promo related reply replies share sidebar social sponsor sponsored subscribe toolbar widget".split())
+PLACES = frozenset("site page main top bottom left right list item items box bar wrap wrapper inner outer section block container post posts signup area".split())
+READERS = frozenset("comment comments reply replies related promo ad ads".split())
 
 
-def _tokens(names: str) -> re.Pattern[str]:
-    """A whole class token of ``names``, alone or with words that only say where it stands."""
-    return re.compile(rf"(?:^|\s)(?:(?:{_PLACES}|{names})[_-]+)*{names}(?:[_-]+(?:{_PLACES}|{names}))*(?:$|\s)", re.I)
+def named(value: str, names: frozenset[str] = NAMES) -> bool:
+    """Whether a class token of ``value`` is of ``names``, alone or with words that only say where it stands."""
+    for token in value.lower().split():
+        words = re.split("[-_]+", token)
+        if any(w in names for w in words) and all(w in NAMES or w in PLACES or w.isdigit() or not w for w in words):
+            return True
+    return False
 
 
-NAMED, READERS = _tokens(_NAMES), _tokens(_READERS)
+EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 OUTER, MARKED, SURE = 1, 2, 3  # bad places: by the name of an element around the article, by name, by the element itself
 TAG = re.compile(r"<(?:!--.*?(?:--!?>|\Z)|(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*+)>|!\[CDATA\[(?P<data>.*?)(?:\]\]>|\Z)|[!?/][^>]*+>)", re.S)
 ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
@@ -56,7 +63,7 @@ def _boiler(name: str, attrs: str, inside: bool) -> int:
         value = a or b or c
         key = key.lower()
         if key in ("class", "id"):
-            if (READERS if name in ("article", "main") else NAMED).search(value) and not (name == "header" and inside):
+            if named(value, READERS if name in ("article", "main") else NAMES) and not (name == "header" and inside):
                 mark = MARKED
         elif key == "role":
             if value.lower() in ROLES:
@@ -66,9 +73,31 @@ def _boiler(name: str, attrs: str, inside: bool) -> int:
     return mark
 
 
-def _dense(s: str) -> bool:
-    words = s.lower().split()
-    return sum(w.strip(".,;:!?()\"'") in STOP for w in words) >= DENSE * len(words)
+def density(s: str, stop: frozenset[str] = STOP) -> float | None:
+    """Stop words among the words of a block; None where most letters are of another script than the stop words', Latin."""
+    letters = [c for c in s if c.isalpha()]
+    if 2 * sum(c > "\u024f" for c in letters) > len(letters):
+        return None
+    words = [w for w in map(EDGES.sub, [""] * len(s), s.lower().split()) if w]
+    return sum(w in stop for w in words) / max(1, len(words))
+
+
+def judged(s: str, linked: int, bad: bool, inside: bool, article: bool) -> bool | None:
+    """The first pass: whether a block is content by its place, link density, length and stop words; None if they don't tell.
+
+    A place that isn't content, or one beside the page's article, rules a block out; no place
+    makes one good.
+    """
+    if bad or (article and not inside):
+        return False
+    if linked > LINKED * len(s):
+        return None if inside and linked < 0.9 * len(s) else False
+    if len(s) < LONG:
+        return None
+    found = density(s)
+    if found is None or found >= DENSE:
+        return True
+    return False if found < SPARSE and not inside else None
 
 
 def _settled(found: list[tuple[str, int, int, bool]]) -> list[tuple[str, int, bool, bool]]:
@@ -76,7 +105,7 @@ def _settled(found: list[tuple[str, int, int, bool]]) -> list[tuple[str, int, bo
     least = MARKED
     if any(inside and not bad for _, _, bad, inside in found):
         least = OUTER
-    elif not any(inside and bad == OUTER for _, _, bad, inside in found) and not any(not bad and len(s) >= LONG and linked <= LINKED * len(s) and _dense(s) for s, linked, bad, _ in found):
+    elif not any(inside and bad == OUTER for _, _, bad, inside in found) and not any(not bad and len(s) >= LONG and linked <= LINKED * len(s) for s, linked, bad, _ in found):
         least = SURE
     return [(s, linked, bad >= least, inside) for s, linked, bad, inside in found]
 
@@ -174,16 +203,8 @@ def blocks(page: str) -> list[tuple[str, int, bool, bool]]:
 def labels(found: list[tuple[str, int, bool, bool]]) -> list[bool]:
     """Whether each block belongs to the main text."""
     article = any(inside and not bad for _, _, bad, inside in found)
-    first: list[bool | None] = []
-    for s, linked, bad, inside in found:
-        if bad or (article and not inside):
-            first.append(False)
-        elif linked > LINKED * len(s) and not (inside and len(s) >= 3 * LONG):
-            first.append(None if inside and linked < len(s) * 0.9 else False)
-        elif len(s) < LONG:
-            first.append(None)
-        else:
-            first.append(True if _dense(s) else None if inside or not article else False)
+    first = [judged(*b, article) for b in found]
+    good = any(first)
     out, n = [], len(first)
     ahead, behind = [n + 1] * n, [n + 1] * n
     nxt: list[bool | None] = [None] * n
@@ -200,7 +221,7 @@ def labels(found: list[tuple[str, int, bool, bool]]) -> list[bool]:
         elif k + 1 < n and found[k + 1][2:] == found[k][2:]:
             nxt[k], ahead[k] = nxt[k + 1], ahead[k + 1] + 1
     for k in range(n):
-        place = found[k][3] or (not article and len(found[k][0]) >= LONG)
+        place = found[k][3] or (not article and not good)
         if prev[k] is None and nxt[k] is None:
             out.append(place)
         elif prev[k] is None or nxt[k] is None:
@@ -227,9 +248,12 @@ def extracted(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """``pages`` with text and n_chars, its code points.
 
     Null or empty pages have the empty text. Pages of any length are read whole, each by
-    itself, so repeated rows get equal texts.
+    itself, so repeated rows get equal texts. An empty table gives an empty result. Other
+    columns are kept, whatever their names; those named text or n_chars are replaced.
     """
-    return pages.withColumn("text", _extract(html_col)).withColumn("n_chars", F.char_length("text").cast("long"))
+    back, held = apart(pages, [], ["text", "n_chars"])
+    text = _extract(f"_in{pages.columns.index(html_col)}")
+    return held.withColumn("text", text).select(*back, "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
 def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -303,13 +303,74 @@ def test_an_unclosed_head_ends_before_a_header():
     assert extract.main_text(f"<html><head><title>T</title><body><article><header><h1>Heading</h1></header><p>{prose}</p></article></body>") == "Heading\n\n" + prose
 
 
-def test_pages_are_their_articles(spark):
+def articles(spark, name="sf0.001"):
+    """(page, its article's blocks)."""
     import html
 
-    for r in extract.op9_html(spark, D).join(spark.read.parquet(f"{D}/pages.parquet").select("page_id", "html"), "page_id").collect():
+    for r in spark.read.parquet(f"/root/testdata/{name}/pages.parquet").where("html is not null").select("html").collect():
         a = r["html"][r["html"].index("<article>") : r["html"].index("</article>")]
         parts = [" ".join(html.unescape(re.sub("<[^>]*>", " ", x)).split()) for x in re.split(r"</?(?:p|h1|article)>", a)]
-        assert r["text"] == "\n\n".join(x for x in parts if x)
+        yield r["html"], "\n\n".join(x for x in parts if x)
+
+
+def test_pages_are_their_articles(spark):
+    for page, text in articles(spark, "sf0.01"):
+        assert extract.main_text(page) == text
+
+
+def test_pages_without_their_article_tags(spark, monkeypatch):
+    pages = [(re.sub("</?article>", "", page), text) for page, text in articles(spark, "sf0.01")]
+    right = sum(extract.main_text(page) == text for page, text in pages)
+    assert right >= 0.85 * len(pages)
+    bare = [re.sub("</?nav>", "", page) for page, _ in pages]
+    ruled = [*map(extract.main_text, bare)]
+    monkeypatch.setattr(extract, "LINKED", 9)
+    assert sum(extract.main_text(page) != was for page, was in zip(bare, ruled)) > 0.01 * len(pages)
+    monkeypatch.setattr(extract, "LINKED", 0.4)
+    monkeypatch.setattr(extract.density, "__defaults__", (frozenset(),))
+    assert sum(extract.main_text(page) != was for page, was in zip(bare, ruled)) > 0.5 * len(pages)
+
+
+def test_two_passes():
+    """Against a plain telling of the two passes, with ties, over random blocks."""
+    rng = np.random.RandomState(4)
+    dense, sparse, some = "it is the end of the day and all of them are here as it was in the days of old, for all", "Lorem-ipsum dolor sit-amet consectetur adipiscing elit sed eiusmod tempor incididunt", "the lorem ipsum dolor sit amet consectetur adipiscing elit sed of eiusmod tempor incididunt"
+    for _ in range(400):
+        found = [(t, len(t) if rng.rand() < 0.2 else 0, bool(rng.rand() < 0.15), bool(rng.rand() < 0.1)) for t in (["short", dense, sparse, some][k] for k in rng.randint(0, 4, rng.randint(0, 14)))]
+        article = any(i and not b for _, _, b, i in found)
+        first = []
+        for t, linked, bad, inside in found:
+            if bad or (article and not inside) or linked:
+                first.append(False)
+            else:
+                first.append({"short": None, dense: True, sparse: None if inside else False, some: None}[t])
+        want = []
+        for k, (_, _, bad, inside) in enumerate(found):
+            if first[k] is not None:
+                want.append(first[k])
+                continue
+            near = {}
+            for step in (-1, 1):
+                j = k + step
+                while 0 <= j < len(found) and found[j][2:] == (bad, inside):
+                    if first[j] is not None:
+                        near.setdefault(abs(j - k), set()).add(first[j])
+                        break
+                    j += step
+            closest = near[min(near)] if near else set()
+            want.append(closest.pop() if len(closest) == 1 else inside or not (article or any(first)))
+        assert extract.labels(found) == want
+
+
+def test_extraction_of_odd_tables(spark):
+    prose = "This is the text of the page and it is long enough to be good by itself, as all of it is here. "
+    page = f"<body><nav>{'<a href=x>Home</a>' * 20}</nav><div>{prose * 5000}</div></body>"
+    rows = [(1, page, "mine", "a"), (1, page, "mine", "a"), (None, "", "mine", "b"), (2, "<p>" + "日本語の文章はここにあります。" * 9, "mine", "c")]
+    df = spark.createDataFrame(rows, "page_id long, html string, _in0 string, text string")
+    out = extract.extracted(df)
+    assert out.columns == ["page_id", "html", "_in0", "text", "n_chars"]
+    assert sorted((r["text"], r["n_chars"]) for r in out.collect()) == sorted([((prose * 5000).strip(), len(prose) * 5000 - 1)] * 2 + [("", 0), ("日本語の文章はここにあります。" * 9, 135)])
+    assert extract.extracted(df.limit(0)).count() == 0
 
 
 def test_passages(odd, spark):
