@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
+import pandas as pd
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,3 +95,22 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a column of distinct longs: the id if it is one, else the place in the table as stored."""
+    bad = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null").limit(1).count()
+    if not bad:
+        return docs, "doc_id"
+    place = "_place"
+    while place in docs.columns:
+        place += "_"
+    return stored(docs).withColumn(place, F.monotonically_increasing_id()), place
+
+
+@F.pandas_udf(BinaryType())
+def pressed(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Texts in UTF-8, compressed for the way through a shuffle."""
+    press = zstandard.ZstdCompressor(level=1)
+    for s in parts:
+        yield pd.Series([None if x is None else press.compress(x.encode("utf-8", "surrogatepass")) for x in s], dtype=object)

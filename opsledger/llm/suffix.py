@@ -2,12 +2,11 @@
 
 Every window of WINDOW bytes belongs to the smallest hashed 32-gram in it, its anchor: equal
 windows have equal anchors, so the windows to be compared meet wherever anchors are dealt to
-shards by their hash. The windows of one anchor form a piece of text. Pieces that are equal
-are found by their hash alone; of the others, one of each goes to its anchor's shard if the
-anchor has several. A shard sorts the suffixes of its pieces (Larsson-Sadakane refinement in
-numpy) and takes common prefixes (Kasai): a window repeats if a neighbour shares WINDOW bytes.
-An anchor with very many pieces is spread over shards of its own, whose sorted window digests
-are then merged by binary search.
+shards by their hash. The windows of one anchor form a piece of text. Pieces that are equal are
+known by a 128-bit hash; one of each goes to its anchor's shard if the anchor has several. A shard
+sorts the suffixes of its pieces (Larsson-Sadakane refinement in numpy) and takes common prefixes
+(Kasai): a window repeats if a neighbour shares WINDOW bytes. An anchor with more than MOST pieces
+is spread over shards by load, whose sorted window digests are then merged by binary search.
 """
 
 from __future__ import annotations
@@ -18,17 +17,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from opsledger.llm.common import checkpoint, stored, table
+from opsledger.llm.common import keyed, pressed, stored, table
 
 WINDOW = 200
 GRAM = 32
 BLOCK = 1 << 18  # bytes that are hashed at a time, if no document is longer
 PIECES = 1024  # pieces of a shard, on average
-MOST = 2048  # pieces of one anchor in one shard
+MOST = 128  # pieces of one anchor in one shard
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -61,7 +61,7 @@ def anchors(texts: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, ...]:
     if len(a) < window:
         return (np.zeros(0, np.int64),) * 4
     h = _grams(a, GRAM)
-    low = max(1, int(len(a)).bit_length())
+    low = 32  # bits of a place, the same for texts of any length: windows that are equal must have the same anchor
     v = (h >> np.uint64(low) << np.uint64(low)) | np.arange(len(h), dtype=np.uint64)
     span, n = window - GRAM + 1, 1
     while 2 * n <= span:
@@ -175,14 +175,14 @@ def runs(flags: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> list[tupl
     return list(zip(piece[cut].tolist(), off[cut].tolist(), (off[last] + 1).tolist(), strict=True))
 
 
-SPANS = "k long, n int, first int, last int, h long, part int, shard int, run binary"
-RUN = np.dtype([("d1", "<i8"), ("d2", "<i8"), ("k", "<i8"), ("n", "<i4"), ("first", "<i4"), ("need", "?")])
+SPANS = "d long, first int, last int, h long, part int, shard int, run binary"
+RUN = np.dtype([("d1", "<i8"), ("d2", "<i8"), ("d", "<i8"), ("first", "<i4"), ("need", "?")])
 PART = 50_000  # windows of one digest range, about
 
 
 def shard_spans(g: pd.DataFrame, window: int = WINDOW) -> pd.DataFrame:
-    """Of one shard's pieces (k, n, start, h, multi, salted, shard, piece): covered bytes, and of salted anchors the digest of each window that isn't equal to one before it."""
-    g = g.drop_duplicates(["k", "n", "start"]).sort_values(["k", "n", "start"], ignore_index=True)
+    """Of one shard's pieces (d, start, h, multi, salted, shard, piece): covered bytes, and of salted anchors the digest of each window that isn't equal to one before it."""
+    g = g.sort_values(["d", "start"], ignore_index=True)
     pieces = g["piece"].tolist()
     lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
     a = np.frombuffer(b"\0".join(pieces) + b"\0", np.uint8)
@@ -199,8 +199,8 @@ def shard_spans(g: pd.DataFrame, window: int = WINDOW) -> pd.DataFrame:
     repeats[sa[pair]] = True
     repeats[sa[pair - 1]] = True
     multi, salted = g["multi"].to_numpy(), g["salted"].to_numpy()
-    k, n, s = g["k"].tolist(), g["n"].tolist(), g["start"].tolist()
-    out = [(k[p], n[p], s[p] + x, s[p] + y + window - 1, None, None, None, None) for p, x, y in runs(repeats, starts, counts) if not multi[p]]
+    d, s = g["d"].tolist(), g["start"].tolist()
+    out = [(d[p], s[p] + x, s[p] + y + window - 1, None, None, None, None) for p, x, y in runs(repeats, starts, counts) if not multi[p]]
     if salted.any():
         owner = np.zeros(len(a), np.int32)
         owner[place] = np.repeat(np.arange(len(starts), dtype=np.int32), counts)
@@ -208,17 +208,17 @@ def shard_spans(g: pd.DataFrame, window: int = WINDOW) -> pd.DataFrame:
         own = owner[leaders]
         run = np.empty(len(leaders), RUN)
         run["d1"], run["d2"] = (_grams(a, window, m).view(np.int64)[leaders] for m in (_M, np.uint64(0xD6E8FEB86659FD93)))
-        run["k"], run["n"] = g["k"].to_numpy()[own], g["n"].to_numpy()[own]
-        run["first"] = g["start"].to_numpy()[own] + leaders - starts[own]
-        run["need"] = ~repeats[leaders] & ~multi[own]
+        run["need"] = ~repeats[leaders] & ~multi[own]  # the others only show that this shard has the window
+        run["d"] = np.where(run["need"], g["d"].to_numpy()[own], 0)
+        run["first"] = np.where(run["need"], g["start"].to_numpy()[own] + leaders - starts[own], 0)
         run = run[np.lexsort((run["d2"], run["d1"]))]
         parts = max(1, int(g["m"].iloc[0]) * 128 // PART)  # the same for all shards of this anchor
         part = ((run["d1"].view(np.uint64) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         for x in range(parts):
             mine = run[part == x]
             if len(mine):
-                out.append((None, None, None, None, int(g["h"].iloc[0]), x, int(g["shard"].iloc[0]), mine.tobytes()))
-    return pd.DataFrame(out, columns=[x.split()[0] for x in SPANS.split(", ")], dtype=object).astype({c: "Int64" for c in ("k", "n", "first", "last", "h", "part", "shard")})
+                out.append((None, None, None, int(g["h"].iloc[0]), x, int(g["shard"].iloc[0]), mine.tobytes()))
+    return pd.DataFrame(out, columns=[x.split()[0] for x in SPANS.split(", ")], dtype=object).astype({c: "Int64" for c in ("d", "first", "last", "h", "part", "shard")})
 
 
 def merged(g: pd.DataFrame, window: int = WINDOW) -> pd.DataFrame:
@@ -235,65 +235,67 @@ def merged(g: pd.DataFrame, window: int = WINDOW) -> pd.DataFrame:
     for m in np.flatnonzero(hi - lo > 1).tolist():
         hit[m] = (run["d2"][lo[m] : hi[m]] == asked["d2"][m]).sum() > 1
     found = asked[hit]
-    return pd.DataFrame({"k": found["k"], "n": found["n"], "first": found["first"], "last": found["first"] + window})
+    return pd.DataFrame({"d": found["d"], "first": found["first"], "last": found["first"] + window})
+
+
+PIECE = "d long, first int, last int, o long, h long, p1 long, p2 long"
 
 
 def covered(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(k, n, spans) of the texts of ``docs`` (text, k, n, rid) with a repeated window.
+    """(d, spans) of the texts of ``docs`` (d, text) with a window that another text has, or the same text elsewhere.
 
-    k and n are a text's hash and bytes. Texts that more rows have aren't told apart here.
+    Texts that are equal count as one here, told by the 128-bit hash that a piece's origin ``o`` is made of.
     """
 
     def find(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
-            p = p.drop_duplicates(["k", "n"])
-            ks, ns, texts = p["k"].to_numpy(), p["n"].to_numpy(), p["text"].tolist()
+            ds, texts = p["d"].to_numpy(), p["text"].tolist()
             del p
             at = 0
             while at < len(texts):
-                end, size = at, 0
-                while end < len(texts) and (end == at or size + ns[end] <= BLOCK):
-                    size += int(ns[end])
-                    end += 1
-                own = [x.encode("utf-8", "surrogatepass") for x in texts[at:end]]
+                own, size, start = [], 0, at
+                while at < len(texts) and (start == at or size + len(texts[at]) <= BLOCK):
+                    own.append(texts[at].encode("utf-8", "surrogatepass"))
+                    size += len(own[-1])
+                    at += 1
                 t, h, first, last = anchors(own, window)
-                ph = np.fromiter((xxhash.xxh3_64_intdigest(own[i][x : y + window - 1]) for i, x, y in zip(t.tolist(), first.tolist(), last.tolist(), strict=True)), np.uint64, len(t)).view(np.int64)
-                yield pd.DataFrame({"k": ks[at:end][t], "n": ns[at:end][t], "first": first.astype(np.int32), "last": last.astype(np.int32), "h": h, "ph": ph})
-                at = end
-
-    found = stored(docs.where(F.col("n") >= window).select("k", "n", "text").mapInPandas(find, "k long, n int, first int, last int, h long, ph long")).withColumn("o", F.xxhash64("k", "n", "first"))
-    same = found.groupBy("ph").agg(F.min("h").alias("h"), F.min("o").alias("least"), (F.min("o") != F.max("o")).alias("multi"))
-    same = stored(same)
+                name = [*map(xxhash.xxh3_128_digest, own)]
+                cut = [*zip(t.tolist(), first.tolist(), last.tolist(), strict=True)]
+                o = np.fromiter((xxhash.xxh3_64_intdigest(name[i] + x.to_bytes(8)) for i, x, _ in cut), np.uint64, len(t)).view(np.int64)
+                ph = np.frombuffer(b"".join(xxhash.xxh3_128_digest(own[i][x : y + window - 1]) for i, x, y in cut), np.int64).reshape(-1, 2)
+                yield pd.DataFrame({"d": ds[start:at][t], "first": first.astype(np.int32), "last": last.astype(np.int32), "o": o, "h": h, "p1": ph[:, 0], "p2": ph[:, 1]})
+
+    found = stored(docs.where(F.octet_length("text") >= window).mapInPandas(find, PIECE))
+    same = stored(found.groupBy("p1", "p2").agg(F.min("h").alias("h"), F.min("o").alias("least"), F.min_by("d", F.struct("o", "d")).alias("by"), (F.min("o") != F.max("o")).alias("multi")))
     mixed = same.groupBy("h").agg(F.count("*").alias("m")).where("m > 1")
-    known = same.join(mixed, "h", "left").where("multi or m is not null").select("ph", "least", "multi", "m")
-    met = stored(found.join(known, "ph").where("multi or o = least").dropDuplicates(["k", "n", "first"]).select("k", "n", "first", "last", "h", "multi", (F.col("m").isNotNull() & (F.col("o") == F.col("least"))).alias("sent"), F.coalesce("m", F.lit(0)).alias("m")))
-    sent = met.where("sent").groupBy("k", "n").agg(F.collect_list(F.struct("first", "last", "h", "multi", "m")).alias("cuts"))
+    known = stored(same.join(mixed, "h", "left").where("multi or m is not null").select("p1", "p2", "least", "by", "multi", "m"))
+    met = stored(found.join(known, ["p1", "p2"]).withColumn("sent", F.col("m").isNotNull() & (F.col("o") == F.col("least")) & (F.col("d") == F.col("by"))).where("multi or sent").select("d", "first", "last", "h", "multi", "sent", F.coalesce("m", F.lit(0)).alias("m")))
+    sent = met.where("sent").groupBy("d").agg(F.collect_list(F.struct("first", "last", "h", "multi", "m")).alias("cuts"))
 
     def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        unpress = zstandard.ZstdDecompressor()
         for p in parts:
             rows, held = [], 0
-            for k, n, text, cuts in zip(p["k"], p["n"], p["text"], p["cuts"], strict=True):
-                b = text.encode("utf-8", "surrogatepass")
+            for d, text, cuts in zip(p["d"], p["text"], p["cuts"], strict=True):
+                b = unpress.decompress(text)
                 for c in cuts:
-                    rows.append((k, n, c["first"], c["h"], c["multi"], c["m"], b[c["first"] : c["last"] + window - 1]))
+                    rows.append((d, c["first"], c["h"], c["multi"], c["m"], b[c["first"] : c["last"] + window - 1]))
                     held += 400
                 if held > 4 << 20:
-                    yield pd.DataFrame(rows, columns=["k", "n", "start", "h", "multi", "m", "piece"])
+                    yield pd.DataFrame(rows, columns=["d", "start", "h", "multi", "m", "piece"])
                     rows, held = [], 0
             if rows:
-                yield pd.DataFrame(rows, columns=["k", "n", "start", "h", "multi", "m", "piece"])
+                yield pd.DataFrame(rows, columns=["d", "start", "h", "multi", "m", "piece"])
 
-    total = met.where("sent").count()
-    shards = max(1, -(-total // PIECES))
-    first_rows = docs.where(F.col("n") >= window).where("doc_id <=> rid").select("k", "n", "text")
-    pieces = first_rows.join(sent, ["k", "n"]).mapInPandas(cut, "k long, n int, start int, h long, multi boolean, m long, piece binary")
-    salt = F.pmod(F.xxhash64("k", "start"), F.ceil(F.col("m") / MOST)).cast("int")
+    shards = max(1, -(-met.where("sent").count() // PIECES))
+    pieces = docs.where(F.octet_length("text") >= window).select("d", pressed("text").alias("text")).join(sent, "d").mapInPandas(cut, "d long, start int, h long, multi boolean, m long, piece binary")
+    salt = F.pmod(F.xxhash64("d", "start"), F.ceil(F.col("m") / MOST)).cast("int")
     dealt = pieces.withColumn("salted", F.col("m") > MOST).withColumn("shard", F.when(F.col("salted"), salt).otherwise(0)).withColumn("to", F.when(F.col("salted"), F.xxhash64("h", "shard")).otherwise(F.pmod(F.xxhash64("h"), F.lit(shards))))
     spans = stored(dealt.groupBy("to").applyInPandas(lambda g: shard_spans(g, window), SPANS))
-    cross = spans.where("h is not null").select("h", "part", "shard", "run").groupBy("h", "part").applyInPandas(lambda g: merged(g, window), "k long, n int, first int, last int")
-    whole = met.where("multi").select("k", "n", "first", (F.col("last") + window - 1).alias("last"))
-    every = whole.unionByName(spans.where("h is null").select("k", "n", "first", "last")).unionByName(cross)
-    return every.groupBy("k", "n").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    cross = spans.where("h is not null").select("h", "part", "shard", "run").groupBy("h", "part").applyInPandas(lambda g: merged(g, window), "d long, first int, last int")
+    whole = met.where("multi").select("d", "first", (F.col("last") + window - 1).alias("last"))
+    every = whole.unionByName(spans.where("h is null").select("d", "first", "last")).unionByName(cross)
+    return every.groupBy("d").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
 
 
 CUT = StructType([StructField("n_removed", LongType()), StructField("n_spans", LongType()), StructField("kept_sha256", StringType()), StructField("kept", StringType()), StructField("removed", ArrayType(ArrayType(IntegerType())))])
@@ -304,10 +306,11 @@ def _cutter(with_text: bool):
 
     @F.pandas_udf(kind)
     def apply(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        unpress = zstandard.ZstdDecompressor()
         for texts, copies, spans in parts:
             out = []
             for text, copied, own in zip(texts, copies, spans, strict=True):
-                b = (text or "").encode("utf-8", "surrogatepass")
+                b = b"" if text is None else unpress.decompress(text)
                 cuts: list[list[int]] = []
                 if copied:
                     cuts = [[0, len(b)]]
@@ -331,21 +334,21 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, with_text: bool = True)
 
     A null text counts as empty. Texts shorter than the window, empty tables and documents
     without repeats are left whole; rows that repeat a text lose all of it if it is as long as
-    the window, whatever their ids. Every other column is kept as it is.
+    the window, whatever their ids, which are told apart by their places where they repeat or are
+    null. Every other column is kept, whatever its name, but for the input text, and for columns
+    named like a result.
     """
-    d = docs.withColumn("k", F.xxhash64("text")).withColumn("n", F.coalesce(F.octet_length("text"), F.lit(0)))
-    copies = checkpoint(d.groupBy("k", "n").agg(F.count("*").alias("copies"), F.min("doc_id").alias("rid")))
-    spans = covered(_first_rows(d, copies), window)
-    several = copies.where((F.col("copies") > 1) & (F.col("n") >= window)).select("k", "n", F.lit(True).alias("copied"))
-    info = stored(several.join(spans, ["k", "n"], "full").select("k", "n", F.coalesce("copied", F.lit(False)).alias("copied"), F.when(F.col("copied").isNull(), F.col("spans")).alias("spans")))
-    out = d.join(info, ["k", "n"], "left").withColumn("cut", _cutter(with_text)("text", F.coalesce("copied", F.lit(False)), "spans"))
-    return out.select(*docs.columns, F.col("n").cast("long").alias("n_bytes"), "cut")
-
-
-def _first_rows(d: DataFrame, copies: DataFrame) -> DataFrame:
-    """All rows with rid: texts with one row need no look-up."""
-    many = copies.where("copies > 1").select("k", "n", "rid", F.lit(True).alias("several"))
-    return d.join(many, ["k", "n"], "left").select("k", "n", "text", "doc_id", F.when(F.col("several"), F.col("rid")).otherwise(F.col("doc_id")).alias("rid"))
+    named, key = keyed(docs)
+    names = [c for c in named.columns if c != "text"]
+    text = named.select(F.col(f"`{key}`").cast("long").alias("d"), "text")
+    rows = text.where(F.octet_length("text") >= window).select("d", F.xxhash64("text").alias("k1"), F.xxhash64(F.lit(1), "text").alias("k2"), F.octet_length("text").alias("n"))
+    several = stored(rows.groupBy("k1", "k2", "n").agg(F.count("*").alias("times")).where("times > 1").drop("times"))
+    copies = rows.join(several, ["k1", "k2", "n"]).select("d", F.lit(True).alias("copied"))
+    info = stored(covered(text, window).join(copies, "d", "full").select("d", F.coalesce("copied", F.lit(False)).alias("copied"), F.when(F.col("copied").isNull(), F.col("spans")).alias("spans")))
+    held = named.select(*[F.col(f"`{c}`").alias(f"_in{k}") for k, c in enumerate(names)], pressed("text").alias("_text"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
+    out = held.join(info, F.col(f"_in{names.index(key)}") == F.col("d"), "left").withColumn("cut", _cutter(with_text)("_text", F.coalesce("copied", F.lit(False)), "spans"))
+    back = [F.col(f"_in{names.index(c)}").alias(c) for c in docs.columns if c not in ("text", "n_bytes", "cut")]
+    return out.select(*back, "n_bytes", "cut")
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
