@@ -2,9 +2,10 @@
 
 Rows are ordered by (hash of the text, hash of the id). Rounds of exact byte counts below
 evenly spaced candidate boundaries narrow each splitter's bracket, 4096 times a round, until
-the bracket holds no more bytes than the tolerance; then rows move once, to the range between
+the bracket holds no more bytes than the tolerance; then rows move once, to the shard between
 two splitters. Equal texts lie side by side: a boundary falls inside such a group only where
-the group alone holds more than the tolerance, and then the ids' hashes are probed in turn.
+the shards' sizes couldn't be near equal otherwise, that is where the group alone holds more
+than GROUP of a shard, and then the ids' hashes are probed in turn.
 """
 
 from __future__ import annotations
@@ -17,10 +18,8 @@ from pyspark.sql import functions as F
 from opsledger.llm.common import checkpoint, table
 
 SHARDS = 8
-RANGES = 16  # ranges of each shard, at least; rows are numbered range by range
-ROWS = 2_000_000  # rows of a range, about, beyond which there are more ranges
-TOLERANCE = 1e-2  # of a range's bytes: where a splitter may miss its target
-GROUP = 2e-3  # of a shard's bytes: a group of equal texts up to this is never cut
+TOLERANCE = 1e-3  # of a shard's bytes: where a splitter may miss its target
+GROUP = 1e-2  # of a shard's bytes: shards that differ less are near equal, and a group of equal texts up to this is never cut
 BITS = 12
 LOW = -(1 << 63)
 
@@ -104,26 +103,21 @@ def sharded(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_
 
     A null text has size 1 and a null checksum's value of the empty text, 0. Null ids and
     repeated rows take part as any other; an empty table gives an empty result. Only ids,
-    sizes and hashes move, not texts.
+    sizes and hashes move, not texts; to the driver come at most 4096 counts a splitter and
+    round, however many rows there are. Slots number a shard's rows in the order they are read
+    in, through counts by read partition. Other columns play no part.
     """
     t = F.col(text_col)
     rows = checkpoint(docs.select(F.col(id_col).alias("id"), (F.coalesce(F.octet_length(t), F.lit(0)).cast("long") + 1).alias("size"), F.crc32(F.coalesce(t, F.lit(""))).alias("text_crc32"), F.xxhash64(t).alias("h"), F.xxhash64(F.col(id_col), F.lit(1)).alias("g")))
-    n, total = rows.agg(F.count("*"), F.sum("size")).first()
-    if not n:
+    total = rows.agg(F.sum("size")).first()[0]
+    if not total:
         return rows.select("id", "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
-    per = max(RANGES, -(-n // (shards * ROWS)))
-    ranges = shards * per
-    splitters = sorted(_split(rows, [total * k // ranges for k in range(1, ranges)], TOLERANCE * total / ranges, GROUP * total / shards))
-    dealt = rows.withColumn("range", _range(splitters))
-    counts = {r["range"]: r["count"] for r in dealt.groupBy("range").count().collect()}
-    starts, at = [], 0
-    for k in range(ranges):
-        at = 0 if k % per == 0 else at
-        starts.append(at)
-        at += counts.get(k, 0)
-    start = F.element_at(F.array(*[F.lit(x).cast("long") for x in starts]), F.col("range") + 1)
-    numbered = dealt.withColumn("n", F.row_number().over(Window.partitionBy("range").orderBy("h", "g", "id")).cast("long") - 1)
-    return numbered.select("id", "size", "text_crc32", F.floor(F.col("range") / per).cast("int").alias("shard"), (start + F.col("n")).alias("slot"))
+    splitters = sorted(_split(rows, [total * k // shards for k in range(1, shards)], TOLERANCE * total / shards, GROUP * total / shards))
+    dealt = rows.withColumn("row", F.monotonically_increasing_id()).withColumn("part", F.shiftright("row", 33)).withColumn("shard", _range(splitters))
+    before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy("shard", "part").agg(F.count("*").alias("n")).select("shard", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    numbered = dealt.withColumn("n", F.row_number().over(Window.partitionBy("shard", "part").orderBy("row")).cast("long") - 1)
+    return numbered.join(starts, ["shard", "part"]).select("id", "size", "text_crc32", "shard", (F.col("start") + F.col("n")).alias("slot"))
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -151,6 +151,33 @@ def test_shards(both):
     for r in rows:
         by.setdefault(r["shard"], []).append(r)
     assert all(sorted(r["slot"] for r in v) == list(range(len(v))) for v in by.values())
+    total, texts = sum(r["size"] for r in rows), {}
+    for r in rows:
+        texts.setdefault((r["size"], r["text_crc32"]), []).append(r["shard"])
+    assert all(len(set(v)) == 1 or size * len(v) > 0.01 * total / 8 for (size, _), v in texts.items())
+
+
+def test_splitters(spark, monkeypatch):
+    """Against byte counts over all rows, sorted plainly: each boundary is as near its target as its tolerance, and cuts no group that it needn't."""
+    rng = np.random.RandomState(2)
+    rows = [(int(h), int(g), int(n)) for h, g, n in zip(rng.randint(-(1 << 62), 1 << 62, 3000) * 2, rng.randint(-(1 << 62), 1 << 62, 3000) * 2, rng.randint(1, 500, 3000))]
+    hot, small = rows[0][0], rows[1][0]
+    rows += [(hot, int(g) * 2, 300) for g in rng.randint(-(1 << 62), 1 << 62, 1500)] + [(small, int(g), 60) for g in range(8)] + [rows[5]] * 4
+    df = spark.createDataFrame(rows, "h long, g long, size long").cache()
+    total = sum(n for *_, n in rows)
+    group = 0.01 * total / 8
+    got = sorted(sharding._split(df, [total * k // 8 for k in range(1, 8)], 0.001 * total / 8, group))
+    low = lambda x: x + (1 << 63)
+    by = Counter()
+    for h, _, n in rows:
+        by[low(h)] += n
+    for k, cut in enumerate(got, 1):
+        below = sum(n for h, g, n in rows if (low(h), low(g)) < cut)
+        assert abs(below - total * k // 8) <= max(group / 2 + 500, 0.001 * total / 8)
+        if any(low(h) == cut[0] and (low(h), low(g)) < cut for h, g, _ in rows):
+            assert by[cut[0]] > group
+    parts = df.withColumn("p", sharding._range(got)).groupBy("h").agg(F.count_distinct("p").alias("n")).where("n > 1").collect()
+    assert [r["h"] for r in parts] == [hot]
 
 
 def test_shards_are_even_beside_a_hot_group(spark):
