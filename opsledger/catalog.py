@@ -157,7 +157,7 @@ _ID = "lpad(cast(c_custkey * 7919 % 100000000 as varchar), 8, '0') || 'A'"
  v as (select *, lpad(cast((b * 137 + 31) % 1000000000000 as varchar), 20, '0') as bban from s)
  select c_custkey, array_to_string(list_transform(range(1, length(c_name) + 1), lambda k: case when regexp_matches(substr(c_name, k, 1), '[A-Za-z]') then chr(cast(65 + (n + 17 * length(regexp_replace(substr(c_name, 1, k), '[^A-Za-z]', '', 'g'))) % 26 as integer)) else substr(c_name, k, 1) end), '') as name,
  substr('6789', cast(p % 4 + 1 as integer), 1) || lpad(cast((p * 97 + 13) % 100000000 as varchar), 8, '0') as phone,
- array_to_string(list_transform(range(1, 11), lambda k: chr(cast(97 + (e + 17 * k) % 26 as integer))), '') || (e * 31 + 7) % 999 || case when e % 2 = 0 then '@example.com' else '@example.org' end as email,
+ array_to_string(list_transform(range(1, 11), lambda k: chr(cast(97 + (e + 17 * k) % 26 as integer))), '') || ((e + 170) % 26 * 31 + 7) % 999 || case when (e + 170) % 26 % 2 = 0 then '@example.com' else '@example.org' end as email,
  lpad(cast((a * 131 + 17) % 1000000000000 as varchar), cast(greatest(length(cast(c_custkey as varchar)), 4) as integer), '0') as account,
  lpad(cast((i * 37 + 19) % 100000000 as varchar), 8, '0') || substr('TRWAGMYFPDXBNJZSQVHLCKE', cast((i * 37 + 19) % 100000000 % 23 + 1 as integer), 1) as national_id,
  'ES' || lpad(cast(98 - cast(bban || '142800' as hugeint) % 97 as varchar), 2, '0') || bban as iban, 'MASKED TEXT' as notes from v""")

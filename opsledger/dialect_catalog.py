@@ -55,17 +55,74 @@ def humanized(spark, d):
 
 
 @query("""with s as (select c_custkey, ('0x' || substr(md5('ADDRESS|' || upper(c_name)), 1, 7))::bigint % 2147483646 + 1 as s from customer)
- select c_custkey, ['STREET', 'AVENUE', 'SQUARE', 'ROAD'][s % 4 + 1] || ' ' || ['ELM', 'OAK', 'RIVER', 'HILL', 'GARDEN', 'STATION', 'MARKET', 'BRIDGE'][(s // 4) % 8 + 1] || ' N ' || ((s // 17) % 999 + 1) || ', '
+ select c_custkey, ['TERRACE', 'LANE', 'WHARF', 'CRESCENT'][s % 4 + 1] || ' ' || ['ELM', 'OAK', 'RIVER', 'HILL', 'GARDEN', 'STATION', 'MARKET', 'BRIDGE'][(s // 4) % 8 + 1] || ' N ' || ((s // 17) % 999 + 1) || ', '
  || ['NORTHFIELD', 'SOUTHPORT', 'EASTON', 'WESTBURY', 'LAKEVIEW', 'STONEHAM', 'GREENDALE', 'FAIRHAVEN'][(s // 11) % 8 + 1] as address from s""")
 def masked_addresses(spark, d):
     return t(spark, d, "customer").select("c_custkey", masks.address(F.col("c_name")).alias("address"))
 
 
-@query("""with s as (select c_custkey, c_nationkey % 4 as kind, 'D' || c_custkey as x, ('0x' || substr(md5('DOC|D' || c_custkey), 1, 7))::bigint % 2147483646 + 1 as s from customer)
- select c_custkey, case kind when 1 then lpad(cast((s * 37 + 19) % 100000000 as varchar), 8, '0') || substr('TRWAGMYFPDXBNJZSQVHLCKE', cast((s * 37 + 19) % 100000000 % 23 + 1 as integer), 1)
- when 3 then 'X' || lpad(cast((s * 41 + 23) % 10000000 as varchar), 7, '0') || substr('TRWAGMYFPDXBNJZSQVHLCKE', cast((s * 41 + 23) % 10000000 % 23 + 1 as integer), 1) else regexp_replace(x, '[0-9]', '9', 'g') end as doc from s""")
+# values of all the shapes that the masks tell apart, in words that both engines read
+SHAPES = """select cast(c_custkey as bigint) as k, case cast(c_custkey as bigint) % 8 when 0 then lpad(cast(cast(c_custkey as bigint) * 7919 % 100000000 as varchar(8)), 8, '0') || 'a'
+ when 1 then ' ' || substr('xYZ', cast(cast(c_custkey as bigint) % 3 as int) + 1, 1) || lpad(cast(cast(c_custkey as bigint) * 104729 % 10000000 as varchar(7)), 7, '0') || 'k '
+ when 2 then 'B' || lpad(cast(c_custkey as varchar(8)), 8, '0') when 3 then '   ' when 4 then null when 5 then 'es' || lpad(cast(c_custkey as varchar(9)), 22, '1')
+ when 6 then 'no digits: ' || c_mktsegment else 'ES ' || cast(c_custkey as varchar(9)) || '-' || c_name || ' 00 11 22 33 44 55 66' end as x, case when c_custkey % 5 = 0 then null else c_nationkey % 4 end as kind from {customer}"""
+
+
+def _shapes(spark, d):
+    return spark.sql(SHAPES, customer=t(spark, d, "customer"))
+
+
+def _with_shapes(more: str) -> str:
+    return f"with v as ({SHAPES.format(customer='customer')}), {more}"
+
+
+def _seed(salt: str, x: str) -> str:
+    return f"(('0x' || substr(md5('{salt}|' || {x}), 1, 7))::bigint % 2147483646 + 1)"
+
+
+NUMBER = "lpad(cast(({s} * 37 + 19) % 100000000 as varchar), 8, '0') || substr('TRWAGMYFPDXBNJZSQVHLCKE', cast(({s} * 37 + 19) % 100000000 % 23 + 1 as integer), 1)"
+FOREIGN = "['X', 'Y', 'Z'][{s} % 3 + 1] || lpad(cast(({s} * 41 + 23) % 10000000 as varchar), 7, '0') || substr('TRWAGMYFPDXBNJZSQVHLCKE', cast(cast(({s} % 3) || lpad(cast(({s} * 41 + 23) % 10000000 as varchar), 7, '0') as bigint) % 23 + 1 as integer), 1)"
+
+
+@query(_with_shapes(f"""u as (select k, nullif(upper(trim(substr(x, 1, 50))), '') as u from v), s as (select k, u, {_seed("ID", "u")} as s from u),
+ c as (select *, substr('ABCDEFGHJKLMNPQRSUVW', cast(s % 20 + 1 as integer), 1) as kind, lpad(cast((s * 43 + 29) % 10000000 as varchar), 7, '0') as n from s),
+ d as (select *, list_transform(range(1, 8), lambda i: cast(substr(n, i, 1) as integer) * (1 + i % 2)) as parts from c), e as (select *, (10 - list_sum(list_transform(parts, lambda p: p // 10 + p % 10)) % 10) % 10 as control from d)
+ select k, case when u is null then null when regexp_full_match(u, '[0-9]{{8}}[A-Z]') then {NUMBER.format(s='s')} when regexp_full_match(u, '[XYZ][0-9]{{7}}[A-Z]') then {FOREIGN.format(s='s')}
+ else kind || n || case when kind in ('K', 'P', 'Q', 'S', 'N', 'W') or (kind not in ('A', 'B', 'E', 'H') and control % 2 = 1) then substr('JABCDEFGHI', cast(control + 1 as integer), 1) else cast(cast(control as integer) as varchar) end end as id from e"""))
+def masked_ids(spark, d):
+    return _shapes(spark, d).select("k", masks.national_id(F.col("x")).alias("id"))
+
+
+@query(_with_shapes(f"""s as (select k, kind, nullif(upper(trim(x)), '') as u from v), z as (select *, {_seed("DOC", "(u || '|' || coalesce(cast(kind as varchar), '-1'))")} as s from s)
+ select k, case when u is null then null when kind = 1 then {NUMBER.format(s='s')} when kind = 3 then {FOREIGN.format(s='s')} else regexp_replace(u, '[0-9]', '9', 'g') end as doc from z"""))
 def masked_documents(spark, d):
-    return t(spark, d, "customer").select("c_custkey", masks.document(F.concat(F.lit("D"), F.col("c_custkey").cast("string")), F.col("c_nationkey") % 4).alias("doc"))
+    return _shapes(spark, d).select("k", masks.document(F.col("x"), F.col("kind")).alias("doc"))
+
+
+@query(_with_shapes(f"""a as (select k, x, regexp_replace(substr(x, 1, 200), '[^0-9]', '', 'g') as digits, upper(trim(substr(x, 1, 50))) as u from v),
+ s as (select *, least(greatest(case when digits = '' then length(x) else length(digits) end, 4), 20) as size, cast(({_seed("ACCOUNT", "digits")} * 131 + 17) % 1000000000000 as varchar) as n, lpad(cast(({_seed("IBAN", "u")} * 137 + 31) % 1000000000000 as varchar), 20, '0') as bban from a),
+ i as (select *, 'ES' || lpad(cast(98 - cast(bban || '142800' as hugeint) % 97 as varchar), 2, '0') || bban as full_iban, length(replace(u, ' ', '')) as wide from s),
+ b as (select k, u, case when x is null then null else lpad(n, cast(size as integer), '0') end as account, case when x is null then null when wide > 0 and wide < 24 then substr(full_iban, 1, wide) else full_iban end as iban from i)
+ select k, account, iban, case when regexp_full_match(u, 'ES[0-9]{{22}}') then iban else account end as bank from b"""))
+def masked_accounts(spark, d):
+    x = F.col("x")
+    return _shapes(spark, d).select("k", masks.account(x).alias("account"), masks.iban(x).alias("iban"), masks.mask("MY_BANK_COLUMN", x).alias("bank"))
+
+
+@query(_with_shapes(f"""s as (select k, x, {_seed("EMAIL", "lower(trim(x))")} as e, {_seed("PHONE", "regexp_replace(x, '[^0-9]', '', 'g')")} as p from v),
+ r as (select k, x, p, list_transform(range(1, 11), lambda i: (e + 17 * i) % 26) as steps from s)
+ select k, array_to_string(list_transform(steps, lambda v: chr(cast(97 + v as integer))), '') || (steps[10] * 31 + 7) % 999 || case when steps[10] % 2 = 0 then '@example.com' else '@example.org' end as email,
+ case when x is null then null else ['6', '7', '8', '9'][p % 4 + 1] || lpad(cast((p * 97 + 13) % 100000000 as varchar), 8, '0') end as phone from r"""))
+def masked_contacts(spark, d):
+    return _shapes(spark, d).select("k", masks.email(F.col("x")).alias("email"), masks.phone(F.col("x")).alias("phone"))
+
+
+@query("with recursive " + _with_shapes(f"""s as (select k, nullif(upper(trim(x)), '') as u from v), r as (select k, u, 2 as i, {_seed("ENDS", "u")} as s, '' as mid from s where length(u) > 2
+ union all select k, u, i + 1, case when regexp_full_match(c, '[0-9]') then (s * 29 + 7) % 10 when regexp_full_match(c, '[A-Z]') then (s * 131 + 17) % 26 else s end,
+ mid || case when regexp_full_match(c, '[0-9]') then cast((s * 29 + 7) % 10 as varchar) when regexp_full_match(c, '[A-Z]') then chr(cast(65 + (s * 131 + 17) % 26 as integer)) else c end from (select *, substr(u, i, 1) as c from r where i < length(u)) q)
+ select k, case when u is null or length(u) <= 2 then u end as ends from s where u is null or length(u) <= 2 union all select k, left(u, 1) || mid || right(u, 1) from r where i = length(u)""").removeprefix("with "))
+def masked_middles(spark, d):
+    return _shapes(spark, d).select("k", masks.keep_ends(F.col("x")).alias("ends"))
 
 
 @query("""with m as (select o_orderkey, o_custkey, o_orderpriority from orders), b as (select c_custkey, c_name from customer)

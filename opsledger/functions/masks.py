@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# fixed values
+# fixed values: letters of national and company ids
 DNI = "TRWAGMYFPDXBNJZSQVHLCKE"
 CIF_TYPES = "ABCDEFGHJKLMNPQRSUVW"
 CIF_LETTERS = "JABCDEFGHI"
+# this library's own words
 MARKER = "MASKED TEXT"
-STREETS = ["STREET", "AVENUE", "SQUARE", "ROAD"]
+STREETS = ["TERRACE", "LANE", "WHARF", "CRESCENT"]
 NAMES = ["ELM", "OAK", "RIVER", "HILL", "GARDEN", "STATION", "MARKET", "BRIDGE"]
 CITIES = ["NORTHFIELD", "SOUTHPORT", "EASTON", "WESTBURY", "LAKEVIEW", "STONEHAM", "GREENDALE", "FAIRHAVEN"]
 
@@ -46,15 +47,27 @@ def free_text(x: Column) -> Column:
     return F.when(x.isNotNull(), F.lit(MARKER))
 
 
+def trimmed(x: Column, most: int = 50) -> Column:
+    """Upper case without outer blanks; null if nothing is left."""
+    return F.nullif(F.upper(F.trim(F.substring(x, 1, most))), F.lit(""))
+
+
+def digits_of(x: Column, most: int = 1000) -> Column:
+    return F.regexp_replace(F.substring(x, 1, most), "[^0-9]", "")
+
+
 def phone(x: Column) -> Column:
-    s = seed("PHONE", F.regexp_replace(x, r"\D", ""))
-    return F.concat(F.substring(F.lit("6789"), 1, 0), F.substr(F.lit("6789"), (s % 4 + 1).cast("int"), F.lit(1)), F.lpad(((s * 97 + 13) % 100000000).cast("string"), 8, "0"))
+    s = seed("PHONE", digits_of(x))
+    return F.concat(F.substr(F.lit("6789"), (s % 4 + 1).cast("int"), F.lit(1)), F.lpad(((s * 97 + 13) % 100000000).cast("string"), 8, "0"))
 
 
 def email(x: Column) -> Column:
-    s = seed("EMAIL", F.lower(F.trim(x)))
-    user = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(10)), lambda k: F.char((F.lit(97) + (s + 17 * k) % 26).cast("int"))), "")
-    return F.concat(user, ((s * 31 + 7) % 999).cast("string"), F.when(s % 2 == 0, F.lit("@example.com")).otherwise(F.lit("@example.org")))
+    """Ten letters by the recurrence of ``mix_alpha``; number and domain come from the seed after the tenth."""
+    s = seed("EMAIL", F.lower(F.trim(F.substring(x, 1, 1000))))
+    steps = F.transform(F.sequence(F.lit(1), F.lit(10)), lambda k: (s + 17 * k) % 26)  # 131 is 1 modulo 26
+    last = F.element_at(steps, 10)
+    user = F.array_join(F.transform(steps, lambda v: F.char((v + 97).cast("int"))), "")
+    return F.when(x.isNotNull(), F.concat(user, ((last * 31 + 7) % 999).cast("string"), F.when(last % 2 == 0, F.lit("@example.com")).otherwise(F.lit("@example.org"))))
 
 
 def dni_letter(n: Column) -> Column:
@@ -69,58 +82,71 @@ def cif_control(kind: Column, digits: Column) -> Column:
         d = at(k) * 2
         total = total + F.floor(d / 10) + d % 10
     c = ((F.lit(10) - total % 10) % 10).cast("int")
-    return F.when(kind.isin(*"KPQRSNW"), F.substr(F.lit(CIF_LETTERS), c + 1, F.lit(1))).otherwise(c.cast("string"))
+    letter, digit = F.substr(F.lit(CIF_LETTERS), c + 1, F.lit(1)), c.cast("string")
+    return F.when(kind.isin(*"KPQSNW"), letter).when(kind.isin(*"ABEH") | (c % 2 == 0), digit).otherwise(letter)
+
+
+def national_number(s: Column) -> Column:
+    n = (s * 37 + 19) % 100000000
+    return F.concat(F.lpad(n.cast("string"), 8, "0"), dni_letter(n))
+
+
+def foreign_number(s: Column) -> Column:
+    """X, Y or Z by the seed, which counts as 0, 1 or 2 before the digits in the control letter."""
+    kind, m = s % 3, (s * 41 + 23) % 10000000
+    return F.concat(F.substr(F.lit("XYZ"), (kind + 1).cast("int"), F.lit(1)), F.lpad(m.cast("string"), 7, "0"), dni_letter(kind * 10000000 + m))
 
 
 def national_id(x: Column) -> Column:
-    u = F.upper(F.trim(x))
+    u = trimmed(x)
     s = seed("ID", u)
-    plain, foreign = (s * 37 + 19) % 100000000, (s * 41 + 23) % 10000000
-    kind = F.substr(F.lit("XYZ"), (s % 3 + 1).cast("int"), F.lit(1))
     cif = F.substr(F.lit(CIF_TYPES), (s % 20 + 1).cast("int"), F.lit(1))
     digits = F.lpad(((s * 43 + 29) % 10000000).cast("string"), 7, "0")
-    return (
-        F.when(u.rlike("^[0-9]{8}[A-Z]$"), F.concat(F.lpad(plain.cast("string"), 8, "0"), dni_letter(plain)))
-        .when(u.rlike("^[XYZ][0-9]{7}[A-Z]$"), F.concat(kind, F.lpad(foreign.cast("string"), 7, "0"), dni_letter((s % 3) * 10000000 + foreign)))
-        .when(x.isNotNull(), F.concat(cif, digits, cif_control(cif, digits)))
-    )
+    return F.when(u.rlike("^[0-9]{8}[A-Z]$"), national_number(s)).when(u.rlike("^[XYZ][0-9]{7}[A-Z]$"), foreign_number(s)).when(u.isNotNull(), F.concat(cif, digits, cif_control(cif, digits)))
 
 
 def account(x: Column) -> Column:
-    digits = F.length(F.regexp_replace(x, r"\D", ""))
-    size = F.when(digits == 0, F.least(F.length(x), F.lit(20))).otherwise(F.least(F.greatest(digits, F.lit(4)), F.lit(20)))
-    return F.call_function("lpad", ((seed("ACCOUNT", x) * 131 + 17) % 1000000000000).cast("string"), size, F.lit("0"))
+    """As many digits as the input has, or else characters, 4 to 20, from a seed of the digits alone."""
+    digits = digits_of(x, 200)
+    size = F.when(F.length(digits) == 0, F.length(F.substring(x, 1, 200))).otherwise(F.length(digits))
+    return F.call_function("lpad", ((seed("ACCOUNT", digits) * 131 + 17) % 1000000000000).cast("string"), F.least(F.greatest(size, F.lit(4)), F.lit(20)), F.lit("0"))
 
 
 def iban(x: Column, salt: str = "IBAN") -> Column:
-    bban = F.lpad(((seed(salt, F.upper(F.regexp_replace(x, r"\s", ""))) * 137 + 31) % 1000000000000).cast("string"), 20, "0")
+    """A valid number, cut to the input's length without blanks if that is shorter."""
+    u = F.upper(F.trim(F.substring(x, 1, 50)))
+    bban = F.lpad(((seed(salt, u) * 137 + 31) % 1000000000000).cast("string"), 20, "0")
     check = F.lit(98) - (F.concat(bban, F.lit("142800")).cast("decimal(38,0)") % 97).cast("int")
     full = F.concat(F.lit("ES"), F.lpad(check.cast("string"), 2, "0"), bban)
-    return F.when(x.isNotNull(), F.substr(full, F.lit(1), F.least(F.lit(24), F.length(x))))
+    n = F.length(F.replace(u, F.lit(" "), F.lit("")))
+    return F.when(x.isNotNull(), F.when((n > 0) & (n < 24), F.substr(full, F.lit(1), n)).otherwise(full))
+
+
+def bank(x: Column) -> Column:
+    return F.when(F.upper(F.trim(F.substring(x, 1, 50))).rlike("^ES[0-9]{22}$"), iban(x)).otherwise(account(x))
 
 
 def keep_ends(x: Column) -> Column:
-    """First and last characters stay; digits and letters between change, the rest stays. Two characters or fewer stay."""
-    s = seed("ENDS", x)
-    start = F.struct(F.lit("").alias("out"), s.alias("s"))
+    """First and last characters stay, in upper case without outer blanks; digits and letters between change, the rest stays. Two characters or fewer stay."""
+    u = trimmed(x, 4000)
+    start = F.struct(F.lit("").alias("out"), seed("ENDS", u).alias("s"))
 
     def step(acc: Column, c: Column) -> Column:
         digit, letter = (acc["s"] * 29 + 7) % 10, (acc["s"] * 131 + 17) % 26
-        isd, isl = c.rlike(r"^\d$"), c.rlike(r"^\p{L}$")
+        isd, isl = c.rlike("^[0-9]$"), c.rlike(r"^\p{L}$")
         out = F.when(isd, digit.cast("string")).when(isl, F.char((letter + 65).cast("int"))).otherwise(c)
         return F.struct(F.concat(acc["out"], out).alias("out"), F.when(isd, digit).when(isl, letter).otherwise(acc["s"]).alias("s"))
 
-    n = F.length(x)
-    middle = F.aggregate(F.split(F.substr(x, F.lit(2), n - 2), ""), start, step)["out"]
-    return F.when(n <= 2, x).otherwise(F.concat(F.substring(x, 1, 1), middle, F.substr(x, n, F.lit(1))))
+    n = F.length(u)
+    middle = F.aggregate(F.split(F.substr(u, F.lit(2), n - 2), ""), start, step)["out"]
+    return F.when(n <= 2, u).otherwise(F.concat(F.substring(u, 1, 1), middle, F.substr(u, n, F.lit(1))))
 
 
 def document(x: Column, kind: Column) -> Column:
-    s = seed("DOC", x)
-    n, m = (s * 37 + 19) % 100000000, (s * 41 + 23) % 10000000
-    dni = F.concat(F.lpad(n.cast("string"), 8, "0"), dni_letter(n))
-    nie = F.concat(F.lit("X"), F.lpad(m.cast("string"), 7, "0"), dni_letter(m))
-    return F.when(x.isNull(), F.lit(None)).when(kind == 1, dni).when(kind == 3, nie).otherwise(F.regexp_replace(x, r"\d", "9"))
+    """By the document's type: 1 a national number, 3 a foreign one, else the value with nines for digits."""
+    u = trimmed(x, 4000)
+    s = seed("DOC", F.concat(u, F.lit("|"), F.coalesce(kind.cast("string"), F.lit("-1"))))
+    return F.when(u.isNull(), F.lit(None)).when(kind == 1, national_number(s)).when(kind == 3, foreign_number(s)).otherwise(F.regexp_replace(u, "[0-9]", "9"))
 
 
 EXACT = {"NAME": name, "ADDRESS": address, "PHONE": phone, "EMAIL": email, "NATIONAL_ID": national_id, "ACCOUNT": account, "IBAN": iban, "FREE_TEXT": free_text, "KEEP_ENDS": keep_ends}
@@ -133,7 +159,7 @@ def mask(identifier: str, x: Column) -> Column:
     if key in EXACT:
         return EXACT[key](x)
     if "BANK" in key:
-        return F.when(F.upper(x).rlike("^ES[0-9]{22}$"), iban(x)).otherwise(account(x))
+        return bank(x)
     return next((f for k, f in EXACT.items() if k in key), free_text)(x)
 
 
