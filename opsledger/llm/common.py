@@ -6,6 +6,7 @@ import tempfile
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,12 @@ def apart(df: DataFrame, needed: list[str], results: list[str]) -> tuple[list[Co
     return back, held.select("*", *[F.col(f"_in{names.index(c)}").alias(c) for c in needed])
 
 
+def each(values: pa.Array, step: int = 256) -> Iterator:
+    """The values of an Arrow array, of which few are Python objects at a time."""
+    for at in range(0, len(values), step):
+        yield from values.slice(at, step).to_pylist()
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cuts the lineage through files in the shared folder, which outlive lost executors."""
     shared_dir(df.sparkSession)

@@ -20,12 +20,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsledger.llm.common import Recent, checkpoint, table
+from opsledger.llm.common import Recent, checkpoint, each, table
 
 CAPACITY = 2048
 END = 1
 WINDOW = 4096  # pieces that are packed together, on average
 REMEMBERED = 300_000
+BATCH = 3_000_000  # characters that are encoded together, about
 
 
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"  # the file's own pre-tokens
@@ -157,30 +158,30 @@ def pack(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens) of every piece of every document."""
 
-    def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = Ids(path)
         end = np.array([END], "<u4").tobytes()
         for p in parts:
-            texts, at = [x or "" for x in p["text"]], 0
-            doc_ids = p["doc_id"].tolist()
-            while at < len(texts):
-                stop, n = at, 0
-                while stop < len(texts) and (stop == at or n + len(texts[stop]) <= 6_000_000):
-                    n += len(texts[stop])
-                    stop += 1
+            held: list[tuple] = []
+            size = 0
+            for at, row in enumerate(zip(each(p["doc_id"]), each(p["text"]), strict=True), 1):
+                held.append(row)
+                size += len(row[1] or "")
+                if size < BATCH and at < p.num_rows:
+                    continue
                 rows = []
-                for doc_id, b in zip(doc_ids[at:stop], ids.encode(texts[at:stop]), strict=True):
+                for (doc_id, _), b in zip(held, ids.encode([x or "" for _, x in held]), strict=True):
                     b += end
                     total = len(b) // 4
                     for start in range(0, total, capacity):
                         part = b[4 * start : 4 * (start + capacity)]
                         rows.append((doc_id, start, len(part) // 4, zlib.crc32(part), total))
-                yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
-                at = stop
+                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*rows, strict=True), (pa.string(), *[pa.int64()] * 4), strict=True)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                held, size = [], 0
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     # a null id travels as a string, which pandas doesn't turn into a float
-    out = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(cut, "doc_id string, start long, length long, ids_crc32 long, doc_tokens long")
+    out = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInArrow(cut, "doc_id string, start long, length long, ids_crc32 long, doc_tokens long")
     return out.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 

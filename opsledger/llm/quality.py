@@ -10,12 +10,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsledger.llm.common import table
+from opsledger.llm.common import each, table
 
 BUCKETS = 1 << 14
 TRUSTED = 20_000  # most labelled rows that the target is fitted on: those of the smallest hashed ids
@@ -23,7 +23,7 @@ SMOOTH = 1.0
 THRESHOLD = -0.07  # nats an n-gram; rows like the target score near zero
 SYMBOLS = "#*$%&|<>"
 SPACE = " \t\n\x0b\x0c\r"
-CACHE = 300_000  # words whose hash a task remembers
+CACHE = 100_000  # words whose hash a task remembers
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -72,10 +72,10 @@ def rules(text: str, words: list[bytes], h: np.ndarray) -> tuple[int, int, int,
 def count_buckets(docs: DataFrame) -> DataFrame:
     """(bucket, raw, target) of ``docs`` (text, trusted): each task sums before its rows go out."""
 
-    def counted(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target, seen = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64), Hashes()
         for p in parts:
-            for text, trusted in zip(p["text"], p["trusted"], strict=True):
+            for text, trusted in zip(each(p["text"]), each(p["trusted"]), strict=True):
                 if text is None:
                     continue
                 b = np.bincount(buckets_of(word_hashes(text.encode("utf-8", "surrogatepass").split(), seen)), minlength=BUCKETS)
@@ -83,9 +83,9 @@ def count_buckets(docs: DataFrame) -> DataFrame:
                 if trusted:
                     target += b
         some = np.flatnonzero(raw)
-        yield pd.DataFrame({"bucket": some, "raw": raw[some], "target": target[some]})
+        yield pa.RecordBatch.from_pydict({"bucket": some, "raw": raw[some], "target": target[some]})
 
-    return docs.mapInPandas(counted, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    return docs.mapInArrow(counted, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
@@ -105,18 +105,19 @@ SCORES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_rep
 
 
 def score(docs: DataFrame, ratio: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one struct column ``quality_rules`` of the fields of SCORES.
+    """``docs`` with one struct column ``quality_rules`` of the fields of SCORES, which replaces one of that name.
 
     A null text counts as one without words; a text without words scores 0 and fails the base
-    rules. Every row is judged alone, so repeated rows get equal verdicts.
+    rules. Every row is judged alone, so repeated rows get equal verdicts, whatever their ids.
+    An empty table gives an empty result. Other columns are kept, whatever their names.
     """
 
-    @F.pandas_udf(SCORES)
-    def judge(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(SCORES)
+    def judge(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         seen = Hashes()
-        for s in texts:
-            out = []
-            for text in s:
+        for texts in parts:
+            out: list[list] = [[] for _ in range(8)]
+            for text in each(texts):
                 text = text or ""
                 words = text.encode("utf-8", "surrogatepass").split()
                 h = word_hashes(words, seen)
@@ -124,8 +125,10 @@ def score(docs: DataFrame, ratio: np.ndarray, threshold: float = THRESHOLD) -> D
                 chars, symbols, lines, repeated = rules(text, words, h)
                 failed = n < 50 or 100 * repeated > 50 * n
                 mean = float(ratio[buckets_of(h)].mean()) if n else 0.0
-                out.append((n, chars, symbols, lines, repeated, failed, mean, not failed and mean >= threshold))
-            yield pd.DataFrame(out, columns=[x.split()[0] for x in SCORES.split(", ")])
+                for column, value in zip(out, (n, chars, symbols, lines, repeated, failed, mean, not failed and mean >= threshold), strict=True):
+                    column.append(value)
+            kinds = [{"long": pa.int64(), "boolean": pa.bool_(), "double": pa.float64()}[x.split()[1]] for x in SCORES.split(", ")]
+            yield pa.StructArray.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], [x.split()[0] for x in SCORES.split(", ")])
 
     return docs.withColumn("quality_rules", judge("text"))
 

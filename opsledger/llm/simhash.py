@@ -15,13 +15,13 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import LongType
 
-from opsledger.llm.common import checkpoint, connected_components, table
+from opsledger.llm.common import checkpoint, connected_components, each, table
 
 MAX_BITS = 2
 CUTS = ((0, 22), (22, 21), (43, 21))  # first bit and bits of each segment
@@ -45,10 +45,10 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > len(parts), bitorder="little").view(np.uint64)[0])
 
 
-@pandas_udf(LongType())
-def fingerprint_of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+@F.arrow_udf(LongType())
+def fingerprint_of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for s in texts:
-        yield pd.Series(np.array([fingerprint(x) for x in s], np.uint64).view(np.int64))
+        yield pa.array(np.fromiter(map(fingerprint, each(s)), np.uint64, len(s)).view(np.int64))
 
 
 @lru_cache(1)
