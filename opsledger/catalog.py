@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from opsledger.functions import dialect, masks
 from opsledger.operators import relational as rel
-from opsledger.operators.subset import Edge, Graph, Node, subset
 from opsledger.plans.masking import masked, without_collisions
-from opsledger.registry import ORACLES, QUERIES, dec, query, t  # noqa: F401
+from opsledger.registry import CHECKS, QUERIES, dec, query, t  # noqa: F401
 
 FLAGSHIP = "capacity_by_container"
 
@@ -40,8 +39,7 @@ def rollup_subtotals(spark, d):
 
 @query("""select event_type, grouping(event_type) as is_total, cast(floor(user_id / 100) as bigint) as bucket, count(*) as n from events group by floor(user_id / 100), rollup(event_type)""")
 def partial_rollup(spark, d):
-    t(spark, d, "events").createOrReplaceTempView("_ev")
-    return spark.sql("select event_type, cast(grouping(event_type) as bigint) is_total, cast(floor(user_id / 100) as bigint) bucket, count(*) n from _ev group by floor(user_id / 100), rollup(event_type)")
+    return spark.sql("select event_type, cast(grouping(event_type) as bigint) is_total, cast(floor(user_id / 100) as bigint) bucket, count(*) n from {ev} group by floor(user_id / 100), rollup(event_type)", ev=t(spark, d, "events"))
 
 
 @query("select cast(ts as date) as day, " + ", ".join(f"count(*) filter (where hour(ts) = {h}) as h_{h}" for h in range(24)) + " from events group by 1")
@@ -90,7 +88,7 @@ RANGES = "(select l_suppkey as f, l_orderkey * 10 as lo, l_orderkey * 10 + l_lin
 def interval_overlap(spark, d):
     e = t(spark, d, "lineitem").select(F.col("l_suppkey").alias("f"), (F.col("l_orderkey") * 10).alias("alo"), (F.col("l_orderkey") * 10 + F.col("l_linenumber") * 7).alias("ahi"))
     b = e.select("f", F.col("alo").alias("blo"), F.col("ahi").alias("bhi"))
-    return rel.overlap_join(e, b, ["f"], ("alo", "ahi"), ("blo", "bhi"), 64).where("alo < blo").select("f", "alo", "blo", "lo", "hi")
+    return rel.overlap_join(e, b, ["f"], ("alo", "ahi"), ("blo", "bhi")).where("alo < blo").select("f", "alo", "blo", "lo", "hi")
 
 
 @query(f"""with e as {RANGES}, w as (select f, lo, max(hi) over (partition by f order by lo, hi rows between unbounded preceding and 1 preceding) as e from e) select f, e + 1 as gap_lo, lo - 1 as gap_hi from w where lo > e + 1""")
@@ -114,9 +112,7 @@ def anti_join(spark, d):
 
 @query("select s_suppkey from supplier where (s_suppkey, s_nationkey) in (select c_custkey, c_nationkey from customer)")
 def tuple_in(spark, d):
-    t(spark, d, "supplier").createOrReplaceTempView("_s")
-    t(spark, d, "customer").createOrReplaceTempView("_c")
-    return spark.sql("select s_suppkey from _s where (s_suppkey, s_nationkey) in (select c_custkey, c_nationkey from _c)")
+    return spark.sql("select s_suppkey from {s} where (s_suppkey, s_nationkey) in (select c_custkey, c_nationkey from {c})", s=t(spark, d, "supplier"), c=t(spark, d, "customer"))
 
 
 @query("(select c_nationkey as k from customer intersect select s_nationkey from supplier) union all (select c_nationkey from customer except select s_nationkey from supplier)")
@@ -182,30 +178,6 @@ def unique_numbers(spark, d):
     return rel.permutation(t(spark, d, "customer"), "c_custkey", 1, "seed").select("number")
 
 
-@query("""with o as (select o_orderkey, o_custkey from orders where o_orderstatus = 'F' and o_orderpriority = '1-URGENT'), l as (select * from lineitem where l_orderkey in (select o_orderkey from o)),
- c as (select * from customer where c_custkey in (select o_custkey from o)), s as (select * from supplier where s_suppkey in (select l_suppkey from l)), p as (select * from part where p_partkey in (select l_partkey from l)),
- n as (select n_nationkey, n_regionkey from nation where n_nationkey in (select c_nationkey from c union select s_nationkey from s))
- select 'customer' as tab, count(*) as n from c union all select 'lineitem', count(*) from l union all select 'nation', count(*) from n union all select 'orders', count(*) from o
- union all select 'part', count(*) from p union all select 'region', count(distinct n_regionkey) from n union all select 'supplier', count(*) from s""")
-def referential_subset(spark, d):
-    names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
-    tables = {k: t(spark, d, k) for k in names}
-    tables["lineitem"] = tables["lineitem"].withColumn("line_key", F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
-    nodes = {k: Node(key) for k, key in zip(names, ["r_regionkey", "n_nationkey", "c_custkey", "s_suppkey", "p_partkey", "o_orderkey", "line_key"], strict=True)}
-    nodes["orders"].where = "o_orderstatus = 'F' and o_orderpriority = '1-URGENT'"
-    edges = [Edge("nation", "n_regionkey", "region", "r_regionkey"), Edge("customer", "c_nationkey", "nation", "n_nationkey"), Edge("supplier", "s_nationkey", "nation", "n_nationkey"), Edge("orders", "o_custkey", "customer", "c_custkey"), Edge("lineitem", "l_orderkey", "orders", "o_orderkey"), Edge("lineitem", "l_partkey", "part", "p_partkey"), Edge("lineitem", "l_suppkey", "supplier", "s_suppkey")]
-    if not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
-    kept = subset(tables, Graph(nodes, edges))
-    out = None
-    for k in sorted(kept):
-        n = kept[k].agg(F.lit(k).alias("tab"), F.count("*").alias("n"))
-        out = n if out is None else out.unionByName(n)
-    return out
-
-
 @query("""select coalesce(s_suppkey, c_custkey) as k, case when c_custkey is null then cast(s_acctbal as decimal(18,2)) else cast(c_acctbal as decimal(18,2)) end as balance from supplier full join customer on s_suppkey = c_custkey""")
 def upserted(spark, d):
     a = t(spark, d, "supplier").select(F.col("s_suppkey").alias("k"), dec("s_acctbal").alias("balance"))
@@ -213,23 +185,35 @@ def upserted(spark, d):
     return rel.upsert(a, b, ["k"])
 
 
-@query("""select coalesce(s_suppkey, c_custkey) as k, case when s_suppkey is null then 'INSERT' when c_custkey is null then 'DELETE' else 'UPDATE' end as action from supplier full join customer on s_suppkey = c_custkey where s_suppkey is null or c_custkey is null or s_nationkey <> c_nationkey""")
+@query("""with a as (select s_suppkey as k, s_nationkey as n, case when s_suppkey % 3 = 0 then null when s_suppkey % 3 = 1 then '' else 'a|b' end as t, 'c' as u from supplier),
+ b as (select c_custkey as k, case when c_custkey % 4 = 0 then c_nationkey else coalesce((select s_nationkey from supplier where s_suppkey = c_custkey), 7) end as n, case when c_custkey % 6 < 2 then null when c_custkey % 3 = 1 then '' when c_custkey % 2 = 0 then 'a' else 'a|b' end as t,
+ case when c_custkey % 3 = 2 and c_custkey % 2 = 0 then 'b|c' else 'c' end as u from customer)
+ select coalesce(a.k, b.k) as k, case when a.k is null then 'INSERT' when b.k is null then 'DELETE' else 'UPDATE' end as action,
+ case when a.k is not null then coalesce('''' || a.n || '''', 'NULL') || '|' || coalesce('''' || a.t || '''', 'NULL') || '|' || '''' || a.u || '''' end as old_image,
+ case when b.k is not null then coalesce('''' || b.n || '''', 'NULL') || '|' || coalesce('''' || b.t || '''', 'NULL') || '|' || '''' || b.u || '''' end as new_image
+ from a full join b on a.k = b.k where a.k is null or b.k is null or a.n is distinct from b.n or a.t is distinct from b.t or a.u is distinct from b.u""")
 def change_capture(spark, d):
-    a = t(spark, d, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_nationkey").alias("n"))
-    b = t(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_nationkey").alias("n"))
-    return rel.changes(a, b, ["k"]).select("k", "action")
+    a = spark.sql("select s_suppkey as k, s_nationkey as n, case when s_suppkey % 3 = 0 then null when s_suppkey % 3 = 1 then '' else 'a|b' end as t, 'c' as u from {s}", s=t(spark, d, "supplier"))
+    b = spark.sql(
+        """select c_custkey as k, case when c_custkey % 4 = 0 then c_nationkey else coalesce(s_nationkey, 7) end as n, case when c_custkey % 6 < 2 then null when c_custkey % 3 = 1 then '' when c_custkey % 2 = 0 then 'a' else 'a|b' end as t,
+        case when c_custkey % 3 = 2 and c_custkey % 2 = 0 then 'b|c' else 'c' end as u from {c} left join {s} on s_suppkey = c_custkey""",
+        s=t(spark, d, "supplier"),
+        c=t(spark, d, "customer"),
+    )
+    return rel.changes(a, b, ["k"])
 
 
-@query("select distinct p_type as a, p_brand as b from part where lower(p_type) like '%e%' and regexp_matches(p_brand, '[0-9]$') and p_size between 5 and 20")
+@query("select distinct p_type as a, p_brand as b from part where lower(p_type) like '%e%' and regexp_matches(p_brand, '^bRAND.*[0-9]$', 'i') and p_size between 5 and 20")
 def predicates(spark, d):
     p = t(spark, d, "part")
-    return p.where(F.lower("p_type").like("%e%") & dialect.regexp_like(F.col("p_brand"), "[[:digit:]]$".replace("[[:digit:]]", "[0-9]")) & F.col("p_size").between(5, 20)).select(F.col("p_type").alias("a"), F.col("p_brand").alias("b")).distinct()
+    return p.where(F.lower("p_type").like("%e%") & dialect.regexp_like(F.col("p_brand"), "^bRAND.*[[:digit:]]$", "i") & F.col("p_size").between(5, 20)).select(F.col("p_type").alias("a"), F.col("p_brand").alias("b")).distinct()
 
 
-@query("select event_type, stddev_samp(x) is null as single, min(x) as low, max(x) as high, count(distinct user_id) as users from (select event_type, user_id, cast(value * 100 as bigint) as x from events) group by event_type")
+@query("""select event_type, round(stddev_samp(x), 4) as deviation, round(var_samp(x), 2) as variance, round(var_pop(x), 2) as population, min(x) as low, max(x) as high, count(distinct user_id) as users
+ from (select event_type, user_id, cast(value * 100 as bigint) as x from events) group by event_type""")
 def spread(spark, d):
     e = t(spark, d, "events").select("event_type", "user_id", F.expr("cast(round(value * 100) as bigint)").alias("x"))
-    return e.groupBy("event_type").agg(F.stddev_samp("x").isNull().alias("single"), F.min("x").alias("low"), F.max("x").alias("high"), F.count_distinct("user_id").alias("users"))
+    return e.groupBy("event_type").agg(F.round(F.stddev_samp("x"), 4).alias("deviation"), F.round(F.var_samp("x"), 2).alias("variance"), F.round(F.var_pop("x"), 2).alias("population"), F.min("x").alias("low"), F.max("x").alias("high"), F.count_distinct("user_id").alias("users"))
 
 
-from opsledger import dialect_catalog, report_catalog  # noqa: E402, F401 they add their queries
+from opsledger import dialect_catalog, report_catalog, subset_catalog  # noqa: E402, F401 they add their queries

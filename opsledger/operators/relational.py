@@ -7,35 +7,48 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opsledger.shared import checkpoint
 
-def hierarchy(df: DataFrame, child: str, parent: str, start: Column, depth: int = 100) -> DataFrame:
+
+def hierarchy(df: DataFrame, child: str, parent: str, start: Column, depth: int | None = None) -> DataFrame:
     """Rows reachable from ``start`` with level, root and path; a row that is on its own path already isn't taken again.
 
-    Each round joins only the last level; it ends with the first empty one.
+    Each round joins only the last level, which is checkpointed; it ends with the first empty
+    one. Levels beyond ``depth`` are left out if it is given.
     """
     edges = df.select(F.col(child).alias("node"), F.col(parent).alias("up"))
-    level = edges.where(start).select("node", F.lit(1).alias("level"), F.col("node").alias("root"), F.array("node").alias("path"))
-    out = [level]
-    for k in range(2, depth + 1):
-        level = level.alias("l").join(edges.alias("e"), F.col("e.up") == F.col("l.node")).where(~F.array_contains("l.path", F.col("e.node"))).select(F.col("e.node").alias("node"), F.lit(k).alias("level"), "l.root", F.concat("l.path", F.array("e.node")).alias("path"))
-        if level.isEmpty():
-            break
+    level = checkpoint(edges.where(start).select("node", F.lit(1).alias("level"), F.col("node").alias("root"), F.array("node").alias("path")))
+    out, k = [level], 1
+    while not level.isEmpty() and (depth is None or k < depth):
+        k += 1
+        level = checkpoint(level.alias("l").join(edges.alias("e"), F.col("e.up") == F.col("l.node")).where(~F.array_contains("l.path", F.col("e.node"))).select(F.col("e.node").alias("node"), F.lit(k).alias("level"), "l.root", F.concat("l.path", F.array("e.node")).alias("path")))
         out.append(level)
     return reduce(DataFrame.unionByName, out)
 
 
-def overlap_join(a: DataFrame, b: DataFrame, keys: list[str], a_range: tuple[str, str], b_range: tuple[str, str], width: int) -> DataFrame:
-    """Pairs of rows whose closed ranges overlap, with the common part (lo, hi).
+def overlap_join(a: DataFrame, b: DataFrame, keys: list[str], a_range: tuple[str, str], b_range: tuple[str, str]) -> DataFrame:
+    """Pairs of rows whose closed ranges of whole numbers overlap, with the common part (lo, hi).
 
-    Ranges are dealt to bins of ``width``, so the join is by equality; a pair that meets in several bins counts in the bin where the common part starts.
+    A range is dealt, by its width, to the level whose bins are the next power of two, and so to
+    two bins at most; the join is by equality of level and bin. The wider range of a pair looks up
+    the narrower's levels: each side is sent once to every wider level that the other side has, in
+    the one or two bins it touches there. A pair that meets twice counts where its common part starts.
     """
-    alo, ahi = a_range
-    blo, bhi = b_range
-    bins = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / width), F.floor(F.col(hi) / width)))
-    left = a.where(F.col(alo) <= F.col(ahi)).withColumn("_bin", bins(alo, ahi))
-    right = b.where(F.col(blo) <= F.col(bhi)).withColumn("_bin", bins(blo, bhi))
+    (alo, ahi), (blo, bhi) = a_range, b_range
+    level = lambda lo, hi: F.ceil(F.log2((F.col(hi) - F.col(lo) + 1).cast("double"))).cast("int")
+    left = a.where(F.col(alo) <= F.col(ahi)).withColumn("_own", level(alo, ahi))
+    right = b.where(F.col(blo) <= F.col(bhi)).withColumn("_own", level(blo, bhi))
+    levels = sorted({r[0] for r in left.select("_own").distinct().unionByName(right.select("_own").distinct()).distinct().collect()})  # 64 at most
+
+    def dealt(df: DataFrame, lo: str, hi: str) -> DataFrame:
+        df = df.withColumn("_level", F.explode(F.filter(F.array(*map(F.lit, levels)), lambda k: k >= F.col("_own"))) if levels else F.lit(0))
+        cell = lambda c: F.expr(f"floor({c} / power(2D, _level))")
+        return df.withColumn("_bin", F.explode(F.array_distinct(F.array(cell(lo), cell(hi)))))
+
+    left, right = dealt(left, alo, ahi).withColumnRenamed("_own", "_a"), dealt(right, blo, bhi).withColumnRenamed("_own", "_b")
     lo, hi = F.greatest(alo, blo), F.least(ahi, bhi)
-    return left.join(right, [*keys, "_bin"]).where((lo <= hi) & (F.floor(lo / width) == F.col("_bin"))).withColumn("lo", lo).withColumn("hi", hi).drop("_bin")
+    met = left.join(right, [*keys, "_level", "_bin"]).where(F.col("_level") == F.greatest("_a", "_b"))
+    return met.withColumn("lo", lo).withColumn("hi", hi).where((F.col("lo") <= F.col("hi")) & (F.expr("floor(lo / power(2D, _level))") == F.col("_bin"))).drop("_level", "_bin", "_a", "_b")
 
 
 def gaps(df: DataFrame, keys: list[str], lo: str, hi: str) -> DataFrame:
@@ -60,10 +73,6 @@ def with_subtotals(df: DataFrame, keys: list[str], aggs: list[Column], total: st
     return g.select(*[F.when(F.col(f"_g_{k}") == 1, total).otherwise(F.col(k).cast("string")).alias(k) for k in keys], *[c for c in g.columns if c not in keys and not c.startswith("_g_")])
 
 
-def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")
-
-
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], keep_old: list[str] = ()) -> DataFrame:
     """Rows of ``source`` replace those of ``target`` with their keys; a null in ``keep_old`` leaves the old value. ``source`` has a row per key."""
     new = source.select(*keys, F.struct(*[c for c in target.columns if c not in keys]).alias("_new"), F.lit(True).alias("_hit"))
@@ -82,18 +91,23 @@ def update_from(target: DataFrame, source: DataFrame, keys: list[str], sets: dic
 
 
 def changes(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """INSERT, UPDATE and DELETE with row images as text."""
+    """INSERT, UPDATE and DELETE with row images as text, in which a null is NULL and quotes stand around values; columns are compared one by one, null equal to null."""
     rest = [c for c in old.columns if c not in keys]
-    image = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rest])
-    o, n = old.select(*keys, image.alias("old_image")), new.select(*keys, image.alias("new_image"))
-    both = o.join(n, keys, "full")
-    action = F.when(F.col("old_image").isNull(), "INSERT").when(F.col("new_image").isNull(), "DELETE").when(F.col("old_image") != F.col("new_image"), "UPDATE")
-    return both.withColumn("action", action).where("action is not null")
-
-
-def mapping_table(df: DataFrame, column: str, masked: Column) -> DataFrame:
-    """(orig_val, new_val) of the distinct values that aren't null."""
-    return df.where(F.col(column).isNotNull()).select(F.col(column).alias("orig_val"), masked.alias("new_val")).distinct()
+    quoted = lambda c: F.coalesce(F.concat(F.lit("'"), F.replace(F.col(c).cast("string"), F.lit("'"), F.lit("''")), F.lit("'")), F.lit("NULL"))
+    image = F.concat_ws("|", *map(quoted, rest)) if rest else F.lit("")
+    o, n = old.select(*keys, F.struct(*rest).alias("_old"), image.alias("old_image")), new.select(*keys, F.struct(*rest).alias("_new"), image.alias("new_image"))
+    same = reduce(lambda x, c: x & F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}")), rest, F.lit(True))
+    action = F.when(F.col("old_image").isNull(), "INSERT").when(F.col("new_image").isNull(), "DELETE").when(~same, "UPDATE")
+    return o.join(n, keys, "full").withColumn("action", action).where("action is not null").drop("_old", "_new")
+
+
+def ranked(df: DataFrame, key: str) -> DataFrame:
+    """(key, rank from 1): ``df``'s distinct keys in the order of their MD5, ranked by ranges of it, not in one place."""
+    h = df.select(F.col(key).alias("_k"), F.md5(F.col(key).cast("string")).alias("_h")).withColumn("_part", F.conv(F.substring("_h", 1, 3), 16, 10).cast("int"))
+    w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # 4096 rows at most
+    base = h.groupBy("_part").count().withColumn("_base", F.coalesce(F.sum("count").over(w), F.lit(0))).select("_part", "_base")
+    n = F.row_number().over(Window.partitionBy("_part").orderBy("_h", "_k"))
+    return h.withColumn("_n", n).join(F.broadcast(base), "_part").select(F.col("_k").alias(key), (F.col("_base") + F.col("_n")).alias("rank"))
 
 
 def permutation(df: DataFrame, key: str, low: int, seed: str) -> DataFrame:

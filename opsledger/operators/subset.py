@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opsledger.operators.relational import ranked
+from opsledger.shared import checkpoint
+
 
 @dataclass(frozen=True)
 class Edge:
@@ -18,6 +22,8 @@ class Edge:
 
 @dataclass
 class Node:
+    """A table: its key, its rule, and what its rows pull in where it is the one that drives."""
+
     key: str
     where: str | None = None
     percent: float | None = None
@@ -31,68 +37,110 @@ class Node:
 class Graph:
     nodes: dict[str, Node]
     edges: list[Edge]
-    excluded: set[tuple[str, str]] = field(default_factory=set)
-    forced: set[tuple[str, str]] = field(default_factory=set)
+    excluded: set[tuple[str, str]] = field(default_factory=set)  # (child, parent) that no one follows
+    forced: set[tuple[str, str]] = field(default_factory=set)  # (child, parent): the only children that the parent's rows pull, always
 
 
-def capped(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """The first ``rows`` by key: a top-k over sorted partitions."""
-    return df.orderBy(key).limit(rows)
+def seeds(df: DataFrame, node: Node) -> DataFrame:
+    """Keys that a rule picks: all that its condition holds for, or a share of them; without a condition at least one row."""
+    rows = df.where(node.where) if node.where else df
+    keys = checkpoint(rows.select(node.key).distinct())
+    if node.percent is None or (node.where and not 0 < node.percent < 100):
+        return keys
+    n = rows.count()
+    most = int(n * node.percent / 100 + 0.5) if node.where else int(n * node.percent / 100) + 1
+    return first_rows(keys, node.key, most)
 
 
-def percent_cap(n: int, percent: float) -> int:
-    return int(n * percent / 100) + 1
+def first_rows(keys: DataFrame, key: str, most: int) -> DataFrame:
+    """``most`` of the distinct ``keys``, in the order of their hash."""
+    return checkpoint(ranked(keys, key).where(F.col("rank") <= most).select(key))
 
 
-def subset(tables: dict[str, DataFrame], graph: Graph, checkpoint=lambda df: df.checkpoint(), rounds: int = 50) -> dict[str, DataFrame]:
+def subset(tables: dict[str, DataFrame], graph: Graph) -> dict[str, DataFrame]:
     """Rows to keep of every table. A rule that fails raises.
 
-    Work goes in rounds: each table's newly added keys pull their parents, then, where the table
-    was reached from a parent or a rule, their children. Only new keys are taken on, so cycles end.
+    Tables with a rule and tables taken whole drive one after another, by name. New rows pull
+    their parents, and the children of the driving table and of children found, as the driving
+    table's flags say; a table's forced children are pulled always, and instead of others. Children
+    are capped at their table's ``max_rows``, what is held already counted in; parents never are, so
+    no child lacks one. Only new keys are taken on, so cycles end, however long they are.
     """
-    keys: dict[str, DataFrame] = {}
-    new: dict[str, tuple[DataFrame, bool, str | None]] = {}
-    for name, node in sorted(graph.nodes.items()):
-        if node.include_all or node.where is None and node.percent is None:
-            continue
-        rows = tables[name].where(node.where) if node.where else tables[name]
-        if node.percent:
-            rows = capped(rows, node.key, percent_cap(rows.count(), node.percent))
-        seed = checkpoint(rows.select(node.key).distinct())
-        keys[name], new[name] = seed, (seed, True, None)
+    held: dict[str, list[DataFrame]] = {}  # keys so far, in the parts that they came in
+    size: dict[str, int] = {}
 
-    def take(name: str, found: DataFrame, down: bool, source: str, into: dict) -> None:
+    def fresh(name: str, found: DataFrame, capped: bool) -> DataFrame | None:
         node = graph.nodes[name]
         if node.include_all:
-            return
-        found = found.join(keys[name], node.key, "left_anti") if name in keys else found
-        if node.max_rows is not None and not down:
-            found = capped(found, node.key, node.max_rows)
-        found = checkpoint(found.distinct())
-        if found.isEmpty():
-            return
-        keys[name] = checkpoint(keys[name].unionByName(found)) if name in keys else found
-        was = into.get(name)
-        into[name] = (was[0].unionByName(found), was[1] or down, source) if was else (found, down, source)
-
-    for _ in range(rounds):
-        if not new:
-            break
-        into: dict = {}
-        for name, (fresh, from_above, source) in new.items():
-            rows = tables[name].join(fresh, graph.nodes[name].key, "left_semi")
-            for e in graph.edges:
-                if e.child == name and e.parent != name and graph.nodes[name].pull_parents and (e.child, e.parent) not in graph.excluded:
+            return None
+        found = found.distinct()
+        for part in held.get(name, []):
+            found = found.join(part, node.key, "left_anti")
+        found = checkpoint(found)
+        room = node.max_rows - size.get(name, 0) if capped and node.max_rows else None
+        n = found.count()
+        if room is not None and 0 <= room < n:
+            found, n = first_rows(found, node.key, room), room
+        if not n:
+            return None
+        held.setdefault(name, []).append(found)
+        size[name] = size.get(name, 0) + n
+        return found
+
+    for root, rule in sorted(graph.nodes.items()):
+        if not (rule.include_all or rule.where or rule.percent):
+            continue
+        start = checkpoint(tables[root].select(rule.key).distinct()) if rule.include_all else fresh(root, seeds(tables[root], rule), False)
+        todo = [(root, start, None, None)] if start is not None else []
+        while todo:
+            name, new, reached, driver = todo.pop(0)
+            rows = tables[name].join(new, graph.nodes[name].key, "left_semi")
+            if rule.pull_parents:
+                for e in sorted(graph.edges, key=lambda e: e.parent):
+                    if e.child != name or (e.child, e.parent) in graph.excluded or (reached == "parent" and e.parent == driver):
+                        continue
                     fk = rows.where(F.col(e.child_key).isNotNull()).select(F.col(e.child_key).alias("_k")).distinct()
-                    take(e.parent, tables[e.parent].join(fk, F.col(e.parent_key) == F.col("_k"), "left_semi").select(graph.nodes[e.parent].key), False, name, into)
-            for e in graph.edges:
-                wanted = (from_above and graph.nodes[name].pull_children) or (e.child, e.parent) in graph.forced
-                if e.parent == name and e.child != name and wanted and e.child != source and (e.child, e.parent) not in graph.excluded:
+                    found = fresh(e.parent, tables[e.parent].join(fk, F.col(e.parent_key) == F.col("_k"), "left_semi").select(graph.nodes[e.parent].key), False)
+                    if found is not None:
+                        todo.append((e.parent, found, "child", name))
+            forced = {x for x in graph.forced if x[1] == name}
+            if forced or (rule.pull_children and reached != "child"):
+                for e in sorted(graph.edges, key=lambda e: e.child):
+                    if e.parent != name or e.child == name or (e.child, e.parent) in graph.excluded or (forced and (e.child, e.parent) not in forced):
+                        continue
                     pk = rows.select(F.col(e.parent_key).alias("_k")).distinct()
-                    take(e.child, tables[e.child].join(pk, F.col(e.child_key) == F.col("_k"), "left_semi").select(graph.nodes[e.child].key), True, name, into)
-        new = into
+                    found = fresh(e.child, tables[e.child].join(pk, F.col(e.child_key) == F.col("_k"), "left_semi").select(graph.nodes[e.child].key), True)
+                    if found is not None:
+                        todo.append((e.child, found, "parent", name))
     out = {}
     for name, df in tables.items():
-        node = graph.nodes[name]
-        out[name] = df if node.include_all else df.join(keys[name], node.key, "left_semi") if name in keys else df.limit(0)
+        key = graph.nodes[name].key
+        kept = [df.join(part, key, "left_semi") for part in held.get(name, [])]
+        out[name] = df if graph.nodes[name].include_all else reduce(DataFrame.unionByName, kept, df.limit(0))
     return out
+
+
+def export(kept: dict[str, DataFrame], folder: str, remap: dict[str, dict[str, Column]] | None = None) -> DataFrame:
+    """Writes each table of a subset as Parquet under ``folder``, columns replaced as ``remap`` says; (table, rows, path) of each."""
+    for name, df in kept.items():
+        df.withColumns((remap or {}).get(name, {})).write.parquet(f"{folder.rstrip('/')}/{name}")
+    spark = next(iter(kept.values())).sparkSession
+    counts = [spark.read.parquet(f"{folder.rstrip('/')}/{name}").agg(F.lit(name).alias("table"), F.count("*").alias("rows"), F.lit(f"{folder.rstrip('/')}/{name}").alias("path")) for name in sorted(kept)]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def empty_tables(kept: dict[str, DataFrame]) -> list[str]:
+    """Tables of which nothing is kept."""
+    return sorted(name for name, df in kept.items() if df.isEmpty())
+
+
+def dangling(kept: dict[str, DataFrame], graph: Graph) -> DataFrame:
+    """(child, parent, n): rows kept whose parent isn't, of each edge that is followed."""
+    out = []
+    for e in graph.edges:
+        if (e.child, e.parent) in graph.excluded:
+            continue
+        p = kept[e.parent].select(F.col(e.parent_key).alias("_k")).distinct()
+        c = kept[e.child].where(F.col(e.child_key).isNotNull()).join(p, F.col(e.child_key) == F.col("_k"), "left_anti")
+        out.append(c.agg(F.lit(e.child).alias("child"), F.lit(e.parent).alias("parent"), F.count("*").alias("n")))
+    return reduce(DataFrame.unionByName, out)

@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+CHECKS: dict[str, str] = {}
 
 
 def query(sql: str | None = None):
     def add(f):
         QUERIES[f.__name__] = f
         if sql:
-            ORACLES[f.__name__] = sql
+            CHECKS[f.__name__] = sql
         return f
 
     return add

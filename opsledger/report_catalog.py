@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from opsledger.registry import ORACLES, QUERIES, t
+from opsledger.registry import CHECKS, QUERIES, t
 
 REPORTS = {
     # projections and predicates
@@ -91,7 +91,7 @@ def _add(name: str, sql: str) -> None:
         return spark.sql(sql, **{k: t(spark, sf_dir, k) for k in tables})
 
     QUERIES[name] = run
-    ORACLES[name] = sql.format(**{k: k for k in tables})
+    CHECKS[name] = sql.format(**{k: k for k in tables})
 
 
 for _name, _sql in REPORTS.items():
