@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+import string
 from collections.abc import Iterator
 
 import pandas as pd
@@ -46,7 +47,8 @@ def named(value: str, names: frozenset[str] = NAMES) -> bool:
     return False
 
 
-EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
+EDGES = string.punctuation + string.digits + "«»“”‘’„…¿¡–—"
+OTHER = re.compile("[^\\W\\d_\u0041-\u024f]")
 OUTER, MARKED, SURE = 1, 2, 3  # bad places: by the name of an element around the article, by name, by the element itself
 TAG = re.compile(r"<(?:!--.*?(?:--!?>|\Z)|(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*+)>|!\[CDATA\[(?P<data>.*?)(?:\]\]>|\Z)|[!?/][^>]*+>)", re.S)
 ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
@@ -75,11 +77,10 @@ def _boiler(name: str, attrs: str, inside: bool) -> int:
 
 def density(s: str, stop: frozenset[str] = STOP) -> float | None:
     """Stop words among the words of a block; None where most letters are of another script than the stop words', Latin."""
-    letters = [c for c in s if c.isalpha()]
-    if 2 * sum(c > "\u024f" for c in letters) > len(letters):
+    if not s.isascii() and 2 * len(OTHER.findall(s)) > sum(map(str.isalpha, s)):
         return None
-    words = [w for w in map(EDGES.sub, [""] * len(s), s.lower().split()) if w]
-    return sum(w in stop for w in words) / max(1, len(words))
+    words = s.lower().split()
+    return sum(w.strip(EDGES) in stop for w in words) / len(words)
 
 
 def judged(s: str, linked: int, bad: bool, inside: bool, article: bool) -> bool | None:
