@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -12,21 +12,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
+from opsledger.shared import checkpoint, shared_dir
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a temporary one only where none is set."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="opsledger-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
 def apart(df: DataFrame, needed: list[str], results: list[str]) -> tuple[list[Column], DataFrame]:
     """``df`` with its columns under names that clash with nothing, and those needed under their own too; and how to get the columns back, but for those named like ``results``."""
     names = df.columns
@@ -41,12 +33,6 @@ def each(values: pa.Array, step: int = 256) -> Iterator:
         yield from values.slice(at, step).to_pylist()
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cuts the lineage through files in the shared folder, which outlive lost executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 class Recent(dict):
     """What was worked out lately, in two generations of ``most`` entries: a full one becomes the older, and the oldest are forgotten."""
 
@@ -95,15 +81,24 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read again: as ``checkpoint``, for larger tables."""
-    import uuid
-
+def stored(df: DataFrame, paths: list[str] | None = None) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read again: as ``checkpoint``, for larger tables. ``paths`` takes its place down, for ``dropped``."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if paths is not None:
+        paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes stored tables that nothing reads any more, as what was made of them is stored itself."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    paths.clear()
+
+
 def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` with a column of distinct longs: the id if it is one, else the place in the table as stored."""
     bad = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null").limit(1).count()

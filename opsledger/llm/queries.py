@@ -9,4 +9,14 @@ QUERIES = {
     for f in (chaining.op1_substring_dedup, suffix.op2_suffix_dedup, quality.op3_quality_rules, sharding.op4_sharding, warc.op5_warc, packing.op6_packing, covertree.op7_embedding_dedup, bpe.op8_bpe, extract.op9_html, simhash.op10_simhash_dedup)
 }
 
-CHECKS: dict[str, str] = {}
+# where SQL says the whole result; the others have brute-force tests
+CHECKS = {
+    "op5_warc": """select page_id, cast(octet_length(encode(html)) as bigint) as payload_bytes, sha1(html) as payload_digest, case when r then 'revisit' else 'response' end as record_type, case when r then most end as refers_to
+ from (select *, octet_length(encode(html)) >= 1000 and page_id is distinct from most and most is not null as r from (select page_id, html, max(page_id) over (partition by html) as most from (select page_id, coalesce(html, '') as html from pages) p) m) q""",
+    "op7_embedding_dedup": """with recursive v as (select row_number() over () as row, vec_id, label, cast(embedding as double[]) as x from embeddings),
+ good as (select * from v where label is not null and len(x) > 0 and len(list_filter(x, lambda e: e is null or isnan(e) or isinf(e))) = 0 and len(list_filter(x, lambda e: e <> 0)) > 0),
+ links as (select a.row as a, b.row as b from good a join good b on a.label = b.label and len(a.x) = len(b.x) and a.row <> b.row where case when len(a.x) = len(b.x) then list_cosine_similarity(a.x, b.x) else 0 end >= 0.93),
+ reached as (select row, row as other from v union select r.row, l.b from reached r join links l on l.a = r.other)
+ select v.vec_id, coalesce(n.n, 0) as n_links, c.component_id, v.vec_id is not distinct from c.component_id as kept from v left join (select a, count(*) as n from links group by a) n on n.a = v.row
+ join (select r.row, min(o.vec_id) as component_id from reached r join v o on o.row = r.other group by r.row) c on c.row = v.row""",
+}

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from opsledger.llm.common import keyed, pressed, stored, table
+from opsledger.llm.common import dropped, keyed, pressed, stored, table
 
 WINDOW = 200
 GRAM = 32
@@ -241,10 +241,11 @@ def merged(g: pd.DataFrame, window: int = WINDOW) -> pd.DataFrame:
 PIECE = "d long, first int, last int, o long, h long, p1 long, p2 long"
 
 
-def covered(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def covered(docs: DataFrame, window: int = WINDOW, paths: list[str] | None = None) -> DataFrame:
     """(d, spans) of the texts of ``docs`` (d, text) with a window that another text has, or the same text elsewhere.
 
     Texts that are equal count as one here, told by the 128-bit hash that a piece's origin ``o`` is made of.
+    ``paths`` takes down the stored tables that the result reads.
     """
 
     def find(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -265,11 +266,11 @@ def covered(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 ph = np.frombuffer(b"".join(xxhash.xxh3_128_digest(own[i][x : y + window - 1]) for i, x, y in cut), np.int64).reshape(-1, 2)
                 yield pd.DataFrame({"d": ds[start:at][t], "first": first.astype(np.int32), "last": last.astype(np.int32), "o": o, "h": h, "p1": ph[:, 0], "p2": ph[:, 1]})
 
-    found = stored(docs.where(F.octet_length("text") >= window).mapInPandas(find, PIECE))
-    same = stored(found.groupBy("p1", "p2").agg(F.min("h").alias("h"), F.min("o").alias("least"), F.min_by("d", F.struct("o", "d")).alias("by"), (F.min("o") != F.max("o")).alias("multi")))
+    found = stored(docs.where(F.octet_length("text") >= window).mapInPandas(find, PIECE), paths)
+    same = stored(found.groupBy("p1", "p2").agg(F.min("h").alias("h"), F.min("o").alias("least"), F.min_by("d", F.struct("o", "d")).alias("by"), (F.min("o") != F.max("o")).alias("multi")), paths)
     mixed = same.groupBy("h").agg(F.count("*").alias("m")).where("m > 1")
-    known = stored(same.join(mixed, "h", "left").where("multi or m is not null").select("p1", "p2", "least", "by", "multi", "m"))
-    met = stored(found.join(known, ["p1", "p2"]).withColumn("sent", F.col("m").isNotNull() & (F.col("o") == F.col("least")) & (F.col("d") == F.col("by"))).where("multi or sent").select("d", "first", "last", "h", "multi", "sent", F.coalesce("m", F.lit(0)).alias("m")))
+    known = stored(same.join(mixed, "h", "left").where("multi or m is not null").select("p1", "p2", "least", "by", "multi", "m"), paths)
+    met = stored(found.join(known, ["p1", "p2"]).withColumn("sent", F.col("m").isNotNull() & (F.col("o") == F.col("least")) & (F.col("d") == F.col("by"))).where("multi or sent").select("d", "first", "last", "h", "multi", "sent", F.coalesce("m", F.lit(0)).alias("m")), paths)
     sent = met.where("sent").groupBy("d").agg(F.collect_list(F.struct("first", "last", "h", "multi", "m")).alias("cuts"))
 
     def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -291,7 +292,7 @@ def covered(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     pieces = docs.where(F.octet_length("text") >= window).select("d", pressed("text").alias("text")).join(sent, "d").mapInPandas(cut, "d long, start int, h long, multi boolean, m long, piece binary")
     salt = F.pmod(F.xxhash64("d", "start"), F.ceil(F.col("m") / MOST)).cast("int")
     dealt = pieces.withColumn("salted", F.col("m") > MOST).withColumn("shard", F.when(F.col("salted"), salt).otherwise(0)).withColumn("to", F.when(F.col("salted"), F.xxhash64("h", "shard")).otherwise(F.pmod(F.xxhash64("h"), F.lit(shards))))
-    spans = stored(dealt.groupBy("to").applyInPandas(lambda g: shard_spans(g, window), SPANS))
+    spans = stored(dealt.groupBy("to").applyInPandas(lambda g: shard_spans(g, window), SPANS), paths)
     cross = spans.where("h is not null").select("h", "part", "shard", "run").groupBy("h", "part").applyInPandas(lambda g: merged(g, window), "d long, first int, last int")
     whole = met.where("multi").select("d", "first", (F.col("last") + window - 1).alias("last"))
     every = whole.unionByName(spans.where("h is null").select("d", "first", "last")).unionByName(cross)
@@ -341,10 +342,12 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, with_text: bool = True)
     named, key = keyed(docs)
     names = [c for c in named.columns if c != "text"]
     text = named.select(F.col(f"`{key}`").cast("long").alias("d"), "text")
+    paths: list[str] = []
     rows = text.where(F.octet_length("text") >= window).select("d", F.xxhash64("text").alias("k1"), F.xxhash64(F.lit(1), "text").alias("k2"), F.octet_length("text").alias("n"))
-    several = stored(rows.groupBy("k1", "k2", "n").agg(F.count("*").alias("times")).where("times > 1").drop("times"))
+    several = stored(rows.groupBy("k1", "k2", "n").agg(F.count("*").alias("times")).where("times > 1").drop("times"), paths)
     copies = rows.join(several, ["k1", "k2", "n"]).select("d", F.lit(True).alias("copied"))
-    info = stored(covered(text, window).join(copies, "d", "full").select("d", F.coalesce("copied", F.lit(False)).alias("copied"), F.when(F.col("copied").isNull(), F.col("spans")).alias("spans")))
+    info = stored(covered(text, window, paths).join(copies, "d", "full").select("d", F.coalesce("copied", F.lit(False)).alias("copied"), F.when(F.col("copied").isNull(), F.col("spans")).alias("spans")))
+    dropped(docs.sparkSession, paths)
     held = named.select(*[F.col(f"`{c}`").alias(f"_in{k}") for k, c in enumerate(names)], pressed("text").alias("_text"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     out = held.join(info, F.col(f"_in{names.index(key)}") == F.col("d"), "left").withColumn("cut", _cutter(with_text)("_text", F.coalesce("copied", F.lit(False)), "spans"))
     back = [F.col(f"_in{names.index(c)}").alias(c) for c in docs.columns if c not in ("text", "n_bytes", "cut")]

@@ -480,3 +480,17 @@ def test_pipeline(spark):
     out = corpus_pipeline.run(spark, D)
     assert out.count() > 0
     assert len(corpus_pipeline.STAGES) == 4 and set(queries.QUERIES) >= {"op8_bpe"}
+
+
+@pytest.mark.parametrize("name", sorted(queries.CHECKS))
+def test_same_rows_as_sql(spark, name):
+    import duckdb
+
+    d, db = "/root/testdata/sf0.01", duckdb.connect()
+    for t in ("documents", "embeddings", "pages"):
+        db.execute(f"create view {t} as select * from '{d}/{t}.parquet'")
+    want = db.execute(queries.CHECKS[name])
+    cols = [c[0] for c in want.description]
+    got = queries.QUERIES[name](spark, d)
+    assert sorted(got.columns) == sorted(cols)
+    assert sorted(map(str, (tuple(r) for r in got.select(*cols).collect()))) == sorted(map(str, want.fetchall()))
