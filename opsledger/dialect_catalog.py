@@ -206,3 +206,98 @@ def text_round_trip(spark, d):
     form = ["ABCDEFGHIJKLMNOPQRSTUVWXYZ"] * 2 + ["0123456789"] * 5
     e = t(spark, d, "customer").select("c_custkey", rules.text_fpe(x, form, "k").alias("e"))
     return e.select("c_custkey", rules.text_fpe(F.col("e"), form, "k", decrypt=True).alias("back"))
+
+
+@query("""select p_partkey, case when p_brand = 'Brand#11' then 'eleven' when p_brand = 'Brand#12' then 'twelve' else 'other' end as decoded, case when x is null then 'none' when x = 5 then 'five' end as from_null,
+ ltrim(p_name, 'abcde') as l, rtrim(p_name, 'xyzst') as r, coalesce(regexp_extract_all(p_name, '[a-z]+')[2], null) as second_word, regexp_extract_all(p_brand, '[0-9]+')[1] as digits, chr(cast(65 + p_partkey % 26 as integer)) as letter,
+ lower(to_hex(p_partkey)) as hexed, cast(octet_length(encode(p_name)) as bigint) as bytes, cast(length(p_name) - length(regexp_replace(p_name, '^(.*)e[^e]*$', '\\1')) as bigint) as from_end
+ from (select *, nullif(p_size % 7, 0) as x from part) p""")
+def more_string_functions(spark, d):
+    x = F.col("p_name")
+    back = dialect.instr(x, "e", -1)
+    return t(spark, d, "part").select(
+        "p_partkey", dialect.decode(F.col("p_brand"), "Brand#11", "eleven", "Brand#12", "twelve", default="other").alias("decoded"), dialect.decode(F.nullif(F.col("p_size") % 7, F.lit(0)), None, "none", 5, "five").alias("from_null"),
+        dialect.ltrim(x, "abcde").alias("l"), dialect.rtrim(x, "xyzst").alias("r"), dialect.regexp_substr(x, "[[:lower:]]+", 2).alias("second_word"), dialect.regexp_substr(F.col("p_brand"), "[[:digit:]]+").alias("digits"),
+        F.char(65 + F.col("p_partkey") % 26).alias("letter"), dialect.to_hex(F.col("p_partkey")).alias("hexed"), F.octet_length(x).cast("long").alias("bytes"), F.when(back > 0, F.length(x) - back + 1).otherwise(0).cast("long").alias("from_end"),
+    )
+
+
+@query("""with w as (select c_custkey, regexp_extract_all(x, '[A-Za-z0-9]+|[^A-Za-z0-9]+') as parts from (select c_custkey, c_mktsegment || '-of ' || lower(c_name) as x from customer))
+ select c_custkey, array_to_string(list_transform(parts, lambda p: upper(p[1]) || lower(p[2:])), '') as title from w""")
+def title_case(spark, d):
+    return t(spark, d, "customer").select("c_custkey", dialect.initcap(F.concat("c_mktsegment", F.lit("-of "), F.lower("c_name"))).alias("title"))
+
+
+@query("""with x as (select o_orderkey, cast(o_orderdate as timestamp) + to_minutes(cast(o_orderkey * 37 % 1440 as integer)) as a, timestamp '1996-02-29 06:30:00' as b from orders)
+ select o_orderkey, round(12.0 * (year(a) - year(b)) + month(a) - month(b) + case when day(a) = day(b) or (cast(a as date) = last_day(a) and cast(b as date) = last_day(b)) then 0
+ else (day(a) - day(b) + (hour(a) * 60 + minute(a) - hour(b) * 60 - minute(b)) / 1440.0) / 31.0 end, 6) as months, cast(cast(a as date) + cast(7 - (isodow(a) - 1 + 7 - 0) % 7 as integer) as date) as monday,
+ cast(case when month(a) >= 7 then date_trunc('year', a) + interval 1 year else date_trunc('year', a) end as date) as near_year, cast(case when day(a) >= 16 then date_trunc('month', a) + interval 1 month else date_trunc('month', a) end as date) as near_month,
+ cast(case when hour(a) >= 12 then date_trunc('day', a) + interval 1 day else date_trunc('day', a) end as date) as near_day, cast(date_trunc('quarter', a) as date) as quarter, cast(date_trunc('week', a) as date) as week,
+ strftime(a, '%Y%m%d %H%M') as round_trip from x""")
+def more_date_functions(spark, d):
+    o = t(spark, d, "orders").select("o_orderkey", F.expr("cast(o_orderdate as timestamp) + make_interval(0, 0, 0, 0, 0, cast(o_orderkey * 37 % 1440 as int), 0)").alias("a"))
+    a, b = F.col("a"), F.lit("1996-02-29 06:30:00").cast("timestamp")
+    text = dialect.to_char(a, "DD/MM/YYYY HH24:MI:SS")
+    return o.select(
+        "o_orderkey", F.round(dialect.months_between(a, b), 6).alias("months"), dialect.next_day(a, "MON").alias("monday"), F.to_date(dialect.round_date(a, "YYYY")).alias("near_year"), F.to_date(dialect.round_date(a, "MM")).alias("near_month"),
+        F.to_date(dialect.round_date(a, "DD")).alias("near_day"), F.to_date(dialect.trunc_date(a, "Q")).alias("quarter"), F.to_date(dialect.trunc_date(a, "IW")).alias("week"), F.date_format(dialect.to_date(text, "DD/MM/YYYY HH24:MI:SS"), "yyyyMMdd HHmm").alias("round_trip"),
+    )
+
+
+@query("""select l_orderkey, l_linenumber, l_partkey, l_suppkey, trunc(x / 7.0) as t, trunc(-x / 7.0 * 100) / 100 as t2, cast(round(x, -2) as bigint) as hundreds, round(exp(l_discount), 6) as e, round(ln(l_quantity) / ln(2), 6) as l2, round(sin(l_quantity) + cos(l_quantity) + tan(l_discount), 6) as trig,
+ format('{:,.2f}', x * 1.0) as shown, cast(x as double) as back, case when l_linenumber = 1 then null else cast(l_linenumber as double) end as parsed from (select *, cast(round(l_extendedprice) as bigint) as x from lineitem) q""")
+def more_math_functions(spark, d):
+    x = F.round("l_extendedprice").cast("long")
+    shown = dialect.number_text(x, 2)
+    return t(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", dialect.trunc(x / 7.0).alias("t"), dialect.trunc(-x / 7.0, 2).alias("t2"), F.round(x, -2).alias("hundreds"), F.round(F.exp("l_discount"), 6).alias("e"), F.round(F.log(2.0, F.col("l_quantity")), 6).alias("l2"),
+        F.round(F.sin("l_quantity") + F.cos("l_quantity") + F.tan("l_discount"), 6).alias("trig"), shown.alias("shown"), dialect.to_number(shown).alias("back"), dialect.to_number(F.when(F.col("l_linenumber") == 1, "no number").otherwise(F.concat(F.lit(" +"), F.col("l_linenumber").cast("string"), F.lit(". ")))).alias("parsed"),
+    )
+
+
+@query("""select 'all' as asked, c_mktsegment, count(*) as n from customer group by c_mktsegment union all select 'one', c_mktsegment, count(*) from customer where c_mktsegment = 'BUILDING' group by c_mktsegment
+ union all select 'bound', c_mktsegment, count(*) from customer where c_nationkey between 3 and 9 group by c_mktsegment""")
+def parameters(spark, d):
+    c = t(spark, d, "customer")
+    ask = lambda name, value: c.where(dialect.wanted(F.col("c_mktsegment"), value)).groupBy("c_mktsegment").agg(F.count("*").alias("n")).select(F.lit(name).alias("asked"), "c_mktsegment", "n")
+    bound = spark.sql("select 'bound' as asked, c_mktsegment, count(*) as n from {c} where c_nationkey between :low and :high group by c_mktsegment", args={"low": 3, "high": 9}, c=c)
+    return ask("all", "").unionByName(ask("one", "BUILDING")).unionByName(bound)
+
+
+PATTERNS = "(values ('web', '^(click|view)$'), ('shop', '^(purchase|sign.*)$'), ('all', '.'), ('none', '^x$')) as m(product, pattern)"
+
+
+@query(f"select product, count(e.event_type) as n from (select * from {PATTERNS}) p left join events e on regexp_matches(e.event_type, p.pattern) group by product")
+def regex_join(spark, d):
+    """A mapping of a few patterns is sent to all tasks: each row is held against each pattern, and no row meets another row."""
+    kinds = t(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("k"))
+    m = spark.sql(f"select * from {PATTERNS}")
+    return m.join(kinds, F.expr("event_type rlike pattern"), "left").groupBy("product").agg(F.coalesce(F.sum("k"), F.lit(0)).alias("n"))
+
+
+GRANTS = "(values ('a', 'r1', cast(null as varchar(9)), cast(null as varchar(9))), ('a', 'r2', 'a', 'r1'), ('b', 'r1', 'a', 'r1'), ('b', 'r3', 'b', 'r1'), ('a', 'r1', 'b', 'r3'), ('a', 'r9', 'a', 'r2')) as g(owner, name, up_owner, up_name)"
+
+
+@query(f"""with recursive g as (select * from {GRANTS}), r as (select owner, name, 1 as level, [owner || '.' || name] as path from g where up_owner is null
+ union all select g.owner, g.name, r.level + 1, list_append(r.path, g.owner || '.' || g.name) from r join g on g.up_owner = r.owner and g.up_name = r.name where not list_contains(r.path, g.owner || '.' || g.name))
+ select row_number() over (order by array_to_string(path, '/')) as place, owner, name, cast(level as integer) as level, repeat('  ', cast(level - 1 as integer)) || name as shown from r""")
+def pre_order_listing(spark, d):
+    """Keys of two columns, a cycle that ends where it closes, and rows in the order of their paths."""
+    from pyspark.sql import Window
+
+    g = spark.sql(f"select concat(owner, '.', name) as node_key, concat(up_owner, '.', up_name) as up_key from {GRANTS}")
+    h = rel.hierarchy(g, "node_key", "up_key", F.col("up").isNull())
+    place = F.row_number().over(Window.orderBy(F.array_join("path", "/")))
+    return h.select(place.alias("place"), F.split("node", r"\.")[0].alias("owner"), F.split("node", r"\.")[1].alias("name"), "level", F.concat(F.expr("repeat('  ', level - 1)"), F.split("node", r"\.")[1]).alias("shown"))
+
+
+KEYS = "(values ('nation', 'region'), ('customer', 'nation'), ('supplier', 'nation'), ('orders', 'customer'), ('lineitem', 'orders'), ('lineitem', 'part'), ('lineitem', 'supplier')) as k(child, parent)"
+
+
+@query(f"""with k as (select * from {KEYS}) select 'nation' as tab, side, other, 'alter table ' || child || ' disable constraint fk_' || child || '_' || parent || ';' as statement
+ from (select child, parent, 'parent' as side, parent as other from k where child = 'nation' union all select child, parent, 'child' as side, child as other from k where parent = 'nation') s""")
+def key_statements(spark, d):
+    """Both sides of a table's foreign keys, and a statement for each."""
+    k = spark.sql(f"select * from {KEYS}")
+    sides = k.where("child = 'nation'").select("child", "parent", F.lit("parent").alias("side"), F.col("parent").alias("other")).unionByName(k.where("parent = 'nation'").select("child", "parent", F.lit("child").alias("side"), F.col("child").alias("other")))
+    return sides.select(F.lit("nation").alias("tab"), "side", "other", F.concat(F.lit("alter table "), "child", F.lit(" disable constraint fk_"), "child", F.lit("_"), "parent", F.lit(";")).alias("statement"))

@@ -66,3 +66,91 @@ def regexp_like(text: Column, pattern: str, flags: str = "") -> Column:
     for k, v in POSIX.items():
         pattern = pattern.replace(k, v)
     return text.rlike(("(?i)" if "i" in flags else "") + pattern)
+
+
+def decode(x: Column, *cases: object, default: object = None) -> Column:
+    """The value after the first key that equals ``x``, null equal to null: key, value, key, value..."""
+    out: Column | None = None
+    for k, v in zip(cases[::2], cases[1::2], strict=True):
+        hit = x.eqNullSafe(F.lit(k))
+        out = F.when(hit, F.lit(v)) if out is None else out.when(hit, F.lit(v))
+    return F.lit(default) if out is None else out.otherwise(F.lit(default))
+
+
+def initcap(text: Column) -> Column:
+    """Letters that start a run of letters and digits in upper case, the others in lower case."""
+    parts = F.regexp_extract_all(text, F.lit(r"([\p{L}\p{N}]+|[^\p{L}\p{N}]+)"), F.lit(1))
+    return F.array_join(F.transform(parts, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.lower(F.substr(p, F.lit(2))))), "")
+
+
+def ltrim(text: Column, letters: str = " ") -> Column:
+    return F.ltrim(text, F.lit(letters))
+
+
+def rtrim(text: Column, letters: str = " ") -> Column:
+    return F.rtrim(text, F.lit(letters))
+
+
+def regexp_substr(text: Column, pattern: str, nth: int = 1) -> Column:
+    """The nth match, null if there are fewer."""
+    for k, v in POSIX.items():
+        pattern = pattern.replace(k, v)
+    return F.try_element_at(F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1)), F.lit(nth))
+
+
+def trunc(n: Column, digits: int = 0) -> Column:
+    """Towards zero at ``digits`` places, left of the point if negative."""
+    scaled = n * F.lit(10.0**digits)
+    return F.when(scaled >= 0, F.floor(scaled)).otherwise(F.ceil(scaled)) / F.lit(10.0**digits)
+
+
+def months_between(a: Column, b: Column) -> Column:
+    """Whole months where the days agree or both are a month's last, else with a fraction by months of 31 days."""
+    return F.months_between(a, b, False)
+
+
+
+def trunc_date(ts: Column, unit: str = "DD") -> Column:
+    """To the start of a year, quarter, month, week from Monday, day, hour or minute."""
+    return F.date_trunc({"YYYY": "year", "YEAR": "year", "Q": "quarter", "MM": "month", "MONTH": "month", "IW": "week", "DD": "day", "HH24": "hour", "MI": "minute"}[unit], ts)
+
+
+def round_date(ts: Column, unit: str = "DD") -> Column:
+    """To the nearest start: years turn with July, months with the sixteenth, days with noon, hours with the half."""
+    later = {"YYYY": F.month(ts) >= 7, "MM": F.dayofmonth(ts) >= 16, "DD": F.hour(ts) >= 12, "HH24": F.minute(ts) >= 30}[unit]
+    step = {"YYYY": "INTERVAL 1 YEAR", "MM": "INTERVAL 1 MONTH", "DD": "INTERVAL 1 DAY", "HH24": "INTERVAL 1 HOUR"}[unit]
+    start = trunc_date(ts, unit)
+    return F.when(later, start + F.expr(step)).otherwise(start)
+
+
+def next_day(ts: Column, day: str) -> Column:
+    """The first ``day`` of the week after ``ts``."""
+    return F.next_day(ts, day)
+
+
+def to_date(text: Column, pattern: str) -> Column:
+    """A timestamp by a pattern of the dialect's date elements; null if the text doesn't fit."""
+    for k in sorted(DATE_PARTS, key=len, reverse=True):
+        pattern = pattern.replace(k, DATE_PARTS[k])
+    return F.try_to_timestamp(text, F.lit(pattern))
+
+
+def to_number(text: Column, point: str = ".", group: str = ",") -> Column:
+    """A number with its groups taken out; null if the text is none."""
+    plain = F.replace(F.replace(F.trim(text), F.lit(group), F.lit("")), F.lit(point), F.lit("."))
+    return F.when(plain.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)$"), plain.cast("double"))
+
+
+def number_text(n: Column, digits: int, grouped: bool = True) -> Column:
+    """A number with ``digits`` after the point, in groups of three."""
+    out = F.format_number(n, digits)
+    return out if grouped else F.replace(out, F.lit(","), F.lit(""))
+
+
+def to_hex(n: Column) -> Column:
+    return F.lower(F.hex(n))
+
+
+def wanted(column: Column, value: str | None) -> Column:
+    """A report's filter by a parameter: all rows where it is null or empty."""
+    return F.lit(True) if not value else column == F.lit(value)
