@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from opsledger.llm.common import checkpoint, connected_components, each, table
+from opsledger.llm.common import checkpoint, connected_components, each, keyed, table
 
 MAX_BITS = 2
 CUTS = ((0, 22), (22, 21), (43, 21))  # first bit and bits of each segment
@@ -147,12 +147,19 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the row with its smallest id stays.
 
-    Rows whose id is null stay. Of rows that repeat the kept id, one stays.
+    Rows are told apart where they repeat an id or have none: of those with one id the first as
+    stored stays, and a row without an id only where its component has none with one. An empty
+    table gives an empty result; other columns are kept, whatever their names.
     """
-    c = components(docs).select(F.col("id"), F.col("component_id"))
-    keep = c.where("id = component_id").select(F.col("id").alias("doc_id")).distinct()
-    cols = docs.columns
-    return docs.where("doc_id is not null").join(keep, "doc_id", "left_semi").select(*cols).dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    d, key = keyed(docs)
+    c = components(d.select(key, "text"), key).select("id", F.col("component_id").alias("of"))
+    if key == "doc_id":
+        keep = c.where("id = of").select(F.col("id").alias("_kept"))
+    else:
+        ids = d.select(F.col(key).alias("place"), F.col("doc_id").alias("name"))
+        first = c.join(ids, F.col("id") == F.col("place")).groupBy("of").agg(F.min(F.struct(F.col("name").isNull(), "name", "place")).alias("s"))
+        keep = first.select(F.col("s.place").alias("_kept"))
+    return d.join(keep, F.col(key) == F.col("_kept"), "left_semi").select(*[F.col(f"`{x}`") for x in docs.columns])
 
 
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

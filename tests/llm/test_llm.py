@@ -222,8 +222,8 @@ def test_packing(both):
 
 def test_ids_of_texts_with_control_characters():
     tokenizer, ids = Tokenizer.from_file(P.path("word_bpe_49k.json")), packing.Ids(P.path("word_bpe_49k.json"))
-    marks = [chr(k) for k in (*range(0x21), *range(0x7F, 0xA1), 0xAD)]
-    texts = [x for c in marks for x in (c, f"one{c}two", f"one {c} two", f"{c}{c}x", f"!{c}?", f"a {c}", f"1{c}'s")]
+    marks = [*map(chr, range(256))]
+    texts = [x for c in marks for x in (c, f"one{c}two", f"one {c} two", f"{c}{c}x", f"!{c}?", f"a {c}", f"1{c}'s", f"x .{c}'s {c} y")]
     for batch in (texts, *([x] for x in texts)):
         want = [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(batch, add_special_tokens=False)]
         assert ids.encode(batch) == want
@@ -474,12 +474,197 @@ def test_passages_reach_past_an_edit_beyond_the_last_seed(spark):
     assert [(r["first_word"], r["last_word"]) for r in got] == [(30, 230)]
 
 
-def test_pipeline(spark):
+def plain_ratio(rows, good):
+    """Log ratio of each bucket, and the buckets of a text, with plain loops."""
+    mask = (1 << 64) - 1
+
+    def buckets(text):
+        h = [xxhash.xxh3_64_intdigest(w.encode()) for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
+        pairs = [(a * 0x9E3779B97F4A7C15 + b) & mask for a, b in zip(h, h[1:])]
+        return [x % quality.BUCKETS for x in [*h, *(p ^ (p >> 29) for p in pairs)]]
+
+    raw, target = Counter(), Counter()
+    for i, text in rows:
+        raw.update(buckets(text))
+        if i in good:
+            target.update(buckets(text))
+    n, m = sum(raw.values()) + quality.BUCKETS, sum(target.values()) + quality.BUCKETS
+    return (lambda b: np.log((target[b] + 1) / m) - np.log((raw[b] + 1) / n)) if target else (lambda b: 0.0), buckets
+
+
+def test_quality_scores(both, spark):
+    labels = spark.read.parquet(f"{D}/labels.parquet")
+    good = {r["doc_id"] for r in labels.where("quality = 1").collect()}
+    rows = held(both)
+    ratio, buckets = plain_ratio(rows, good)
+    want = []
+    for i, text in rows:
+        b = buckets(text)
+        want.append((str(i), np.mean([*map(ratio, b)]) if b else 0.0))
+    got = [(str(r["doc_id"]), r["score"], r["kept"], r["base_failed"]) for r in quality.judged(both, labels).select("doc_id", "quality_rules.*").collect()]
+    for (i, x), (j, y, kept, failed) in zip(sorted(want), sorted(got), strict=True):
+        assert i == j and abs(x - y) < 1e-9 and kept == (not failed and y >= quality.THRESHOLD)
+    assert quality.judged(both.withColumn("n_words", F.lit("mine")), labels).columns == [*both.columns, "n_words", "quality_rules"]
+
+
+def test_chains_are_the_best():
+    rng = np.random.RandomState(8)
+    for n in (1, 2, 15, 60):
+        for _ in range(20):
+            x, y = rng.randint(0, 80, n), rng.randint(0, 80, n)
+            p = sorted(zip(x.tolist(), y.tolist()))
+            score, back = [], []
+            for i, (a, b) in enumerate(p):
+                best = max(((score[j] + chaining.GAP * (c + d), j) for j, (c, d) in enumerate(p[:i]) if c < a and d < b), default=(-1e18, -1))
+                gain = best[0] - chaining.GAP * (a + b)
+                score.append(chaining.SEED + gain if gain > 0 else float(chaining.SEED))
+                back.append(best[1] if gain > 0 else -1)
+            want, used = [], set()
+            for i in sorted(range(n), key=lambda i: (-score[i], i)):
+                if i not in used:
+                    j = first = i
+                    while j >= 0 and j not in used:
+                        used.add(j)
+                        first, j = j, back[j]
+                    want.append((p[first][0], p[i][0] + chaining.SEED, p[first][1], p[i][1] + chaining.SEED))
+            assert chaining.chains(x, y) == want
+
+
+def alike(a, b):
+    u, v = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a, b))
+    return len(u & v) / max(1, len(u | v))
+
+
+def test_alignments_find_edited_passages():
+    rng = np.random.RandomState(9)
+    for n in (50, 60, 120, 400):
+        for _ in range(15):
+            p = rng.randint(0, 1 << 30, n)
+            q = p.copy()
+            for k in rng.choice(np.arange(24, n - 24, 50), (n - 4) // 46 - 1, replace=False) if n > 100 else ():
+                q[k] = -1
+            a, b = (np.concatenate([rng.randint(1 << 31, 1 << 40, 30), x, rng.randint(1 << 31, 1 << 40, 30)]).astype(np.uint64) for x in (p, q))
+            found, runs = chaining.align(a, b)
+            assert any(f <= 30 and e >= 30 + n for f, e, *_ in found)
+            for f, e, g, h, like in found:
+                assert e - f >= 50 and like >= 0.8 and abs(like - alike(a[f:e].tolist(), b[g:h].tolist())) < 1e-9
+            assert all((a[f:e] == b[f:e]).all() for f, e in runs)
+
+
+def check_passages(rows, found):
+    """Each reported passage is one: equal windows, or alike by its five-word shingles, and in an earlier document."""
+    words = {i: (x or "").split() for i, x in rows}
+    for r in found:
+        a = words[r["doc_id"]][r["first_word"] : r["last_word"]]
+        b = words[r["match_doc_id"]][r["match_first_word"] : r["match_last_word"]]
+        assert r["n_words"] == len(a) >= 50 and r["match_doc_id"] < r["doc_id"]
+        windows = {tuple(b[k : k + 50]) for k in range(len(b) - 49)}
+        if r["similarity"] == 1.0:
+            assert all(tuple(a[k : k + 50]) in windows for k in range(len(a) - 49))
+        else:
+            assert abs(alike(a, b) - r["similarity"]) < 1e-9 and r["similarity"] >= 0.8
+
+
+def test_passages_are_passages(docs):
+    check_passages(held(docs), chaining.shared(docs).collect())
+
+
+def test_fuzzy_passages_of_all_places(spark):
+    """A passage of 50 to 140 words with an edit in every 50 words or so, anywhere in it."""
+    rng = np.random.RandomState(11)
+    fill = lambda n: [f"f{x}" for x in rng.randint(0, 1 << 40, n)]
+    rows, planted = [], {}
+    for k in range(120):
+        n = int(rng.randint(50, 141))
+        p = [f"p{k}x{i}" for i in range(n)]
+        q = list(p)
+        for at in range(int(rng.randint(5, 45)), n - 4, 60):
+            q[at] = f"edit{k}"
+        if alike(p, q) < 0.8:
+            continue
+        rows += [(k, " ".join([*fill(40), *p, *fill(35)])), (1000 + k, " ".join([*fill(25), *q, *fill(60)]))]
+        planted[1000 + k] = (25, 25 + n)
+    found = chaining.shared(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    check_passages(rows, found)
+    by = {}
+    for r in found:
+        by.setdefault(r["doc_id"], []).append((r["first_word"], r["last_word"]))
+    assert all(any(a <= f + 5 and b >= e - 5 for a, b in by.get(i, [])) for i, (f, e) in planted.items())
+
+
+def test_one_of_each_group_stays(odd, docs):
+    named = odd.withColumn("id", F.lit("mine")).withColumn("place", F.lit("too"))
+    kept = simhash.keep_one(named)
+    assert kept.columns == named.columns
+    prints = {(str(r["id"]), r["fingerprint"], r["component_id"]) for r in simhash.components(odd).collect()}
+    assert kept.count() == len({c for _, _, c in prints})
+    assert sorted(map(str, (r["doc_id"] for r in kept.collect()))) == sorted(str(c) for c in {c for _, _, c in prints})
+    assert simhash.keep_one(odd.limit(0)).count() == 0
+    assert {r["doc_id"] for r in simhash.keep_one(docs).collect()} == {r["component_id"] for r in simhash.components(docs).collect()}
+
+
+def plain_without(rows, found):
+    out = {}
+    for i, text in rows:
+        b = text or ""
+        at = [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", b)]
+        gone = np.zeros(len(b), bool)
+        for r in found:
+            if r["doc_id"] == i:
+                gone[at[r["first_word"]][0] : at[r["last_word"] - 1][1]] = True
+        out[i] = "".join(c for c, x in zip(b, gone) if not x)
+    return out
+
+
+@pytest.mark.parametrize("name", ["small", "odd", "empty"])
+def test_pipeline(spark, odd, name, tmp_path):
+    """Each stage against its plain version, on what its predecessor kept."""
     import corpus_pipeline
 
-    out = corpus_pipeline.run(spark, D)
-    assert out.count() > 0
-    assert len(corpus_pipeline.STAGES) == 4 and set(queries.QUERIES) >= {"op8_bpe"}
+    d = D
+    if name != "small":
+        d = str(tmp_path / name)
+        full = spark.read.parquet(f"{D}/documents.parquet").where("doc_id < 40").select((F.col("doc_id") + 100).alias("doc_id"), "text")
+        rows = full.unionAll(odd.select("doc_id", "text"))
+        rows = rows.selectExpr("doc_id", "text", "'en' as lang", "cast(null as string) as source", "length(text) as n_chars", "'mine' as k", "'mine' as quality_rules_", "7 as _d")
+        (rows if name == "odd" else rows.limit(0)).write.parquet(f"{d}/documents.parquet")
+        spark.read.parquet(f"{D}/labels.parquet").write.parquet(f"{d}/labels.parquet")
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    assert [x for x, _ in corpus_pipeline.STAGES] == ["quality rules", "near duplicates", "substring dedup", "packing"]
+    columns, kept = docs.columns, []
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, d)
+        assert k == 3 or out.columns == columns
+        out.write.parquet(str(tmp_path / f"stage{k}"))
+        kept.append(docs)
+        docs = spark.read.parquet(str(tmp_path / f"stage{k}"))
+    rows = held(kept[0])
+    good = {r["doc_id"] for r in spark.read.parquet(f"{D}/labels.parquet").where("quality = 1").collect()}
+    ratio, buckets = plain_ratio(rows, good)
+    want = []
+    for i, text in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        three = Counter(zip(w, w[1:], w[2:]))
+        twice = {k + e for k in range(len(w) - 2) if three[tuple(w[k : k + 3])] > 1 for e in range(3)}
+        if len(w) >= 50 and 100 * len(twice) <= 50 * len(w) and np.mean([*map(ratio, buckets(text))]) >= quality.THRESHOLD:
+            want.append((i, text))
+    assert sorted(held(kept[1]), key=str) == sorted(want, key=str)
+    ids = {r["component_id"] for r in simhash.components(kept[1]).collect()}
+    after = held(kept[2])
+    assert len(after) == len(ids) and {i for i, _ in after} == ids
+    cut = plain_without(after, chaining.shared(kept[2].select("doc_id", "text")).collect())
+    assert sorted(held(kept[3])) == sorted((i, x) for i, x in cut.items() if x.split() or not dict(after)[i])
+    assert all(r["n_chars"] == len(r["text"]) for r in kept[3].collect())
+    T = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    sizes = {i: len(T.encode(x or "", add_special_tokens=False).ids) + 1 for i, x in held(kept[3])}
+    packed = docs.collect()
+    total = Counter()
+    for r in packed:
+        total[r["doc_id"]] += r["length"]
+    assert total == sizes
+    assert corpus_pipeline.run(spark, d).count() == len(packed)
+    n = len({r["sequence_id"] for r in packed})
+    assert n <= -(-sum(sizes.values()) // 2048) * 1.05 + 1  # little padding
 
 
 @pytest.mark.parametrize("name", sorted(queries.CHECKS))
