@@ -4,30 +4,78 @@ from __future__ import annotations
 
 import html
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def sections(spark: SparkSession, path: str) -> DataFrame:
-    """(file, section, line_no, line): the rows under each header line, up to a line of 54 or 61 hyphens."""
+def lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line_no, line) of every report under ``path``; a report is small and read whole."""
     t = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name())
-    part = t.select("file", F.posexplode(F.expr(r"regexp_extract_all(value, '(?s)(?:^|\\n)== ([^\\n]*)\\n(.*?)\\n-{54}(?:-{7})?(?=\\n|$)', 0)")).alias("section_no", "text"))
-    lines = part.select("file", "section_no", F.posexplode(F.split(F.regexp_replace("text", r"^\n", ""), "\n")).alias("line_no", "line"), F.regexp_extract("text", r"== ([^\n]*)", 1).alias("section"))
-    return lines.where("line_no > 0 and not line rlike '^-{54}(-{7})?$'").select("file", "section", "line_no", F.rtrim("line").alias("line"))
+    return t.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line")).withColumn("line", F.rtrim("line"))
 
 
-def key_values(rows: DataFrame) -> DataFrame:
-    """(file, section, key, value) of 'key: value' lines, thousands separators taken out."""
+def tagged(report: DataFrame, headers: dict[str, str]) -> DataFrame:
+    """``report`` with the section that each line is in: that of the last line before it that starts as a key of ``headers`` does; its own line is left out."""
+    tag: Column = F.lit(None)
+    for start, name in headers.items():
+        tag = F.when(F.col("line").startswith(start), F.lit(name)).otherwise(tag)
+    w = Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    return report.withColumn("tag", tag).withColumn("section", F.last("tag", ignorenulls=True).over(w)).where("tag is null").drop("tag")
+
+
+def key_values(rows: DataFrame, *by: str) -> DataFrame:
+    """(file, by..., key, value) of 'key: value' lines, thousands separators taken out."""
     m = rows.where(F.col("line").rlike(r"^[^:]+:\s*-?[\d,]+(\.\d+)?$"))
-    return m.select("file", "section", F.trim(F.regexp_extract("line", r"^([^:]+):", 1)).alias("key"), F.regexp_replace(F.regexp_extract("line", r":\s*(.*)$", 1), ",", "").cast("double").alias("value"))
+    return m.select("file", *by, F.trim(F.regexp_extract("line", r"^([^:]+):", 1)).alias("key"), F.regexp_replace(F.regexp_extract("line", r":\s*(.*)$", 1), ",", "").cast("double").alias("value"))
+
+
+def fixed_width(rows: DataFrame, least: int = 6, most: int = 10) -> DataFrame:
+    """(file, section, line_no, cells) of the lines under a section's row of hyphens, up to the first empty line.
+
+    The groups of hyphens give the columns' places. A section whose row has fewer than ``least`` or
+    more than ``most`` groups is left out.
+    """
+    ruler = F.when(F.col("line").rlike(r"^-[- ]*$") & (F.size(F.split(F.trim("line"), " +")) > 1), F.col("line"))
+    w = Window.partitionBy("file", "section").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    m = rows.where("section is not null").withColumn("own", ruler).withColumn("ruler", F.last("own", ignorenulls=True).over(w)).withColumn("ended", F.max(F.col("ruler").isNotNull() & (F.trim("line") == "")).over(w))
+    m = m.where("ruler is not null and own is null and not ended").withColumn("widths", F.expr("transform(split(trim(ruler), ' +'), g -> length(g))")).where(F.size("widths").between(least, most))
+    cell = "transform(sequence(1, size(widths)), k -> trim(substr(line, 1 + aggregate(slice(widths, 1, k - 1), 0, (s, n) -> s + n + 1), widths[k - 1])))"
+    return m.select("file", "section", "line_no", F.expr(cell).alias("cells"))
+
+
+def number(cell: Column) -> Column:
+    return F.regexp_replace(cell, ",", "").try_cast("double")
+
+
+def half_up(x: Column, digits: int) -> Column:
+    """Half a unit is added, then the rest cut off."""
+    unit = 10**digits
+    return F.floor(x * unit + 0.5) / unit
 
 
 def load(values: DataFrame) -> DataFrame:
-    """Average active sessions, busy flag and MiB/s of each file."""
+    """Average active sessions, busy flag and MiB/s of each file; redo isn't counted among what is written."""
     pick = lambda k: F.max(F.when(F.col("key") == k, F.col("value")))
-    g = values.groupBy("file").agg(pick("DB time").alias("db_time"), pick("Elapsed").alias("elapsed"), pick("CPUs").alias("cpus"), pick("Read bytes").alias("read_b"), pick("Write bytes").alias("write_b"))
+    g = values.groupBy("file").agg(pick("DB time").alias("db_time"), pick("Elapsed").alias("elapsed"), pick("CPUs").alias("cpus"), pick("Read bytes").alias("read_b"), pick("Write bytes").alias("write_b"), pick("Redo bytes").alias("redo_b"))
     aas = F.when(F.col("elapsed") > 0, F.col("db_time") / F.col("elapsed"))
-    return g.select("file", F.round(aas, 2).alias("aas"), (aas > F.col("cpus")).alias("busy"), F.round((F.col("read_b") + F.col("write_b")) / 1048576, 2).alias("mib"))
+    mib = (F.col("read_b") + F.col("write_b") - F.coalesce("redo_b", F.lit(0))) / 1048576
+    return g.select("file", "db_time", half_up(aas, 2).alias("aas"), (aas > F.col("cpus")).alias("busy"), half_up(mib, 2).alias("mib"))
+
+
+def top_events(cells: DataFrame, loads: DataFrame) -> DataFrame:
+    """(file, rank, event, class, waits, time_s, avg_ms, pct): a section of events by time, with the mean wait and the share of the database's minutes."""
+    c = F.col("cells")
+    rows = cells.select("file", "line_no", c[0].alias("event"), c[1].alias("class"), number(c[2]).alias("waits"), number(c[3]).alias("time_s"))
+    rank = F.row_number().over(Window.partitionBy("file").orderBy("line_no"))
+    m = rows.withColumn("rank", rank).join(loads.select("file", "db_time"), "file")
+    avg = F.when(F.col("waits") > 0, F.col("time_s") / F.col("waits") * 1000)
+    return m.select("file", "rank", "event", "class", "waits", "time_s", half_up(avg, 2).alias("avg_ms"), half_up(F.col("time_s") / (F.col("db_time") * 60) * 100, 1).alias("pct"))
+
+
+def wide(events: DataFrame, top: int = 5) -> DataFrame:
+    """One row a file: the fields of its first ``top`` events side by side."""
+    fields = ["event", "class", "waits", "time_s", "avg_ms", "pct"]
+    return events.groupBy("file").agg(*[F.max(F.when(F.col("rank") == k, F.col(f))).alias(f"top{k}_{f}") for k in range(1, top + 1) for f in fields])
 
 
 def to_csv(df: DataFrame, path: str) -> None:

@@ -71,3 +71,45 @@ def test_export_writes_what_is_kept(spark, tmp_path):
     done = {r["table"]: (r["rows"], r["path"]) for r in export(kept, str(tmp_path / "x"), {"nation": {"n_name": F.lit("masked")}}).collect()}
     assert done["region"][0] == 1 and done["customer"][0] == 0 and empty_tables(kept) == ["customer"]
     assert {r["n_name"] for r in spark.read.parquet(done["nation"][1]).collect()} == {"masked"}
+
+
+def test_counts_of_a_stream(spark, tmp_path):
+    from opsledger.streaming.alerts import counts
+
+    e = spark.read.parquet(f"{D}/events.parquet").selectExpr("cast(ts as timestamp) as ts", "event_type")
+    e.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(e.schema).parquet(str(tmp_path / "in"))
+    q = counts(stream).writeStream.format("memory").queryName("seen").outputMode("complete").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    want = e.groupBy("event_type").count().collect()
+    assert {(r["event_type"], r["n"]) for r in spark.sql("select event_type, sum(n) as n from seen group by event_type").collect()} == {(r["event_type"], r["count"]) for r in want}
+
+
+def test_updates_from_another_table(spark):
+    from opsledger.operators.relational import update_from
+    from opsledger.plans.masking import sync_mismatches, synced
+
+    a = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "k int, v string")
+    b = spark.createDataFrame([(1, "x"), (3, None)], "k int, w string")
+    assert {tuple(r) for r in update_from(a, b, ["k"], {"v": "w"}).collect()} == {(1, "x"), (2, "b"), (3, None)}
+    with pytest.raises(ValueError):
+        update_from(a, b.unionAll(b), ["k"], {"v": "w"})
+    assert sync_mismatches(a, b, ["k"], "v", "w") == 1
+    assert sync_mismatches(synced(a, b, ["k"], "v", "w", 10), b, ["k"], "v", "w") == 0
+
+
+def test_report_sinks(spark, tmp_path):
+    from opsledger.sources.reports import to_csv, to_html
+
+    df = spark.createDataFrame([(1, "<a>"), (2, None)], "k int, v string").coalesce(1)
+    assert to_html(df) == "<table><tr><th>k</th><th>v</th></tr><tr><td>1</td><td>&lt;a&gt;</td></tr><tr><td>2</td><td></td></tr></table>"
+    to_csv(df, str(tmp_path / "r"))
+    assert sorted(r["_c0"] for r in spark.read.csv(str(tmp_path / "r")).collect()) == ["1", "2"]
+
+
+def test_sections_with_other_rulers_are_left_out(spark, tmp_path):
+    from opsledger.sources.reports import fixed_width, lines, tagged
+
+    (tmp_path / "r.txt").write_text("x\nOne\n-- -- -- -- -- --\n1  2  3  4  5  6\n\n7  8  9\nTwo\n---- ----\n1 2\n")
+    rows = tagged(lines(spark, str(tmp_path / "r.txt")), {"One": "one", "Two": "two"})
+    assert [(r["section"], r["cells"]) for r in fixed_width(rows).collect()] == [("one", ["1", "2", "3", "4", "5", "6"])]
