@@ -274,7 +274,9 @@ def encoded(docs: DataFrame, path: str, batch_chars: int = 4_000_000) -> DataFra
     """``docs`` with a struct ``bpe`` (n_tokens, ids_sha256, decoded_sha256, ids array) of ``text``.
 
     Null counts as empty, which has no token. Special tokens in a text are found as the
-    library finds them. Texts of any length are encoded whole. Repeated rows give equal results.
+    library finds them. Texts of any length are encoded whole. Repeated rows give equal results,
+    whatever their ids; an empty table gives an empty result. Other columns are kept; one named
+    bpe is replaced.
     """
     return docs.withColumn("bpe", _coder(path, batch_chars, True)("text"))
 

@@ -60,16 +60,19 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for undirected ``edges`` (a, b); component is the smallest node.
 
     Alternates large-star and small-star rounds: each hangs neighbours on the smallest one
-    known, so every edge stays an edge and no neighbourhood is gathered in one place. Null
-    ends and loops are dropped; an empty input gives an empty result.
+    known, so every edge stays an edge. No neighbourhood is collected: a hub's edges are narrow
+    rows that are joined with its minimum, which is stored before, so that the join's exchanges
+    are plain and Spark can split the hub. Null ends and loops are dropped; an empty input gives
+    an empty result.
     """
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("a is not null and b is not null and u > v").distinct()
     e, before = checkpoint(e), None
     for _ in range(max_rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = checkpoint(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = checkpoint(large)
+        least = checkpoint(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.withColumnRenamed("m", "v")).where("u > v").distinct()
         e = checkpoint(small)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

@@ -22,7 +22,7 @@ from pyspark.taskcontext import TaskContext
 from opsledger.llm.common import checkpoint, shared_dir, table
 
 LEAST = 1000  # bytes of a payload that others may revisit
-RANGE = 8 << 20
+RANGE = 32 << 20
 MAGIC = b"\x1f\x8b\x08"
 READ = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
 
@@ -46,17 +46,22 @@ def decide(pages: DataFrame) -> DataFrame:
     """``pages`` (page_id, url, html) with digest and refers_to (null: a response).
 
     Of equal payloads of LEAST bytes or more the largest page_id is the response; rows that
-    repeat it are responses too, and so is every row of a payload whose ids are all null.
+    repeat it are responses too, and so is every row of a payload whose ids are all null. A null
+    html is an empty payload; an empty table gives an empty result; other columns play no part.
     """
     p = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html")).withColumn("digest", F.sha1("html"))
-    largest = p.where(F.octet_length("html") >= LEAST).groupBy("digest").agg(F.max("page_id").alias("response"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return p.join(largest, "digest", "left").withColumn("refers_to", F.expr("if(page_id <=> response, null, response)")).drop("response")
+    long, short = p.where(F.octet_length("html") >= LEAST), p.where(F.octet_length("html") < LEAST)
+    # stored, so that the join has plain exchanges on both sides, of which Spark splits the one with many equal payloads
+    largest = checkpoint(long.groupBy("digest").agg(F.max("page_id").alias("response"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    met = long.join(largest, "digest", "left").withColumn("refers_to", F.expr("if(page_id <=> response, null, response)")).drop("response")
+    return met.unionByName(short.withColumn("refers_to", F.lit(None).cast(pages.schema["page_id"].dataType)))
 
 
 def write(pages: DataFrame, folder: str) -> DataFrame:
     """Writes ``pages`` (as of ``decide``) as archives under ``folder``; (path, bytes) of each.
 
     A task's archive has a name of its own attempt, so only those of tasks that succeeded count.
+    No rows make no archive.
     """
     where, root = _place(folder)
     where.create_dir(root, recursive=True)
@@ -155,7 +160,7 @@ def scan(path: str, start: int, end: int, step: int = 1 << 20) -> Iterator[bytes
 
 
 def read(archives: DataFrame, span: int = RANGE, payloads: bool = True) -> DataFrame:
-    """The records of ``archives`` (path, bytes), as of READ; ``span``: bytes of a task's range."""
+    """The records of ``archives`` (path, bytes), as of READ; ``span``: bytes of a task's range. No archives, or empty ones, give no records."""
 
     def records(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [x.split()[0] for x in READ.split(", ")]
@@ -173,8 +178,7 @@ def read(archives: DataFrame, span: int = RANGE, payloads: bool = True) -> DataF
                     yield pd.DataFrame(rows, columns=names)
 
     ranges = archives.where("bytes > 0").select("path", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(span).cast("long"))).alias("start"), "bytes").select("path", "start", F.least(F.col("start") + span, F.col("bytes")).alias("end"))
-    n = max(1, min(2000, ranges.count()))
-    out = ranges.repartition(n).mapInPandas(records, READ.replace("page_id long", "page_id string").replace("refers_to long", "refers_to string"))
+    out = ranges.repartition(max(1, ranges.count())).mapInPandas(records, READ.replace("page_id long", "page_id string").replace("refers_to long", "refers_to string"))  # a task a range
     return out.withColumns({c: F.col(c).cast("long") for c in ("page_id", "refers_to")})
 
 

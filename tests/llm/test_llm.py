@@ -199,6 +199,8 @@ def test_archives(spark, tmp_path):
             copy = h == page and i != 3
             want.append((i, u, len(b), hashlib.sha1(b).hexdigest(), "revisit" if copy else "response", 3 if copy else None))
         assert got == sorted(want, key=str)
+    named = df.withColumn("digest", F.lit("mine")).withColumn("response", F.lit(7))
+    assert warc.read(warc.write(warc.decide(named), str(tmp_path / "n"))).count() == len(rows)
     empty = warc.write(warc.decide(df.limit(0)), str(tmp_path / "e"))
     assert warc.read(empty).count() == 0
 
@@ -293,6 +295,7 @@ def test_bpe(both):
         ids = T.encode(x or "", add_special_tokens=False).ids
         want.append((i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(T.decode(ids, skip_special_tokens=False).encode()).hexdigest(), ids))
     assert sorted(map(str, map(tuple, rows))) == sorted(map(str, want))
+    assert bpe.encoded(both.withColumn("ids", F.lit("mine")), P.path("byte_bpe_50k.json")).columns == [*both.columns, "ids", "bpe"]
 
 
 def test_main_text(spark):
