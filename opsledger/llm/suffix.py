@@ -289,7 +289,7 @@ def covered(docs: DataFrame, window: int = WINDOW, paths: list[str] | None = Non
                 yield pd.DataFrame(rows, columns=["d", "start", "h", "multi", "m", "piece"])
 
     shards = max(1, -(-met.where("sent").count() // PIECES))
-    pieces = docs.where(F.octet_length("text") >= window).select("d", pressed("text").alias("text")).join(sent, "d").mapInPandas(cut, "d long, start int, h long, multi boolean, m long, piece binary")
+    pieces = docs.where(F.octet_length("text") >= window).select("d", pressed("text").alias("text")).hint("merge").join(sent, "d").mapInPandas(cut, "d long, start int, h long, multi boolean, m long, piece binary")
     salt = F.pmod(F.xxhash64("d", "start"), F.ceil(F.col("m") / MOST)).cast("int")
     dealt = pieces.withColumn("salted", F.col("m") > MOST).withColumn("shard", F.when(F.col("salted"), salt).otherwise(0)).withColumn("to", F.when(F.col("salted"), F.xxhash64("h", "shard")).otherwise(F.pmod(F.xxhash64("h"), F.lit(shards))))
     spans = stored(dealt.groupBy("to").applyInPandas(lambda g: shard_spans(g, window), SPANS), paths)
@@ -349,7 +349,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, with_text: bool = True)
     info = stored(covered(text, window, paths).join(copies, "d", "full").select("d", F.coalesce("copied", F.lit(False)).alias("copied"), F.when(F.col("copied").isNull(), F.col("spans")).alias("spans")))
     dropped(docs.sparkSession, paths)
     held = named.select(*[F.col(f"`{c}`").alias(f"_in{k}") for k, c in enumerate(names)], pressed("text").alias("_text"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
-    out = held.join(info, F.col(f"_in{names.index(key)}") == F.col("d"), "left").withColumn("cut", _cutter(with_text)("_text", F.coalesce("copied", F.lit(False)), "spans"))
+    out = held.hint("merge").join(info, F.col(f"_in{names.index(key)}") == F.col("d"), "left").withColumn("cut", _cutter(with_text)("_text", F.coalesce("copied", F.lit(False)), "spans"))
     back = [F.col(f"_in{names.index(c)}").alias(c) for c in docs.columns if c not in ("text", "n_bytes", "cut")]
     return out.select(*back, "n_bytes", "cut")
 
