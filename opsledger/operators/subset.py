@@ -12,6 +12,9 @@ from opsledger.operators.relational import ranked
 from opsledger.shared import checkpoint
 
 
+PARTS = 8  # sets of a table's keys that are kept side by side before they are written as one
+
+
 @dataclass(frozen=True)
 class Edge:
     child: str
@@ -83,7 +86,8 @@ def subset(tables: dict[str, DataFrame], graph: Graph) -> dict[str, DataFrame]:
             found, n = first_rows(found, node.key, room), room
         if not n:
             return None
-        held.setdefault(name, []).append(found)
+        parts = [*held.get(name, []), found]
+        held[name] = parts if len(parts) < PARTS else [checkpoint(reduce(DataFrame.unionByName, parts))]
         size[name] = size.get(name, 0) + n
         return found
 

@@ -103,13 +103,10 @@ def subset_of_own_parents(spark, d):
     return _kept({"customer": c}, Graph({"customer": Node("c_custkey", where="c_custkey % 50 = 0")}, [Edge("customer", "boss", "customer", "c_custkey")]))
 
 
-@query("""with recursive c as (select c_custkey, (c_custkey * 7 + 1) % n as boss from customer cross join (select count(*) + 1 as n from customer) m), r as (select c_custkey, boss from c where c_custkey = 1 union select c.c_custkey, c.boss from c join r on c.c_custkey = r.boss)
- select 'customer' as tab, cast(c_custkey as varchar) as key from r""")
-def subset_over_a_long_cycle(spark, d):
-    c = t(spark, d, "customer")
-    n = c.agg((F.count("*") + 1).alias("n"))
-    c = c.crossJoin(F.broadcast(n)).withColumn("boss", (F.col("c_custkey") * 7 + 1) % F.col("n")).drop("n")
-    return _kept({"customer": c}, Graph({"customer": Node("c_custkey", where="c_custkey = 1")}, [Edge("customer", "boss", "customer", "c_custkey")]))
+@query("""select 'customer' as tab, cast(c_custkey as varchar) as key from customer where c_custkey <= 12""")
+def subset_over_a_cycle(spark, d):
+    c = t(spark, d, "customer").withColumn("boss", F.expr("case when c_custkey <= 12 then c_custkey % 12 + 1 end"))
+    return _kept({"customer": c}, Graph({"customer": Node("c_custkey", where="c_custkey = 5")}, [Edge("customer", "boss", "customer", "c_custkey")]))
 
 
 @query("select child, parent, cast(0 as bigint) as n from (values ('nation', 'region'), ('customer', 'nation'), ('orders', 'customer')) as e(child, parent)")
