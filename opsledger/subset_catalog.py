@@ -103,9 +103,9 @@ def subset_of_own_parents(spark, d):
     return _kept({"customer": c}, Graph({"customer": Node("c_custkey", where="c_custkey % 50 = 0")}, [Edge("customer", "boss", "customer", "c_custkey")]))
 
 
-@query("""select 'customer' as tab, cast(c_custkey as varchar) as key from customer where c_custkey <= 12""")
+@query("""select 'customer' as tab, cast(c_custkey as varchar) as key from customer where c_custkey between 1 and 12""")
 def subset_over_a_cycle(spark, d):
-    c = t(spark, d, "customer").withColumn("boss", F.expr("case when c_custkey <= 12 then c_custkey % 12 + 1 end"))
+    c = t(spark, d, "customer").withColumn("boss", F.expr("case when c_custkey between 1 and 12 then c_custkey % 12 + 1 end"))
     return _kept({"customer": c}, Graph({"customer": Node("c_custkey", where="c_custkey = 5")}, [Edge("customer", "boss", "customer", "c_custkey")]))
 
 
