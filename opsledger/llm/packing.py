@@ -155,7 +155,7 @@ def pack(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.
     return sequence, offset
 
 
-def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
+def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, batch: int = BATCH) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens) of every piece of every document."""
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,7 +167,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
             for at, row in enumerate(zip(each(p["doc_id"]), each(p["text"]), strict=True), 1):
                 held.append(row)
                 size += len(row[1] or "")
-                if size < BATCH and at < p.num_rows:
+                if size < batch and at < p.num_rows:
                     continue
                 rows = []
                 for (doc_id, _), b in zip(held, ids.encode([x or "" for _, x in held]), strict=True):
@@ -185,14 +185,15 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     return out.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
-def packed(docs: DataFrame, path: str, capacity: int = CAPACITY, window: int = WINDOW) -> DataFrame:
+def packed(docs: DataFrame, path: str, capacity: int = CAPACITY, window: int = WINDOW, batch: int = BATCH) -> DataFrame:
     """A row per piece with sequence_id and offset, gapless in its sequence.
 
     Null texts count as empty; an empty text is the end id alone. Null ids, repeated ids and
     equal lengths are packed as any other; an empty table gives an empty result. Windows are
-    dealt by row, so one document's pieces or many copies spread over all of them.
+    dealt by row, so one document's pieces or many copies spread over all of them. ``batch``:
+    characters that are encoded together, of which more take less time and more memory.
     """
-    p = checkpoint(pieces(docs, path, capacity)).withColumn("row", F.monotonically_increasing_id())
+    p = checkpoint(pieces(docs, path, capacity, batch)).withColumn("row", F.monotonically_increasing_id())
     windows = max(1, -(-p.count() // window))
     kind = dict(p.dtypes)["doc_id"]
 
@@ -209,4 +210,4 @@ def packed(docs: DataFrame, path: str, capacity: int = CAPACITY, window: int = W
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return packed(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    return packed(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), batch=4 * BATCH)
