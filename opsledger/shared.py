@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,3 +24,21 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """Cuts the lineage through files in the shared folder, which outlive lost executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame, paths: list[str] | None = None) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read again, which cuts the lineage as ``checkpoint`` does. ``paths`` takes its place down, for ``dropped``."""
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if paths is not None:
+        paths.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dropped(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes stored tables that nothing reads any more, as what was made of them is stored itself."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    paths.clear()
