@@ -8,10 +8,13 @@ source position, a match extends the best chain that ends before it in both docu
 cost for the gap. Chains are then aligned word by word, and passages of LEAST words or more
 whose five-word shingles are alike enough are kept.
 
-A seed's first document need not be the one that has the passage. So windows of LEAST words all
-of whose seeds are in several documents, and which no equal run of an alignment holds, are joined
-to the first document that has the whole window, and runs of them that no passage holds are
-passages too: every window of LEAST words that an earlier document has lies in one.
+A seed's first document need not be the one that has the passage. Where the seeds of a document
+go on from one first document to another, or to another place in it, the seeds before and after
+the crossing are joined in pairs to the first document that has the pair, so passages that
+earlier documents have in parts only are met too. And windows of LEAST words all of whose seeds are in
+several documents, and which no equal run of an alignment holds, are joined to the first document
+that has the whole window, and runs of them that no passage holds are passages too: every window
+of LEAST words that an earlier document has lies in one.
 """
 
 from __future__ import annotations
@@ -37,6 +40,8 @@ LEAST = 50
 SIMILAR = 0.8
 GAP = 0.1  # of a word's score, for each word of a gap in either document
 MARGIN = 64  # words beyond a chain's ends that the alignment may take in; twice as many beyond a lone match
+SHIFT = 8  # words by which edits may move a run's place in its source
+RUNS = 3  # runs after one with which its seeds are paired
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _M = np.uint64(0x9E3779B97F4A7C15)
 CACHE = 100_000
@@ -113,6 +118,27 @@ def windows(h: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, w
 
 
+def crossings(pos: np.ndarray, h: np.ndarray, src: np.ndarray, spos: np.ndarray) -> list[tuple[int, int, int]]:
+    """(hash, first place, second place) of pairs of a document's seeds, in order of place, whose links belong to different runs.
+
+    A run's links have one source and about one distance to it. The last two seeds of a run are
+    paired with the first two of each of the next RUNS that begin within MARGIN words.
+    """
+    off = spos - pos
+    new = np.flatnonzero((src[1:] != src[:-1]) | (np.abs(off[1:] - off[:-1]) > SHIFT)) + 1
+    begin, end = np.concatenate(([0], new)), np.concatenate((new, [len(pos)]))
+    out = []
+    for i in range(len(begin)):
+        for j in range(i + 1, min(i + 1 + RUNS, len(begin))):
+            if pos[begin[j]] - pos[end[i] - 1] > MARGIN:
+                break
+            for a in range(max(begin[i], end[i] - 2), end[i]):
+                for b in range(begin[j], min(begin[j] + 2, end[j])):
+                    pair = grams(np.array([h[a], h[b]], np.int64).view(np.uint64), 2)
+                    out.append((int(pair.view(np.int64)[0]), int(pos[a]), int(pos[b])))
+    return out
+
+
 def chains(x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int, int]]:
     """Ranges (first, last of the document, first, last of the source) of the chains of matches (x, y), best first; a match is in one chain at most."""
     order = np.lexsort((y, x))
@@ -264,6 +290,16 @@ def _seeded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict({"h": np.concatenate(hs), "d": np.concatenate(ds), "pos": np.concatenate(at).astype(np.int32), "lead": np.concatenate(leads)})
 
 
+@F.pandas_udf(ArrayType(StructType([StructField("pair", LongType()), StructField("pos", IntegerType()), StructField("pos2", IntegerType())])))
+def _crossings(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for s in parts:
+        out = []
+        for rows in s:
+            rows = sorted((r["pos"], r["h"], r["src"], r["spos"]) for r in rows)
+            out.append([{"pair": k, "pos": a, "pos2": b} for k, a, b in crossings(*np.array(rows, np.int64).T)])
+        yield pd.Series(out)
+
+
 @F.pandas_udf(ArrayType(StructType([StructField(c, IntegerType()) for c in ("a", "b", "c", "e")])))
 def _chained(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for s in parts:
@@ -373,8 +409,12 @@ def passages(docs: DataFrame, key: str, paths: list[str] | None = None) -> DataF
     spark, own = docs.sparkSession, []
     docs = docs.where("text is not null").select(F.col(key).cast("long").alias("d"), "text")
     found = stored(docs.mapInArrow(_seeded, "h long, d long, pos int, lead boolean"), own)
-    links = stored(found.select("h", "d", "pos").join(_first(found.where("lead")), "h").select("d", "pos", "src", "spos"), own)
-    met = links.where("d <> src or pos <> spos").groupBy("d", "src").agg(F.collect_list(F.struct("pos", "spos")).alias("met"))
+    links = stored(found.select("h", "d", "pos").join(_first(found.where("lead")), "h").select("h", "d", "pos", "src", "spos"), own)
+    crossed = stored(links.groupBy("d").agg(F.collect_list(F.struct("pos", "h", "src", "spos")).alias("own")).select("d", F.explode(_crossings("own")).alias("r")).select("d", "r.*"), own)
+    begun = crossed.groupBy("pair").agg(F.min(F.struct("d", "pos", "pos2")).alias("first"), F.max("d").alias("m")).where("first.d < m")
+    begun = stored(begun.select("pair", F.col("first.d").alias("src"), F.col("first.pos").alias("spos"), F.col("first.pos2").alias("spos2")), own)
+    both = crossed.join(begun, "pair").where("d <> src").select("d", "src", F.explode(F.array(F.struct("pos", "spos"), F.struct(F.col("pos2").alias("pos"), F.col("spos2").alias("spos")))).alias("r")).select("d", "r.pos", "src", "r.spos")
+    met = links.where("d <> src or pos <> spos").select("d", "pos", "src", "spos").unionByName(both).groupBy("d", "src").agg(F.collect_set(F.struct("pos", "spos")).alias("met"))
     pairs = stored(met.select("d", "src", F.explode(_chained("met")).alias("r")).select("d", "src", "r.*"), own)
     salts = pairs.groupBy("src").agg(F.ceil(F.count("*") / SALTED).cast("int").alias("salts"))
     cuts = pairs.join(salts, "src").withColumn("salt", F.pmod(F.xxhash64("d", "a"), F.col("salts")).cast("int")).groupBy("d").agg(F.collect_list(F.struct("src", "salt", "a", "b", "c", "e")).alias("cuts"))
