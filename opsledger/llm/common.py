@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -12,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from opsledger.shared import checkpoint, shared_dir
+from opsledger.shared import checkpoint, dropped, shared_dir, stored  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,52 +55,42 @@ class Recent(dict):
         return list(out)
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, paths: list[str], max_rounds: int = 60) -> DataFrame:
     """(node, component) for undirected ``edges`` (a, b); component is the smallest node.
 
     Alternates large-star and small-star rounds: each hangs neighbours on the smallest one
     known, so every edge stays an edge. No neighbourhood is collected: a hub's edges are narrow
     rows that are joined with its minimum, which is stored before, so that the join's exchanges
-    are plain and Spark can split the hub. Null ends and loops are dropped; an empty input gives
-    an empty result.
+    are plain and Spark can split the hub. A round's tables go once the next has them; ``paths``
+    takes down what the result reads. Null ends and loops are dropped; an empty input gives an
+    empty result.
     """
+    spark = edges.sparkSession
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("a is not null and b is not null and u > v").distinct()
-    e, before = checkpoint(e), None
+    old: list[str] = []
+    e, before = stored(e, old), None
     for _ in range(max_rounds):
+        own: list[str] = []
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = checkpoint(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), own)
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
-        large = checkpoint(large)
-        least = checkpoint(large.groupBy("u").agg(F.min("v").alias("m")))
+        large = stored(large, own)
+        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), own)
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.withColumnRenamed("m", "v")).where("u > v").distinct()
-        e = checkpoint(small)
+        new: list[str] = []
+        e = stored(small, new)
+        dropped(spark, [*old, *own])
+        old = new
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
         before = now
     else:
         raise RuntimeError("the components did not settle")
+    paths += old
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def stored(df: DataFrame, paths: list[str] | None = None) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read again: as ``checkpoint``, for larger tables. ``paths`` takes its place down, for ``dropped``."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    if paths is not None:
-        paths.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def dropped(spark: SparkSession, paths: list[str]) -> None:
-    """Deletes stored tables that nothing reads any more, as what was made of them is stored itself."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for path in paths:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(conf).delete(p, True)
-    paths.clear()
-
-
 def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` with a column of distinct longs: the id if it is one, else the place in the table as stored."""
     bad = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null").limit(1).count()
@@ -110,7 +99,7 @@ def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     place = "_place"
     while place in docs.columns:
         place += "_"
-    return stored(docs).withColumn(place, F.monotonically_increasing_id()), place
+    return stored(docs.withColumn(place, F.monotonically_increasing_id())), place
 
 
 @F.pandas_udf(BinaryType())

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from opsledger.llm.common import checkpoint, connected_components, each, keyed, table
+from opsledger.llm.common import apart, connected_components, dropped, each, keyed, stored, table
 
 MAX_BITS = 2
 CUTS = ((0, 22), (22, 21), (43, 21))  # first bit and bits of each segment
@@ -107,17 +107,18 @@ def _keyed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"key": k, "fp": fp[r]})
 
 
-def linked(fps: DataFrame, small: int = 32) -> DataFrame:
+def linked(fps: DataFrame, paths: list[str], small: int = 32) -> DataFrame:
     """Edges (a, b) that connect all distinct ``fp`` within two bits, as links do.
 
     Keys with up to ``small`` fingerprints give their verified pairs. The members of a fuller
     key meet instead at the words of their unit balls (65 each): two words within two bits
     share one, and each member is tied to the smallest at it. So the edges of a large group
-    grow with its size, not its square, and no link's connection is lost.
+    grow with its size, not its square, and no link's connection is lost. ``paths`` takes down
+    the stored tables that the result reads.
     """
-    keyed = checkpoint(fps.select("fp").mapInPandas(_keyed, "key long, fp long"))
+    keyed = stored(fps.select("fp").mapInPandas(_keyed, "key long, fp long"), paths)
     full = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    met = checkpoint(keyed.join(full, "key"))
+    met = stored(keyed.join(full, "key"), paths)
     few = met.where(F.col("n") <= small).select("key", "fp")
     other = few.select("key", F.col("fp").alias("fp2"))
     pairs = few.join(other, "key").where("fp < fp2 and bit_count(fp ^ fp2) <= 2").select(F.col("fp").alias("a"), F.col("fp2").alias("b"))
@@ -135,13 +136,16 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     repeat in the result; null ids are kept and never name a component that has another id; an
     empty table gives an empty result. Other columns play no part.
     """
-    prints = checkpoint(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).withColumn("fp", fingerprint_of("t")).drop("t"))
-    distinct = checkpoint(prints.groupBy("fp").agg(F.min("id").alias("least")))
-    comp = connected_components(linked(distinct))
+    spark, paths = docs.sparkSession, []
+    prints = stored(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).withColumn("fp", fingerprint_of("t")).drop("t"), paths)
+    distinct = stored(prints.groupBy("fp").agg(F.min("id").alias("least")), paths)
+    comp = connected_components(linked(distinct, paths), paths)
     named = distinct.join(comp, distinct["fp"] == comp["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    named = checkpoint(named)
-    names = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    return prints.join(named.join(names, "component").select("fp", "component_id"), "fp").select("id", F.col("fp").alias("fingerprint"), "component_id")
+    named = stored(named, paths)
+    names = stored(named.groupBy("component").agg(F.min("least").alias("component_id")), paths)
+    out = stored(prints.join(named.join(names, "component").select("fp", "component_id"), "fp").select("id", F.col("fp").alias("fingerprint"), "component_id"))
+    dropped(spark, paths)
+    return out
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -151,15 +155,16 @@ def keep_one(docs: DataFrame) -> DataFrame:
     stored stays, and a row without an id only where its component has none with one. An empty
     table gives an empty result; other columns are kept, whatever their names.
     """
-    d, key = keyed(docs)
+    back, held = apart(docs, ["doc_id", "text"], [])
+    d, key = keyed(held)
     c = components(d.select(key, "text"), key).select("id", F.col("component_id").alias("of"))
     if key == "doc_id":
-        keep = c.where("id = of").select(F.col("id").alias("_kept"))
+        keep = c.where("id = of").select(F.col("id").alias("kept_key"))
     else:
         ids = d.select(F.col(key).alias("place"), F.col("doc_id").alias("name"))
         first = c.join(ids, F.col("id") == F.col("place")).groupBy("of").agg(F.min(F.struct(F.col("name").isNull(), "name", "place")).alias("s"))
-        keep = first.select(F.col("s.place").alias("_kept"))
-    return d.join(keep, F.col(key) == F.col("_kept"), "left_semi").select(*[F.col(f"`{x}`") for x in docs.columns])
+        keep = first.select(F.col("s.place").alias("kept_key"))
+    return d.join(keep, F.col(key) == F.col("kept_key"), "left_semi").select(*back)
 
 
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

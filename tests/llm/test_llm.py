@@ -113,7 +113,7 @@ def test_full_keys_link_as_pairs_do(spark):
     base = int(rng.randint(0, 1 << 62))
     f = sorted({base ^ (1 << int(i)) ^ (1 << int(j)) for i, j in rng.randint(0, 62, (200, 2))})
     df = spark.createDataFrame([(x,) for x in f], "fp long")
-    pairs = {(r["a"], r["b"]) for r in simhash.linked(df, small=4).collect()}
+    pairs = {(r["a"], r["b"]) for r in simhash.linked(df, [], small=4).collect()}
     at = {x: k for k, x in enumerate(f)}
     got = roots(len(f), [(at[a], at[b]) for a, b in pairs])
     assert got == roots(len(f), [(i, j) for i in range(len(f)) for j in range(i) if (f[i] ^ f[j]).bit_count() <= 2])
@@ -595,6 +595,35 @@ def test_fuzzy_passages_of_all_places(spark):
     assert all(any(a <= f + 5 and b >= e - 5 for a, b in by.get(i, [])) for i, (f, e) in planted.items())
 
 
+@pytest.mark.parametrize("parts", [[(0, 33), (34, 66), (67, 100)], [(0, 50), (50, 100)], [(0, 66), (34, 100)], [(10, 60), (0, 33), (67, 100)]])
+def test_fuzzy_passages_whose_parts_have_other_first_documents(spark, parts):
+    """Two documents share 100 words but for two of them; every run of those is in an earlier document too."""
+    rng = np.random.RandomState(3)
+    fill = lambda n: [f"f{x}" for x in rng.randint(0, 1 << 40, n)]
+    rows = []
+    for k in range(60):
+        p = [f"p{k}x{i}" for i in range(100)]
+        q = [f"edit{k}x{i}" if i in (33, 66) else w for i, w in enumerate(p)]
+        rows += [(10 * k + n, " ".join([*fill(30), *p[a:b], *fill(30)])) for n, (a, b) in enumerate(parts)]
+        rows += [(1000 + 2 * k, " ".join([*fill(40), *p, *fill(20)])), (1001 + 2 * k, " ".join([*fill(25), *q, *fill(35)]))]
+    found = chaining.shared(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    check_passages(rows, found)
+    held = {}
+    for r in found:
+        held.setdefault(r["doc_id"], set()).update(range(r["first_word"], r["last_word"]))
+    whole = sum(set(range(30, 120)) <= held.get(1001 + 2 * k, set()) for k in range(60))
+    assert whole >= 57
+
+
+def test_crossings():
+    run = lambda p, n, src, off: [(p + 9 * i, 1000 * src + p + 9 * i, src, p + 9 * i + off) for i in range(n)]
+    rows = [*run(0, 4, 1, 5), *run(36, 3, 2, 40), *run(70, 1, 1, 5), *run(200, 2, 3, 0)]
+    pairs = {(a, b) for _, a, b in chaining.crossings(*np.array(rows, np.int64).T)}
+    assert pairs == {(a, b) for a in (18, 27) for b in (36, 45, 70)} | {(a, 70) for a in (45, 54)}
+    assert len({k for k, _, _ in chaining.crossings(*np.array(rows, np.int64).T)}) == len(pairs)
+    assert chaining.crossings(*np.array(run(0, 9, 1, 3), np.int64).T) == []
+
+
 def test_one_of_each_group_stays(odd, docs):
     named = odd.withColumn("id", F.lit("mine")).withColumn("place", F.lit("too"))
     kept = simhash.keep_one(named)
@@ -619,6 +648,10 @@ def plain_without(rows, found):
     return out
 
 
+# names that the stages use inside
+CLASHES = "quality_rules kept _kept kept_key _place place name of id fp fingerprint component component_id d key src salt cuts held blocks salts hs first last similarity _in0 _in1 _in_d _in_text _in_spans _in_chars _d h pos row".split()
+
+
 @pytest.mark.parametrize("name", ["small", "odd", "empty"])
 def test_pipeline(spark, odd, name, tmp_path):
     """Each stage against its plain version, on what its predecessor kept."""
@@ -629,7 +662,7 @@ def test_pipeline(spark, odd, name, tmp_path):
         d = str(tmp_path / name)
         full = spark.read.parquet(f"{D}/documents.parquet").where("doc_id < 40").select((F.col("doc_id") + 100).alias("doc_id"), "text")
         rows = full.unionAll(odd.select("doc_id", "text"))
-        rows = rows.selectExpr("doc_id", "text", "'en' as lang", "cast(null as string) as source", "length(text) as n_chars", "'mine' as k", "'mine' as quality_rules_", "7 as _d")
+        rows = rows.selectExpr("doc_id", "text", "'en' as lang", "cast(null as string) as source", "length(text) as n_chars", "'mine' as k", *[f"'mine' as {c}" for c in CLASHES])
         (rows if name == "odd" else rows.limit(0)).write.parquet(f"{d}/documents.parquet")
         spark.read.parquet(f"{D}/labels.parquet").write.parquet(f"{d}/labels.parquet")
     docs = spark.read.parquet(f"{d}/documents.parquet")
@@ -675,7 +708,7 @@ def test_same_rows_as_sql(spark, name):
     import duckdb
 
     d, db = "/root/testdata/sf0.01", duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "labels", "pages"):
         db.execute(f"create view {t} as select * from '{d}/{t}.parquet'")
     want = db.execute(queries.CHECKS[name])
     cols = [c[0] for c in want.description]
