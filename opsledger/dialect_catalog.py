@@ -275,22 +275,6 @@ def regex_join(spark, d):
     return m.join(kinds, F.expr("event_type rlike pattern"), "left").groupBy("product").agg(F.coalesce(F.sum("k"), F.lit(0)).alias("n"))
 
 
-GRANTS = "(values ('a', 'r1', cast(null as varchar(9)), cast(null as varchar(9))), ('a', 'r2', 'a', 'r1'), ('b', 'r1', 'a', 'r1'), ('b', 'r3', 'b', 'r1'), ('a', 'r1', 'b', 'r3'), ('a', 'r9', 'a', 'r2')) as g(owner, name, up_owner, up_name)"
-
-
-@query(f"""with recursive g as (select * from {GRANTS}), r as (select owner, name, 1 as level, [owner || '.' || name] as path from g where up_owner is null
- union all select g.owner, g.name, r.level + 1, list_append(r.path, g.owner || '.' || g.name) from r join g on g.up_owner = r.owner and g.up_name = r.name where not list_contains(r.path, g.owner || '.' || g.name))
- select row_number() over (order by array_to_string(path, '/')) as place, owner, name, cast(level as integer) as level, repeat('  ', cast(level - 1 as integer)) || name as shown from r""")
-def pre_order_listing(spark, d):
-    """Keys of two columns, a cycle that ends where it closes, and rows in the order of their paths."""
-    from pyspark.sql import Window
-
-    g = spark.sql(f"select concat(owner, '.', name) as node_key, concat(up_owner, '.', up_name) as up_key from {GRANTS}")
-    h = rel.hierarchy(g, "node_key", "up_key", F.col("up").isNull())
-    place = F.row_number().over(Window.orderBy(F.array_join("path", "/")))
-    return h.select(place.alias("place"), F.split("node", r"\.")[0].alias("owner"), F.split("node", r"\.")[1].alias("name"), "level", F.concat(F.expr("repeat('  ', level - 1)"), F.split("node", r"\.")[1]).alias("shown"))
-
-
 KEYS = "(values ('nation', 'region'), ('customer', 'nation'), ('supplier', 'nation'), ('orders', 'customer'), ('lineitem', 'orders'), ('lineitem', 'part'), ('lineitem', 'supplier')) as k(child, parent)"
 
 

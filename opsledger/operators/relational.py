@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opsledger.operators.ranges import gaps, missing_numbers  # noqa: F401
 from opsledger.shared import checkpoint
 
 
@@ -26,41 +27,34 @@ def hierarchy(df: DataFrame, child: str, parent: str, start: Column, depth: int
     return reduce(DataFrame.unionByName, out)
 
 
+STEP = 3  # a level's bins are 2 ** STEP times as wide as those of the level below
+
+
 def overlap_join(a: DataFrame, b: DataFrame, keys: list[str], a_range: tuple[str, str], b_range: tuple[str, str]) -> DataFrame:
     """Pairs of rows whose closed ranges of whole numbers overlap, with the common part (lo, hi).
 
-    A range is dealt, by its width, to the level whose bins are the next power of two, and so to
+    A range is dealt, by its width, to the level whose bins are the next power of eight, and so to
     two bins at most; the join is by equality of level and bin. The wider range of a pair looks up
     the narrower's levels: each side is sent once to every wider level that the other side has, in
     the one or two bins it touches there. A pair that meets twice counts where its common part starts.
     """
     (alo, ahi), (blo, bhi) = a_range, b_range
-    level = lambda lo, hi: F.ceil(F.log2((F.col(hi) - F.col(lo) + 1).cast("double"))).cast("int")
+    level = lambda lo, hi: F.ceil(F.log2((F.col(hi) - F.col(lo) + 1).cast("double")) / STEP).cast("int")
     left = a.where(F.col(alo) <= F.col(ahi)).withColumn("_own", level(alo, ahi))
     right = b.where(F.col(blo) <= F.col(bhi)).withColumn("_own", level(blo, bhi))
-    levels = sorted({r[0] for r in left.select("_own").distinct().unionByName(right.select("_own").distinct()).distinct().collect()})  # 64 at most
+    mine, other = ({r[0] for r in x.select("_own").distinct().collect()} for x in (left, right))  # 22 at most
 
-    def dealt(df: DataFrame, lo: str, hi: str) -> DataFrame:
-        df = df.withColumn("_level", F.explode(F.filter(F.array(*map(F.lit, levels)), lambda k: k >= F.col("_own"))) if levels else F.lit(0))
-        cell = lambda c: F.expr(f"floor({c} / power(2D, _level))")
+    def dealt(df: DataFrame, lo: str, hi: str, wider: set[int]) -> DataFrame:
+        levels = F.array_union(F.array("_own"), F.filter(F.lit(sorted(wider)) if wider else F.array().cast("array<int>"), lambda k: k > F.col("_own")))
+        df = df.withColumn("_level", F.explode(levels))
+        cell = lambda c: F.expr(f"shiftright({c}, _level * {STEP})")
         return df.withColumn("_bin", F.explode(F.array_distinct(F.array(cell(lo), cell(hi)))))
 
-    left, right = dealt(left, alo, ahi).withColumnRenamed("_own", "_a"), dealt(right, blo, bhi).withColumnRenamed("_own", "_b")
+    left, right = dealt(left, alo, ahi, other).withColumnRenamed("_own", "_a"), dealt(right, blo, bhi, mine).withColumnRenamed("_own", "_b")
     lo, hi = F.greatest(alo, blo), F.least(ahi, bhi)
     met = left.join(right, [*keys, "_level", "_bin"]).where(F.col("_level") == F.greatest("_a", "_b"))
-    return met.withColumn("lo", lo).withColumn("hi", hi).where((F.col("lo") <= F.col("hi")) & (F.expr("floor(lo / power(2D, _level))") == F.col("_bin"))).drop("_level", "_bin", "_a", "_b")
-
-
-def gaps(df: DataFrame, keys: list[str], lo: str, hi: str) -> DataFrame:
-    """Free ranges between the closed ranges of each key."""
-    w = Window.partitionBy(*keys).orderBy(lo, hi).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("_end", F.max(hi).over(w)).where(F.col(lo) > F.col("_end") + 1).select(*keys, (F.col("_end") + 1).alias("gap_lo"), (F.col(lo) - 1).alias("gap_hi"))
-
-
-def missing_numbers(df: DataFrame, keys: list[str], number: str) -> DataFrame:
-    """Numbers absent between the smallest and the largest of each key."""
-    w = Window.partitionBy(*keys).orderBy(number)
-    return df.select(*keys, number).distinct().withColumn("_prev", F.lag(number).over(w)).where(F.col(number) > F.col("_prev") + 1).select(*keys, F.explode(F.sequence(F.col("_prev") + 1, F.col(number) - 1)).alias("missing"))
+    met = met.withColumn("lo", lo).withColumn("hi", hi).where((F.col("lo") <= F.col("hi")) & (F.expr(f"shiftright(lo, _level * {STEP})") == F.col("_bin")))
+    return met.drop("_level", "_bin", "_a", "_b")
 
 
 def crosstab(df: DataFrame, keys: list[str], over: Column, values: list, agg: Column, name: str) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opsledger.functions import masks
+from opsledger.shared import dropped, stored
 
 KEY = ["owner", "table", "column"]
 
@@ -33,12 +36,44 @@ def masked(df: DataFrame, plan: dict[str, tuple[str, int | None]]) -> DataFrame:
     return df.select(*[masks.fit(masks.mask(plan[c][0], F.col(c)), plan[c][1]).alias(c) if c in plan else F.col(c) for c in df.columns])
 
 
+TAIL = 6  # characters at the end of a value that tell it from equal ones
+ROUNDS = 64
+
+
 def without_collisions(df: DataFrame, column: str, key: str) -> DataFrame:
-    """Values that several rows share end in six digits of the key's hash."""
-    several = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n")).where("_n > 1")
-    tail = F.lpad(F.pmod(F.xxhash64(key), F.lit(1000000)).cast("string"), 6, "0")
-    out = df.join(several, column, "left")
-    return out.withColumn(column, F.when(F.col("_n").isNotNull(), F.concat(F.expr(f"substring({column}, 1, greatest(0, length({column}) - 6))"), tail)).otherwise(F.col(column))).select(*df.columns)
+    """``df`` with values of ``column`` that no two rows share; lengths and nulls stay.
+
+    Every row of a shared value gets another end, of digits from the hash of ``key`` and the
+    round. A round keeps those that are new and not taken by any settled row, of equal ones
+    that with the least key, and only the others go on; so what is joined shrinks from round to
+    round. ``key`` tells rows apart. Values too short to be told apart are an error.
+    """
+    spark, paths = df.sparkSession, []
+    values = stored(df.where(F.col(column).isNotNull()).select(F.col(key).alias("k"), F.col(column).alias("v")), paths)
+    several = stored(values.groupBy("v").agg(F.count("*").alias("n")).where("n > 1"), paths)
+    left = stored(values.join(several, "v", "left_semi"), paths)
+    taken = [values.join(several, "v", "left_anti").select("v")]
+    settled: list[DataFrame] = []
+    for r in range(ROUNDS):
+        if left.isEmpty():
+            break
+        size = F.least(F.length("v"), F.lit(TAIL))
+        digits = F.lpad(F.pmod(F.xxhash64(F.lit(r), "k"), F.lit(10**TAIL)).cast("string"), TAIL, "0")
+        tried = stored(left.withColumn("w", F.concat(F.substr("v", F.lit(1), F.length("v") - size), F.substr(digits, F.lit(TAIL + 1) - size))), paths)
+        winners = tried.groupBy("w").agg(F.min("k").alias("k"))
+        for t in taken:
+            winners = winners.join(t.select(F.col("v").alias("w")), "w", "left_anti")
+        winners = stored(winners, paths)
+        settled.append(winners)
+        taken = [taken[0], reduce(DataFrame.unionByName, settled).select(F.col("w").alias("v"))]
+        left = stored(tried.join(winners, "k", "left_anti").select("k", "v"), paths)
+    else:
+        raise ValueError(f"values of {column} are too short to be told apart")
+    new = stored(reduce(DataFrame.unionByName, settled)) if settled else values.limit(0).select(F.col("v").alias("w"), "k")
+    if settled:
+        dropped(spark, paths)
+    out = df.join(new.select(F.col("k").alias(key), F.col("w").alias("_new")), key, "left")
+    return out.withColumn(column, F.coalesce("_new", column)).select(*df.columns)
 
 
 def fully_excluded(columns: DataFrame, exceptions: DataFrame) -> DataFrame:

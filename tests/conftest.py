@@ -1,3 +1,5 @@
+import contextlib
+import io
 import pathlib
 import sys
 
@@ -14,3 +16,14 @@ def spark(tmp_path_factory):
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
+
+
+@pytest.fixture(scope="session")
+def plan_of():
+    def told(df):
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            df.explain("formatted")
+        return out.getvalue()
+
+    return told
