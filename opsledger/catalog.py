@@ -218,4 +218,4 @@ def spread(spark, d):
     return e.groupBy("event_type").agg(F.round(F.stddev_samp("x"), 4).alias("deviation"), F.round(F.var_samp("x"), 2).alias("variance"), F.round(F.var_pop("x"), 2).alias("population"), F.min("x").alias("low"), F.max("x").alias("high"), F.count_distinct("user_id").alias("users"))
 
 
-from opsledger import dialect_catalog, graph_catalog, report_catalog, storage_catalog, subset_catalog, text_catalog  # noqa: E402, F401 they add their queries
+from opsledger import dialect_catalog, graph_catalog, plan_catalog, report_catalog, storage_catalog, subset_catalog, text_catalog  # noqa: E402, F401 they add their queries

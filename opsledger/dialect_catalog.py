@@ -133,42 +133,6 @@ def post_sync(spark, d):
     return masking.synced(o, c, ["o_custkey"], "label", "c_name", 20).select("o_orderkey", "label")
 
 
-HISTORY = "('s', 'customer', 'c_name', 'NAME', 'Y', 'Y', 25), ('s', 'customer', 'c_phone', 'PHONE', 'Y', 'Y', 5), ('s', 'orders', 'o_note', 'FREE_TEXT', 'N', 'Y', 99), ('s', 'orders', 'o_clerk', 'NAME', 'Y', 'Y', 15)"
-EXCEPTIONS = "('s', 'orders', 'o_note', 'FORCE', 'FREE_TEXT', 'Y'), ('s', 'orders', 'o_clerk', 'EXCLUDE', null, 'Y'), ('s', 'customer', 'c_name', 'EXCLUDE', null, 'N')"
-_H = f"(values {HISTORY}) as h(owner, tab, col, identifier, mask, current, length)"
-_X = f"(values {EXCEPTIONS}) as x(owner, tab, col, action, forced_identifier, active)"
-
-
-def _metadata(spark):
-    h = spark.sql(f"select * from {_H}").withColumnsRenamed({"tab": "table", "col": "column"})
-    return h, spark.sql(f"select * from {_X}").withColumnsRenamed({"tab": "table", "col": "column"})
-
-
-@query(f"""with h as (select * from {_H}), x as (select * from {_X} where active = 'Y'), c as (select owner, tab, col, identifier from h where mask = 'Y' and current = 'Y'),
- f as (select * from c union all select owner, tab, col, forced_identifier from x where action = 'FORCE' and (owner, tab, col) not in (select owner, tab, col from c))
- select f.owner, f.tab as "table", f.col as "column", f.identifier from f join h using (owner, tab, col) where (f.owner, f.tab, f.col) not in (select owner, tab, col from x where action = 'EXCLUDE')
- and h.length >= case when f.identifier = 'PHONE' then 7 when f.identifier = 'NAME' then 2 else 1 end""")
-def mask_plan(spark, d):
-    h, x = _metadata(spark)
-    chosen = masking.select_columns(h, h.limit(0), x).join(h.select(*masking.KEY, "length"), masking.KEY)
-    return masking.long_enough(chosen).drop("length")
-
-
-@query(f"""with x as (select * from {_X}), s as (select * from (values ('s', 'orders', 'o_note', 'FORCE', null, 'Y'), ('s', 'part', 'p_name', 'EXCLUDE', null, 'Y')) as s(owner, tab, col, action, forced_identifier, active))
- select owner, tab as "table", col as "column", coalesce(s.action, x.action) as action, coalesce(s.forced_identifier, x.forced_identifier) as forced_identifier, coalesce(s.active, x.active) as active from x full join s using (owner, tab, col)""")
-def exception_upsert(spark, d):
-    _, x = _metadata(spark)
-    new = spark.sql("select * from (values ('s', 'orders', 'o_note', 'FORCE', cast(null as string), 'Y'), ('s', 'part', 'p_name', 'EXCLUDE', null, 'Y')) as s(owner, `table`, `column`, action, forced_identifier, active)")
-    return rel.upsert(x, new, masking.KEY, ["forced_identifier"])
-
-
-@query(f"""select tab as "table" from (select owner, tab, col from {_H}) h left join (select owner, tab, col, 1 as hit from {_X} where active = 'Y' and action = 'EXCLUDE') x using (owner, tab, col)
- group by owner, tab having count(*) = sum(case when hit = 1 then 1 else 0 end)""")
-def skipped_tables(spark, d):
-    h, x = _metadata(spark)
-    return masking.fully_excluded(h.select(*masking.KEY), x).select("table")
-
-
 @query("""select c_mktsegment as orig_val, 'M' || substr(md5(c_mktsegment), 1, 8) as new_val, min(c_custkey) as row_id from customer where c_mktsegment is not null group by c_mktsegment union all select null, null, null""")
 def mapping_table(spark, d):
     return rules.mapping_with_rows(t(spark, d, "customer"), "c_mktsegment", F.concat(F.lit("M"), F.substring(F.md5("c_mktsegment"), 1, 8)), "c_custkey")
@@ -273,15 +237,3 @@ def regex_join(spark, d):
     kinds = t(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("k"))
     m = spark.sql(f"select * from {PATTERNS}")
     return m.join(kinds, F.expr("event_type rlike pattern"), "left").groupBy("product").agg(F.coalesce(F.sum("k"), F.lit(0)).alias("n"))
-
-
-KEYS = "(values ('nation', 'region'), ('customer', 'nation'), ('supplier', 'nation'), ('orders', 'customer'), ('lineitem', 'orders'), ('lineitem', 'part'), ('lineitem', 'supplier')) as k(child, parent)"
-
-
-@query(f"""with k as (select * from {KEYS}) select 'nation' as tab, side, other, 'alter table ' || child || ' disable constraint fk_' || child || '_' || parent || ';' as statement
- from (select child, parent, 'parent' as side, parent as other from k where child = 'nation' union all select child, parent, 'child' as side, child as other from k where parent = 'nation') s""")
-def key_statements(spark, d):
-    """Both sides of a table's foreign keys, and a statement for each."""
-    k = spark.sql(f"select * from {KEYS}")
-    sides = k.where("child = 'nation'").select("child", "parent", F.lit("parent").alias("side"), F.col("parent").alias("other")).unionByName(k.where("parent = 'nation'").select("child", "parent", F.lit("child").alias("side"), F.col("child").alias("other")))
-    return sides.select(F.lit("nation").alias("tab"), "side", "other", F.concat(F.lit("alter table "), "child", F.lit(" disable constraint fk_"), "child", F.lit("_"), "parent", F.lit(";")).alias("statement"))

@@ -83,6 +83,17 @@ def fully_excluded(columns: DataFrame, exceptions: DataFrame) -> DataFrame:
     return g.where("_n = _hits").select("owner", "table")
 
 
+def selected(columns: DataFrame, exceptions: DataFrame, tables: str, of: dict[str, str]) -> DataFrame:
+    """(table, column, state) of columns named in comma-separated lists, names in any case and with blanks: of each table all columns, or those of its own list.
+
+    State is SKIP_TABLE for a table whose columns are all excluded, else MASK.
+    """
+    named = [x.strip().lower() for x in tables.split(",") if x.strip()]
+    want = reduce(lambda a, b: a | b, [(F.lower("table") == n) & (F.lower("column").isin([c.strip().lower() for c in of[n].split(",")]) if n in of else F.lit(True)) for n in named], F.lit(False))
+    out = fully_excluded(columns, exceptions).withColumn("_all", F.lit(True))
+    return columns.where(want).join(out, ["owner", "table"], "left").select("table", "column", F.when(F.col("_all"), "SKIP_TABLE").otherwise("MASK").alias("state"))
+
+
 def synced(target: DataFrame, source: DataFrame, keys: list[str], column: str, value: str, length: int) -> DataFrame:
     """``column`` takes the matched row's ``value``; the rule is skipped whole if any value is longer than ``length``.
 

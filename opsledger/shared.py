@@ -20,10 +20,13 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cuts the lineage through files in the shared folder, which outlive lost executors."""
+def checkpoint(df: DataFrame, paths: list[str] | None = None) -> DataFrame:
+    """Cuts the lineage through files in the shared folder, which outlive lost executors. ``paths`` takes their place down, for ``dropped``."""
     shared_dir(df.sparkSession)
-    return df.checkpoint()
+    out = df.checkpoint()
+    if paths is not None:
+        paths.append(out._jdf.queryExecution().logical().rdd().getCheckpointFile().get())
+    return out
 
 
 def stored(df: DataFrame, paths: list[str] | None = None) -> DataFrame:
