@@ -1,9 +1,11 @@
 """Main text of HTML pages by two passes of block rules.
 
-The first pass judges each block by its stop-word density, its length and its link density, also
-inside an article: good, bad, or undecided; a place that isn't content rules it out. In the second,
-undecided blocks take the label of the nearest decided neighbour of their place; between two as
-near that differ, and with none, the place decides.
+The first pass judges each block by its stop-word density, its length and its link density, inside
+an article, beside one and without one: good, bad, or undecided; a place that isn't content rules it
+out. Beside an article a block must be longer to be good, and inside one few stop words leave it
+undecided, as articles hold lists and tables. In the second pass undecided blocks take the label
+of the nearest decided neighbour of their place; between two as near that differ, and with none,
+the place decides.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from opsledger.llm.common import apart, table
 DENSE = 0.2  # stop words among words of a good block
 SPARSE = 0.02  # and of a bad one, below
 LONG = 70  # characters of a block that can be good by itself
+BESIDE = 200  # and of one beside the page's article
 LINKED = 0.4  # characters in links of a bad block
 # fixed values: frequent function words of English, German, French and Spanish
 STOP = frozenset("a about after all an and are as at be been but by can for from had has have he her his i if in into is it its more no not of on one only or other our out she so some than that the their them then there these they this to up was we were what when which who will with would you your der die das den dem des ein eine einer eines einem einen und oder aber ist sind war im in zu zum zur von vom mit für auf an als auch sich nicht es er sie wir ihr bei nach aus um wie wenn nur noch über durch le la les un une des du de et ou mais est sont dans en au aux pour par sur avec ce cette ces il elle ils elles nous vous qui que se ne pas plus son sa ses leur el los las uno unos unas y o pero es son con por para del al lo su sus se que no más como este esta".split())
@@ -84,16 +87,16 @@ def density(s: str, stop: frozenset[str] = STOP) -> float | None:
 
 
 def judged(s: str, linked: int, bad: bool, inside: bool, article: bool) -> bool | None:
-    """The first pass: whether a block is content by its place, link density, length and stop words; None if they don't tell.
+    """The first look at a block by its place, link density, length and stop words: content, not content, or None if they don't tell.
 
-    A place that isn't content, or one beside the page's article, rules a block out; no place
-    makes one good.
+    A place that isn't content rules a block out; no place makes one good, and beside the page's
+    article it takes a longer block.
     """
-    if bad or (article and not inside):
+    if bad:
         return False
     if linked > LINKED * len(s):
         return None if inside and linked < 0.9 * len(s) else False
-    if len(s) < LONG:
+    if len(s) < (BESIDE if article and not inside else LONG):
         return None
     found = density(s)
     if found is None or found >= DENSE:

@@ -361,6 +361,16 @@ def test_pages_without_their_article_tags(spark, monkeypatch):
     assert sum(extract.main_text(page) != was for page, was in zip(bare, ruled)) > 0.5 * len(pages)
 
 
+def test_blocks_beside_an_article_are_judged_too():
+    prose = "This is the text of the page and it is long enough to be good by itself, as all of it is here."
+    page = lambda beside: f"<body><article><p>{prose}</p></article><div><p>{beside}</p></div></body>"
+    assert extract.main_text(page("A few words")) == prose
+    assert extract.main_text(page(prose)) == prose  # a notice or so
+    assert extract.main_text(page(prose * 3)) == prose + "\n\n" + prose * 3
+    assert extract.main_text(page("Lorem ipsum dolor sit amet " * 20)) == prose
+    assert extract.main_text(page("".join(f"<a href=x>{prose}</a>" for _ in range(3)))) == prose
+
+
 def test_two_passes():
     """Against a plain telling of the two passes, with ties, over random blocks."""
     rng = np.random.RandomState(4)
@@ -370,8 +380,10 @@ def test_two_passes():
         article = any(i and not b for _, _, b, i in found)
         first = []
         for t, linked, bad, inside in found:
-            if bad or (article and not inside) or linked:
+            if bad or linked:
                 first.append(False)
+            elif article and not inside:  # none of these is long enough there
+                first.append(None)
             else:
                 first.append({"short": None, dense: True, sparse: None if inside else False, some: None}[t])
         want = []
