@@ -43,35 +43,6 @@ def fixed_width(rows: DataFrame, least: int = 6, most: int = 10) -> DataFrame:
     return m.select("file", "section", "line_no", F.expr(cell).alias("cells"))
 
 
-def number(cell: Column) -> Column:
-    return F.regexp_replace(cell, ",", "").try_cast("double")
-
-
-def half_up(x: Column, digits: int) -> Column:
-    """Half a unit is added, then the rest cut off."""
-    unit = 10**digits
-    return F.floor(x * unit + 0.5) / unit
-
-
-def load(values: DataFrame) -> DataFrame:
-    """Average active sessions, busy flag and MiB/s of each file; redo isn't counted among what is written."""
-    pick = lambda k: F.max(F.when(F.col("key") == k, F.col("value")))
-    g = values.groupBy("file").agg(pick("DB time").alias("db_time"), pick("Elapsed").alias("elapsed"), pick("CPUs").alias("cpus"), pick("Read bytes").alias("read_b"), pick("Write bytes").alias("write_b"), pick("Redo bytes").alias("redo_b"))
-    aas = F.when(F.col("elapsed") > 0, F.col("db_time") / F.col("elapsed"))
-    mib = (F.col("read_b") + F.col("write_b") - F.coalesce("redo_b", F.lit(0))) / 1048576
-    return g.select("file", "db_time", half_up(aas, 2).alias("aas"), (aas > F.col("cpus")).alias("busy"), half_up(mib, 2).alias("mib"))
-
-
-def top_events(cells: DataFrame, loads: DataFrame) -> DataFrame:
-    """(file, rank, event, class, waits, time_s, avg_ms, pct): a section of events by time, with the mean wait and the share of the database's minutes."""
-    c = F.col("cells")
-    rows = cells.select("file", "line_no", c[0].alias("event"), c[1].alias("class"), number(c[2]).alias("waits"), number(c[3]).alias("time_s"))
-    rank = F.row_number().over(Window.partitionBy("file").orderBy("line_no"))
-    m = rows.withColumn("rank", rank).join(loads.select("file", "db_time"), "file")
-    avg = F.when(F.col("waits") > 0, F.col("time_s") / F.col("waits") * 1000)
-    return m.select("file", "rank", "event", "class", "waits", "time_s", half_up(avg, 2).alias("avg_ms"), half_up(F.col("time_s") / (F.col("db_time") * 60) * 100, 1).alias("pct"))
-
-
 def wide(events: DataFrame, top: int = 5) -> DataFrame:
     """One row a file: the fields of its first ``top`` events side by side."""
     fields = ["event", "class", "waits", "time_s", "avg_ms", "pct"]
@@ -82,9 +53,18 @@ def to_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, sep=",", header=False)
 
 
-def to_html(df: DataFrame, rows: int = 1000) -> str:
-    """A table of the first ``rows`` rows of a report."""
-    cell = lambda x: html.escape("" if x is None else str(x))
-    head = "".join(f"<th>{cell(c)}</th>" for c in df.columns)
-    body = "".join("<tr>" + "".join(f"<td>{cell(v)}</td>" for v in r) + "</tr>" for r in df.limit(rows).collect())
-    return f"<table><tr>{head}</tr>{body}</table>"
+def to_html(df: DataFrame, path: str) -> None:
+    """All rows of a report as an HTML table: a folder of parts, in order, between a head and a foot; nothing comes to the driver."""
+    cell = lambda c, tag: F.concat(F.lit(f"<{tag}>"), F.coalesce(F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), F.lit("")), F.lit(f"</{tag}>"))
+    body = df.select(F.concat(F.lit("<tr>"), *[cell(F.col(f"`{c}`").cast("string"), "td") for c in df.columns], F.lit("</tr>")).alias("value"))
+    body.write.mode("overwrite").text(f"{path}/1-rows")
+    head = "<table><tr>" + "".join(f"<th>{html.escape(c, quote=False)}</th>" for c in df.columns) + "</tr>"
+    for name, line in (("0-head", head), ("2-foot", "</table>")):
+        df.sparkSession.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{name}")
+
+
+def to_xls(df: DataFrame, path: str) -> None:
+    """The same table under the name that spreadsheets open, with the sheet's head before it."""
+    to_html(df, path)
+    line = '<html xmlns:x="urn:schemas-microsoft-com:office:excel"><meta charset="utf-8">'
+    df.sparkSession.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/00-sheet")

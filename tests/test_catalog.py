@@ -99,10 +99,14 @@ def test_updates_from_another_table(spark):
 
 
 def test_report_sinks(spark, tmp_path):
-    from opsledger.sources.reports import to_csv, to_html
+    from opsledger.sources.reports import to_csv, to_html, to_xls
 
     df = spark.createDataFrame([(1, "<a>"), (2, None)], "k int, v string").coalesce(1)
-    assert to_html(df) == "<table><tr><th>k</th><th>v</th></tr><tr><td>1</td><td>&lt;a&gt;</td></tr><tr><td>2</td><td></td></tr></table>"
+    text = lambda p: "".join(r["value"] for part in sorted(x.name for x in p.iterdir()) for r in spark.read.text(str(p / part)).collect())
+    to_html(df, str(tmp_path / "h"))
+    assert text(tmp_path / "h") == "<table><tr><th>k</th><th>v</th></tr><tr><td>1</td><td>&lt;a&gt;</td></tr><tr><td>2</td><td></td></tr></table>"
+    to_xls(spark.range(3000).selectExpr("id", "id as `a.b`"), str(tmp_path / "x"))
+    assert text(tmp_path / "x").startswith("<html") and text(tmp_path / "x").count("<tr>") == 3001
     to_csv(df, str(tmp_path / "r"))
     assert sorted(r["_c0"] for r in spark.read.csv(str(tmp_path / "r")).collect()) == ["1", "2"]
 
