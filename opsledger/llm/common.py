@@ -68,17 +68,17 @@ def connected_components(edges: DataFrame, paths: list[str], max_rounds: int = 6
     spark = edges.sparkSession
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("a is not null and b is not null and u > v").distinct()
     old: list[str] = []
-    e, before = stored(e, old), None
+    e, before = checkpoint(e, old), None
     for _ in range(max_rounds):
         own: list[str] = []
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), own)
+        least = checkpoint(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), own)
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
-        large = stored(large, own)
-        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), own)
+        large = checkpoint(large, own)
+        least = checkpoint(large.groupBy("u").agg(F.min("v").alias("m")), own)
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.withColumnRenamed("m", "v")).where("u > v").distinct()
         new: list[str] = []
-        e = stored(small, new)
+        e = checkpoint(small, new)
         dropped(spark, [*old, *own])
         old = new
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsledger.llm.common import apart, connected_components, dropped, stored, table
+from opsledger.llm.common import apart, checkpoint, connected_components, dropped, table
 
 COSINE = 0.93
 BLOCK = 4096  # vectors of a node that meets others whole; fuller ones meet in parts
@@ -297,12 +297,12 @@ def node_pairs(dealt: DataFrame, groups: DataFrame, cosine: float, paths: list[s
     The rows of a label are worked on in chunks of about BLOCK, each beside all the label's centres.
     """
     blocks = F.ceil(F.col("n") / BLOCK)
-    large = stored(dealt.withColumn("chunk", F.pmod(F.xxhash64("did"), blocks)), paths)
+    large = checkpoint(dealt.withColumn("chunk", F.pmod(F.xxhash64("did"), blocks)), paths)
     sample = large.where(F.pmod(F.xxhash64(F.lit("sample"), "did"), F.col("n")) < SAMPLE).select("g", "did", "x", blocks.alias("want"))
-    centres = stored(sample.groupBy("g").applyInPandas(lambda g: top_centres(g.sort_values("did", ignore_index=True), cosine), "g long, centre int, c binary"), paths)
+    centres = checkpoint(sample.groupBy("g").applyInPandas(lambda g: top_centres(g.sort_values("did", ignore_index=True), cosine), "g long, centre int, c binary"), paths)
     chunks = groups.select("g", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("chunk"))
-    nodes = stored(large.groupBy("g", "chunk").cogroup(centres.join(chunks, "g").groupBy("g", "chunk")).applyInPandas(lambda a, b: to_nodes(a, b, cosine), NODE), paths)
-    cover = stored(nodes.groupBy("g", "node").agg(F.max("d").alias("radius"), F.sum("times").alias("all"), F.min("did").alias("root")).withColumn("centre", F.floor(F.col("node") / 2).cast("int")), paths)
+    nodes = checkpoint(large.groupBy("g", "chunk").cogroup(centres.join(chunks, "g").groupBy("g", "chunk")).applyInPandas(lambda a, b: to_nodes(a, b, cosine), NODE), paths)
+    cover = checkpoint(nodes.groupBy("g", "node").agg(F.max("d").alias("radius"), F.sum("times").alias("all"), F.min("did").alias("root")).withColumn("centre", F.floor(F.col("node") / 2).cast("int")), paths)
     near = cover.join(centres, ["g", "centre"]).join(chunks, "g").select(F.col("g").alias("of"), F.col("chunk").alias("part"), F.col("node").alias("other"), "c", "radius")
     met = nodes.groupBy("g", "chunk").cogroup(near.groupBy("of", "part")).applyInPandas(lambda a, b: to_pairs(a, b, cosine), MEET)
     cores = nodes.where("node % 2 = 1").join(cover.select(F.col("g").alias("of"), F.col("node").alias("other"), "all", "root"), (F.col("g") == F.col("of")) & (F.col("node") == F.col("other"))).select("did", (F.col("all") - F.col("times")).alias("n"), "root")
@@ -333,16 +333,16 @@ def linked(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
             yield pd.Series([np.asarray(v, np.float64).tobytes() for v in s], dtype=object)
 
     spark, paths = vectors.sparkSession, []
-    once = stored(unit.withColumn("dim", F.size("x")).withColumn("x", in_bytes("x")).withColumn("did", F.monotonically_increasing_id()), paths)
-    groups = stored(once.groupBy("label", "dim").agg(F.count("*").alias("n")).withColumn("g", F.monotonically_increasing_id()), paths)
+    once = checkpoint(unit.withColumn("dim", F.size("x")).withColumn("x", in_bytes("x")).withColumn("did", F.monotonically_increasing_id()), paths)
+    groups = checkpoint(once.groupBy("label", "dim").agg(F.count("*").alias("n")).withColumn("g", F.monotonically_increasing_id()), paths)
     dealt = once.join(groups, ["label", "dim"]).select("g", "n", "did", "times", "x")
     met, cores = dealt.where(F.col("n") <= BLOCK).select("g", F.lit(0).alias("p"), F.lit(0).alias("q"), F.lit(0).alias("side"), "did", "times", "x"), None
     wide = groups.where(F.col("n") > BLOCK).select("g", "n")
     if not wide.isEmpty():
         more, cores = node_pairs(dealt.where(F.col("n") > BLOCK), wide, cosine, paths)
-        met = stored(met.unionByName(more), paths)
+        met = checkpoint(met.unionByName(more), paths)
     part = lambda side: F.ceil(F.count_if(F.col("side") == side) / BLOCK).cast("int")
-    pairs = stored(met.groupBy("g", "p", "q").agg(part(0).alias("left"), part(1).alias("right")).where("p = q or left > 0 and right > 0"), paths)
+    pairs = checkpoint(met.groupBy("g", "p", "q").agg(part(0).alias("left"), part(1).alias("right")).where("p = q or left > 0 and right > 0"), paths)
     tasks = pairs.agg(F.sum(F.when(F.col("p") == F.col("q"), F.col("left") * (F.col("left") + 1) / 2).otherwise(F.col("left") * F.col("right"))).cast("long")).first()[0] or 1
     mine = F.pmod(F.xxhash64("did"), F.when(F.col("side") == 0, F.col("left")).otherwise(F.col("right"))).cast("int")
     theirs = F.explode(F.sequence(F.lit(0), F.when((F.col("p") != F.col("q")) & (F.col("side") == 0), F.col("right")).otherwise(F.col("left")) - 1))
@@ -351,13 +351,13 @@ def linked(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     cut = cut.select("g", "p", "q", F.when(first, F.col("mine")).otherwise(F.col("theirs")).alias("i"), F.when(first, F.col("theirs")).otherwise(F.col("mine")).alias("j"), ((F.col("p") == F.col("q")) & (F.col("mine") == F.col("theirs"))).alias("own"), F.when(first, 0).otherwise(1).alias("side"), "did", "times", "x")
     keys = ["g", "p", "q", "i", "j"]
     found = cut.repartition(tasks, *keys).groupBy(*keys).applyInPandas(lambda g: part_links(g, cosine), FOUND)
-    found = stored(found if cores is None else found.unionByName(cores), paths)
+    found = checkpoint(found if cores is None else found.unionByName(cores), paths)
     comp = connected_components(found.select(F.col("did").alias("a"), F.col("root").alias("b")), paths)
     counts = found.groupBy("did").agg(F.sum("n").alias("n"))
     named = once.select("k1", "k2", "did", "least", "times").join(comp, F.col("did") == F.col("node"), "left").join(counts, "did", "left").withColumn("component", F.coalesce("component", "did"))
-    named = stored(named.select("k1", "k2", "least", "times", "component", (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n")), paths)
+    named = checkpoint(named.select("k1", "k2", "least", "times", "component", (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n")), paths)
     least = named.groupBy("component").agg(F.min("least").alias("name"))
-    named = stored(named.join(least, "component").select("k1", "k2", "n", "name", F.lit(True).alias("good")))
+    named = checkpoint(named.join(least, "component").select("k1", "k2", "n", "name", F.lit(True).alias("good")))
     dropped(spark, paths)
     out = rows.join(named, ["k1", "k2", "good"], "left")
     out = out.withColumn("n_links", F.coalesce("n", F.lit(0)).cast("long")).withColumn("component_id", F.expr("if(good, name, vec_id)"))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from opsledger.llm.common import apart, connected_components, dropped, each, keyed, stored, table
+from opsledger.llm.common import apart, checkpoint, connected_components, dropped, each, keyed, table
 
 MAX_BITS = 2
 CUTS = ((0, 22), (22, 21), (43, 21))  # first bit and bits of each segment
@@ -116,9 +116,9 @@ def linked(fps: DataFrame, paths: list[str], small: int = 32) -> DataFrame:
     grow with its size, not its square, and no link's connection is lost. ``paths`` takes down
     the stored tables that the result reads.
     """
-    keyed = stored(fps.select("fp").mapInPandas(_keyed, "key long, fp long"), paths)
+    keyed = checkpoint(fps.select("fp").mapInPandas(_keyed, "key long, fp long"), paths)
     full = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    met = stored(keyed.join(full, "key"), paths)
+    met = checkpoint(keyed.join(full, "key"), paths)
     few = met.where(F.col("n") <= small).select("key", "fp")
     other = few.select("key", F.col("fp").alias("fp2"))
     pairs = few.join(other, "key").where("fp < fp2 and bit_count(fp ^ fp2) <= 2").select(F.col("fp").alias("a"), F.col("fp2").alias("b"))
@@ -137,13 +137,13 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     empty table gives an empty result. Other columns play no part.
     """
     spark, paths = docs.sparkSession, []
-    prints = stored(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).withColumn("fp", fingerprint_of("t")).drop("t"), paths)
-    distinct = stored(prints.groupBy("fp").agg(F.min("id").alias("least")), paths)
+    prints = checkpoint(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).withColumn("fp", fingerprint_of("t")).drop("t"), paths)
+    distinct = checkpoint(prints.groupBy("fp").agg(F.min("id").alias("least")), paths)
     comp = connected_components(linked(distinct, paths), paths)
     named = distinct.join(comp, distinct["fp"] == comp["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    named = stored(named, paths)
-    names = stored(named.groupBy("component").agg(F.min("least").alias("component_id")), paths)
-    out = stored(prints.join(named.join(names, "component").select("fp", "component_id"), "fp").select("id", F.col("fp").alias("fingerprint"), "component_id"))
+    named = checkpoint(named, paths)
+    names = checkpoint(named.groupBy("component").agg(F.min("least").alias("component_id")), paths)
+    out = checkpoint(prints.join(named.join(names, "component").select("fp", "component_id"), "fp").select("id", F.col("fp").alias("fingerprint"), "component_id"))
     dropped(spark, paths)
     return out
 
