@@ -66,12 +66,15 @@ def top_n(spark, d):
     return t(spark, d, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(10).select("o_orderkey", "o_custkey", dec("o_totalprice").alias("price"))
 
 
-@query("""select user_id, event_id, lag_s, case when lag_s = 0 then 1 else lag_s end as guarded from (select user_id, event_id, cast(epoch_us(ts) - epoch_us(lag(ts, 1, ts) over (partition by user_id order by ts, event_id)) as bigint) // 1000000 as lag_s from events)""")
+@query("""select user_id, event_id, lag_s, case when lag_s = 0 then 1 else lag_s end as guarded, size * 3600 // case when lag_s = 0 then 1 else lag_s end as per_hour
+ from (select user_id, event_id, cast(round(value * 100) as bigint) as size, cast(epoch_us(ts) - epoch_us(lag(ts, 1, ts) over (partition by user_id order by ts, event_id)) as bigint) // 1000000 as lag_s from events)""")
 def rate_between_rows(spark, d):
+    """Size over the time since the row before, a gap of zero counted as one second."""
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     lag = F.floor((micros - F.coalesce(F.lag(micros).over(w), micros)) / 1000000)
-    return t(spark, d, "events").select("user_id", "event_id", lag.alias("lag_s")).withColumn("guarded", F.when(F.col("lag_s") == 0, 1).otherwise(F.col("lag_s")))
+    rows = t(spark, d, "events").select("user_id", "event_id", F.round(F.col("value") * 100).cast("long").alias("size"), lag.alias("lag_s")).withColumn("guarded", F.when(F.col("lag_s") == 0, 1).otherwise(F.col("lag_s")))
+    return rows.select("user_id", "event_id", "lag_s", "guarded", F.floor(F.col("size") * 3600 / F.col("guarded")).alias("per_hour"))
 
 
 @query("""with k as (select distinct l_linenumber as thread, l_orderkey as seq from lineitem), w as (select thread, seq, lag(seq) over (partition by thread order by seq) as prev from k)
@@ -105,9 +108,9 @@ def hierarchy_paths(spark, d):
     return h.select("node", "level", F.array_join(F.col("path").cast("array<string>"), "/").alias("path"))
 
 
-@query("select c_custkey from customer where c_custkey not in (select o_custkey from orders where o_custkey is not null)")
+@query("select c_custkey from customer where c_custkey not in (select o_custkey from orders where o_custkey is not null and o_orderstatus = 'F' and o_orderpriority = '1-URGENT')")
 def anti_join(spark, d):
-    return t(spark, d, "customer").join(t(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+    return t(spark, d, "customer").join(t(spark, d, "orders").where("o_orderstatus = 'F' and o_orderpriority = '1-URGENT'"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
 
 
 @query("select s_suppkey from supplier where (s_suppkey, s_nationkey) in (select c_custkey, c_nationkey from customer)")
@@ -218,4 +221,4 @@ def spread(spark, d):
     return e.groupBy("event_type").agg(F.round(F.stddev_samp("x"), 4).alias("deviation"), F.round(F.var_samp("x"), 2).alias("variance"), F.round(F.var_pop("x"), 2).alias("population"), F.min("x").alias("low"), F.max("x").alias("high"), F.count_distinct("user_id").alias("users"))
 
 
-from opsledger import dialect_catalog, graph_catalog, plan_catalog, report_catalog, storage_catalog, subset_catalog, text_catalog  # noqa: E402, F401 they add their queries
+from opsledger import dialect_catalog, graph_catalog, plan_catalog, report_catalog, storage_catalog, subset_catalog, text_catalog, value_catalog  # noqa: E402, F401 they add their queries

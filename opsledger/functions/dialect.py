@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,14 +46,78 @@ def add_months(ts: Column, n: int) -> Column:
     return F.timestamp_micros(F.unix_micros(day.cast("timestamp")) + (F.unix_micros(ts) - F.unix_micros(F.date_trunc("day", ts))))
 
 
-DATE_PARTS = {"YYYY": "yyyy", "YY": "yy", "MM": "MM", "DD": "dd", "HH24": "HH", "MI": "mm", "SS": "ss", "MON": "MMM", "DAY": "EEEE"}
+NAMES = {"DAY": ("EEEE", 9), "MONTH": ("MMMM", 9), "DY": ("EEE", 0), "MON": ("MMM", 0)}  # Java's pattern, and the width that names are padded to
+NUMBERS = {"YYYY": "yyyy", "RRRR": "yyyy", "YY": "yy", "RR": "yy", "MM": "MM", "DDD": "DDD", "DD": "dd", "HH24": "HH", "HH12": "hh", "HH": "hh", "MI": "mm", "SS": "ss"}
+PARTS = re.compile(r'"[^"]*"|FM|SSSSS|' + "|".join(sorted([*NAMES, *NUMBERS, "AM", "PM", "Q", "IW"], key=len, reverse=True)) + "|.", re.I | re.S)
+
+
+def _elements(pattern: str) -> list[str]:
+    return PARTS.findall(pattern)
 
 
 def to_char(ts: Column, pattern: str) -> Column:
-    """A timestamp by a pattern of the dialect's date elements."""
-    for k in sorted(DATE_PARTS, key=len, reverse=True):
-        pattern = pattern.replace(k, DATE_PARTS[k])
-    return F.date_format(ts, pattern)
+    """A timestamp by a pattern of the dialect's date elements.
+
+    Names come in the case of their element, days and months padded to nine characters; FM turns
+    padding, and zeros in front of numbers, off and on again. Text in quotes stays, as does what is no element.
+    """
+    out, full = [], True
+    for e in _elements(pattern):
+        u = e.upper()
+        if u == "FM":
+            full = not full
+        elif u in NAMES:
+            java, width = NAMES[u]
+            name = F.date_format(ts, java)
+            name = F.upper(name) if e.isupper() else F.lower(name) if e.islower() else name
+            out.append(F.rpad(name, width, " ") if width and full else name)
+        elif u in NUMBERS:
+            x = F.date_format(ts, NUMBERS[u])
+            out.append(x if full else F.regexp_replace(x, "^0+(?=[0-9])", ""))
+        elif u == "SSSSS":
+            x = (F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)).cast("string")
+            out.append(F.lpad(x, 5, "0") if full else x)
+        elif u in ("AM", "PM"):
+            x = F.when(F.hour(ts) < 12, "AM").otherwise("PM")
+            out.append(x if e.isupper() else F.lower(x))
+        elif u == "Q":
+            out.append(F.quarter(ts).cast("string"))
+        elif u == "IW":
+            x = F.weekofyear(ts).cast("string")
+            out.append(F.lpad(x, 2, "0") if full else x)
+        else:
+            out.append(F.lit(e[1:-1] if e.startswith('"') and len(e) > 1 else e))
+    return F.when(ts.isNotNull(), F.concat(*out)) if out else F.lit("")
+
+
+def number_char(n: Column, pattern: str) -> Column:
+    """A number by a pattern of 9, 0, the point (. or D), the group (, or G), and FM, S or MI.
+
+    The sign stands before the first digit, in a place of its own; FM drops that place, blanks, and
+    zeros at the end where the pattern has nines. A number that doesn't fit is shown as #.
+    """
+    bare = pattern.upper()
+    full = not bare.startswith("FM")
+    bare = bare.removeprefix("FM")
+    sign = "S" if bare.startswith("S") else "MI" if bare.endswith("MI") else ""
+    bare = bare.removeprefix("S").removesuffix("MI")
+    after = len(re.split("[.D]", bare)[1].replace(",", "")) if re.search("[.D]", bare) else 0
+    x = F.round(n.cast("decimal(38,12)"), after)
+    s = F.to_char(F.abs(x), F.lit(bare))
+    wide = len(bare)
+    s = F.when(s.contains("#"), F.lit("#" * wide)).otherwise(s)
+    digits = F.when(F.ltrim(s) == "", "0").otherwise(F.ltrim(s))
+    if not full and after and bare.endswith("9"):
+        zeros = len(bare) - len(bare.rstrip("9"))
+        digits = F.when(digits.startswith("#"), digits).otherwise(F.regexp_replace(digits, f"0{{1,{zeros}}}$", ""))
+    negative = (x < 0) & ~digits.startswith("#")
+    if sign == "MI":
+        out = F.concat(digits, F.when(negative, "-").otherwise("" if not full else " "))
+    else:
+        plus = "+" if sign == "S" else ""
+        out = F.concat(F.when(negative, "-").otherwise(plus), digits)
+    width = wide + 1
+    return F.when(digits.startswith("#"), F.lit("#" * width)).otherwise(F.lpad(out, width, " ") if full else out)
 
 
 def humanize(n: Column) -> Column:
@@ -99,9 +165,9 @@ def regexp_substr(text: Column, pattern: str, nth: int = 1) -> Column:
 
 
 def trunc(n: Column, digits: int = 0) -> Column:
-    """Towards zero at ``digits`` places, left of the point if negative."""
-    scaled = n * F.lit(10.0**digits)
-    return F.when(scaled >= 0, F.floor(scaled)).otherwise(F.ceil(scaled)) / F.lit(10.0**digits)
+    """Towards zero at ``digits`` places, left of the point if negative; by decimals, so 0.29 stays 0.29."""
+    d = n.cast("decimal(38,12)")
+    return F.when(d >= 0, F.floor(d, digits)).otherwise(F.ceil(d, digits)).cast("double")
 
 
 def months_between(a: Column, b: Column) -> Column:
@@ -109,7 +175,6 @@ def months_between(a: Column, b: Column) -> Column:
     return F.months_between(a, b, False)
 
 
-
 def trunc_date(ts: Column, unit: str = "DD") -> Column:
     """To the start of a year, quarter, month, week from Monday, day, hour or minute."""
     return F.date_trunc({"YYYY": "year", "YEAR": "year", "Q": "quarter", "MM": "month", "MONTH": "month", "IW": "week", "DD": "day", "HH24": "hour", "MI": "minute"}[unit], ts)
@@ -129,10 +194,34 @@ def next_day(ts: Column, day: str) -> Column:
 
 
 def to_date(text: Column, pattern: str) -> Column:
-    """A timestamp by a pattern of the dialect's date elements; null if the text doesn't fit."""
-    for k in sorted(DATE_PARTS, key=len, reverse=True):
-        pattern = pattern.replace(k, DATE_PARTS[k])
-    return F.try_to_timestamp(text, F.lit(pattern))
+    """A timestamp by a pattern of the dialect's date elements; null if the text doesn't fit. RR takes years from 50 on to be of the last century."""
+    java, names = "", {"DAY": "EEEE", "MONTH": "MMMM", "DY": "EEE", "MON": "MMM"}
+    for e in _elements(pattern):
+        u = e.upper()
+        java += names[u] if u in names else NUMBERS[u] if u in NUMBERS else "a" if u in ("AM", "PM") else "" if u == "FM" else "'" + e.strip('"').replace("'", "''") + "'" if e[0].isalpha() or e[0] in "\"'" else e
+    if any(n in pattern.upper() for n in names):
+        text = F.initcap(text)
+    ts = F.try_to_timestamp(text, F.lit(java))
+    if "RR" in pattern.upper() and "RRRR" not in pattern.upper():
+        ts = F.when(F.year(ts) >= 2050, ts - F.expr("interval 100 years")).otherwise(ts)
+    return ts
+
+
+def soundex(text: Column) -> Column:
+    return F.soundex(text)
+
+
+def substrb(text: Column, start: int, n: int) -> Column:
+    """``n`` bytes of the text in UTF-8 from byte ``start`` on, from the end if negative; characters cut through are left out."""
+    b = F.encode(text, "UTF-8")
+    at = F.lit(start) if start >= 0 else F.octet_length(text) + start + 1
+    return F.replace(F.make_valid_utf8(F.substr(b, at, F.lit(n)).cast("string")), F.lit("\ufffd"), F.lit(""))
+
+
+def instrb(text: Column, what: str) -> Column:
+    """The byte of the text in UTF-8 that ``what`` starts at, from 1; 0 if it isn't in it."""
+    at = F.locate(what, text)
+    return F.when(at == 0, 0).otherwise(F.octet_length(F.substr(text, F.lit(1), at - 1)) + 1)
 
 
 def to_number(text: Column, point: str = ".", group: str = ",") -> Column:

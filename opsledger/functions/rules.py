@@ -68,3 +68,29 @@ def text_fpe(x: Column, form: list[str], key: str, decrypt: bool = False) -> Col
 
 def _weights(form: list[str]) -> list[int]:
     return [prod(map(len, form[k + 1 :])) for k in range(len(form))]
+
+
+def form_number(x: Column, form: list[str]) -> Column:
+    """A text as a number whose digits are the places of its letters in ``form[k]``, the last the lowest.
+
+    As many places count as the shorter of text and form has. The first letter from the end that
+    isn't in its place's alphabet ends it: those behind it count.
+    """
+    letters = F.array(*map(F.lit, form))
+    n = F.least(F.length(x), F.lit(len(form)))
+    start = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(1).cast("long").alias("unit"), F.lit(True).alias("on"))
+
+    def step(acc: Column, k: Column) -> Column:
+        own = F.element_at(letters, k)
+        at = F.call_function("locate", F.substr(x, k, F.lit(1)), own)
+        go = acc["on"] & (at > 0)
+        return F.struct(F.when(go, acc["sum"] + (at - 1) * acc["unit"]).otherwise(acc["sum"]).alias("sum"), F.when(go, acc["unit"] * F.length(own)).otherwise(acc["unit"]).alias("unit"), go.alias("on"))
+
+    places = F.when(n > 0, F.sequence(n, F.lit(1), F.lit(-1))).otherwise(F.array().cast("array<int>"))
+    return F.when(x.isNotNull(), F.aggregate(places, start, step)["sum"])
+
+
+def number_form(n: Column, form: list[str]) -> Column:
+    """A number as a text of the form: what ``form_number`` reads back, with a place's first letter where the number has no more digits."""
+    digits = [F.substr(F.lit(s), (F.call_function("div", n.cast("long"), F.lit(w).cast("long")) % len(s) + 1).cast("int"), F.lit(1)) for s, w in zip(form, _weights(form), strict=True)]
+    return F.when(n.isNotNull(), F.concat(*digits))

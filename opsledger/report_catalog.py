@@ -67,7 +67,7 @@ REPORTS = {
     # changes written anew
     "update_with_expression": "select c_custkey, case when c_mktsegment = 'BUILDING' then 'B-' || c_name else c_name end as c_name from {customer}",
     "kept_by_keys": "select l_orderkey, l_linenumber, l_partkey, l_suppkey from {lineitem} where l_orderkey in (select o_orderkey from {orders} where o_orderstatus <> 'P')",
-    "clone_of_schema": "select * from {customer} where 1 = 2",
+    "clone_of_schema": "select * from {customer} where 1 = 2 union all select * from {customer} where c_nationkey = 3",
     "validation_counts": """select 'orders without customer' as rule, count(*) as n from {orders} where not exists (select 1 from {customer} where c_custkey = o_custkey)
  union all select 'lines without order' as rule, count(*) as n from {lineitem} where not exists (select 1 from {orders} where o_orderkey = l_orderkey)""",
     "progress": """select user_id, done, total, cast(floor(100 * done / total) as bigint) as pct, case when done > 0 then cast(floor(3600 * (total - done) / done) as bigint) end as left_s

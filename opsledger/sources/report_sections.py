@@ -104,7 +104,7 @@ def number(text: Column) -> Column:
 
 def ratio(a: Column, b: Column, digits: int) -> Column:
     """a / b, cut off after ``digits`` decimals, exactly; null for a divisor of zero."""
-    whole = lambda x: (x * 10000).cast("decimal(28,0)")
+    whole = lambda x: (x * F.lit(10**7).cast("decimal(8,0)")).cast("decimal(31,0)")
     q = F.call_function("div", (whole(a) * F.lit(10**digits).cast("decimal(8,0)")).cast("decimal(38,0)"), F.when(b != 0, whole(b).cast("decimal(38,0)")))
     return (q.cast("decimal(24,0)") / F.lit(10**digits).cast("decimal(8,0)")).cast(f"decimal(24,{digits})")
 

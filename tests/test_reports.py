@@ -73,7 +73,7 @@ def test_states_of_odd_reports(spark, tmp_path):
 
 
 def test_wrapped_names_and_offset_columns(spark):
-    rows = [("f", 10, "background events", k, x) for k, x in enumerate(["  ------ --- ---", "  a long  12  34", "  name", "  end", "  b     1,5", "", "  c       1   2"])]
+    rows = [("f", 10, "background events", k, x) for k, x in enumerate(["  ------ --- ---", "  a long  12  34", "  name", "  end", "  b      1,5", "", "  c       1   2"])]
     df = spark.createDataFrame(rows, "file string, version int, section string, at int, line string")
     assert [r["cells"] for r in rs.cells(df).orderBy("at").collect()] == [["a long name end", "12", "34"], ["b", "1,5", ""], ["c", "1", "2"]]
 
