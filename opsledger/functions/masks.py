@@ -21,16 +21,21 @@ def seed(salt: str, x: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(salt + "|"), F.substring(x, 1, 1000))), 1, 7), 16, 10).cast("long") % 2147483646 + 1
 
 
+# letters by a recurrence on the seed, seed' = (131 seed + 17) mod 26; as 131 is 1 modulo 26, the k-th is (seed + 17 k) mod 26,
+# which runs round one cycle from the place 23 seed on: 23 is the inverse of 17
+CYCLE = "".join(chr(65 + 17 * k % 26) for k in range(26)) * 40
+
+
 def mix_alpha(x: Column, s: Column) -> Column:
-    """Letters become others by a recurrence on the seed, seed' = (131 seed + 17) mod 26; the rest stays."""
-    start = F.struct(F.lit("").alias("out"), s.alias("s"))
+    """Letters become others by the recurrence, of which a run of them takes a part; the rest stays."""
+    runs = F.regexp_extract_all(F.substring(x, 1, 1000), F.lit(r"(\p{L}+|[^\p{L}]+)"), F.lit(1))
+    start = F.struct(F.lit("").alias("out"), ((s * 23 + 1) % 26).cast("int").alias("at"))
 
-    def step(acc: Column, c: Column) -> Column:
-        now = (acc["s"] * 131 + 17) % 26
-        letter = c.rlike(r"^\p{L}$")
-        return F.struct(F.concat(acc["out"], F.when(letter, F.char((now + 65).cast("int"))).otherwise(c)).alias("out"), F.when(letter, now).otherwise(acc["s"]).alias("s"))
+    def step(acc: Column, run: Column) -> Column:
+        letters, n = run.rlike(r"^\p{L}"), F.length(run)
+        return F.struct(F.concat(acc["out"], F.when(letters, F.substr(F.lit(CYCLE), acc["at"] + 1, n)).otherwise(run)).alias("out"), F.when(letters, (acc["at"] + n) % 26).otherwise(acc["at"]).alias("at"))
 
-    return F.aggregate(F.split(F.substring(x, 1, 1000), ""), start, step)["out"]
+    return F.aggregate(runs, start, step)["out"]
 
 
 def name(x: Column) -> Column:

@@ -94,3 +94,20 @@ def number_form(n: Column, form: list[str]) -> Column:
     """A number as a text of the form: what ``form_number`` reads back, with a place's first letter where the number has no more digits."""
     digits = [F.substr(F.lit(s), (F.call_function("div", n.cast("long"), F.lit(w).cast("long")) % len(s) + 1).cast("int"), F.lit(1)) for s, w in zip(form, _weights(form), strict=True)]
     return F.when(n.isNotNull(), F.concat(*digits))
+
+
+def masked_columns(tables: dict[str, DataFrame], rules: list[tuple[str, str, str]]) -> DataFrame:
+    """(tab, col, kind, precision, length, rule, rows) of the columns that ``rules`` (table, column, rule) mask: their types as a database has them, their longest text, their rows. A table is read once."""
+    out = []
+    for name in dict.fromkeys(n for n, _, _ in rules):
+        df, told = tables[name], []
+        for n, c, rule in rules:
+            if n != name:
+                continue
+            kind = df.schema[c].dataType.simpleString()
+            text = kind == "string"
+            known = {"tab": n, "col": c, "kind": "VARCHAR" if text else "NUMBER" if kind in ("bigint", "int", "smallint", "tinyint") or kind.startswith("decimal") else "FLOAT" if kind in ("double", "float") else "DATE" if kind.startswith(("date", "timestamp")) else kind.upper(), "rule": rule}
+            precision = {"bigint": 19, "int": 10, "smallint": 5, "tinyint": 3}.get(kind) or (int(kind[8:].split(",")[0]) if kind.startswith("decimal") else None)
+            told.append(F.struct(*[F.lit(v).alias(k) for k, v in known.items()], F.lit(precision).cast("int").alias("precision"), (F.max(F.length(c)) if text else F.lit(None).cast("int")).alias("length"), F.count("*").alias("rows")))
+        out.append(df.agg(F.array(*told).alias("r")).select(F.inline("r")))
+    return reduce(DataFrame.unionByName, out)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsledger.operators.relational import ranked
-from opsledger.shared import checkpoint
+from opsledger.shared import checkpoint, dropped
 
 
 PARTS = 8  # sets of a table's keys that are kept side by side before they are written as one
@@ -44,20 +44,20 @@ class Graph:
     forced: set[tuple[str, str]] = field(default_factory=set)  # (child, parent): the only children that the parent's rows pull, always
 
 
-def seeds(df: DataFrame, node: Node) -> DataFrame:
+def seeds(df: DataFrame, node: Node, paths: list[str] | None = None) -> DataFrame:
     """Keys that a rule picks: all that its condition holds for, or a share of them; without a condition at least one row."""
     rows = df.where(node.where) if node.where else df
-    keys = checkpoint(rows.select(node.key).distinct())
+    keys = checkpoint(rows.select(node.key).distinct(), paths)
     if node.percent is None or (node.where and not 0 < node.percent < 100):
         return keys
     n = rows.count()
     most = int(n * node.percent / 100 + 0.5) if node.where else int(n * node.percent / 100) + 1
-    return first_rows(keys, node.key, most)
+    return first_rows(keys, node.key, most, paths)
 
 
-def first_rows(keys: DataFrame, key: str, most: int) -> DataFrame:
+def first_rows(keys: DataFrame, key: str, most: int, paths: list[str] | None = None) -> DataFrame:
     """``most`` of the distinct ``keys``, in the order of their hash."""
-    return checkpoint(ranked(keys, key).where(F.col("rank") <= most).select(key))
+    return checkpoint(ranked(keys, key).where(F.col("rank") <= most).select(key), paths)
 
 
 def subset(tables: dict[str, DataFrame], graph: Graph) -> dict[str, DataFrame]:
@@ -71,6 +71,7 @@ def subset(tables: dict[str, DataFrame], graph: Graph) -> dict[str, DataFrame]:
     """
     held: dict[str, list[DataFrame]] = {}  # keys so far, in the parts that they came in
     size: dict[str, int] = {}
+    paths: list[str] = []
 
     def fresh(name: str, found: DataFrame, capped: bool) -> DataFrame | None:
         node = graph.nodes[name]
@@ -79,22 +80,22 @@ def subset(tables: dict[str, DataFrame], graph: Graph) -> dict[str, DataFrame]:
         found = found.distinct()
         for part in held.get(name, []):
             found = found.join(part, node.key, "left_anti")
-        found = checkpoint(found)
+        found = checkpoint(found, paths)
         room = node.max_rows - size.get(name, 0) if capped and node.max_rows else None
         n = found.count()
         if room is not None and 0 <= room < n:
-            found, n = first_rows(found, node.key, room), room
+            found, n = first_rows(found, node.key, room, paths), room
         if not n:
             return None
         parts = [*held.get(name, []), found]
-        held[name] = parts if len(parts) < PARTS else [checkpoint(reduce(DataFrame.unionByName, parts))]
+        held[name] = parts if len(parts) < PARTS else [checkpoint(reduce(DataFrame.unionByName, parts), paths)]
         size[name] = size.get(name, 0) + n
         return found
 
     for root, rule in sorted(graph.nodes.items()):
         if not (rule.include_all or rule.where or rule.percent):
             continue
-        start = checkpoint(tables[root].select(rule.key).distinct()) if rule.include_all else fresh(root, seeds(tables[root], rule), False)
+        start = checkpoint(tables[root].select(rule.key).distinct(), paths) if rule.include_all else fresh(root, seeds(tables[root], rule, paths), False)
         todo = [(root, start, None, None)] if start is not None else []
         while todo:
             name, new, reached, driver = todo.pop(0)
@@ -119,18 +120,32 @@ def subset(tables: dict[str, DataFrame], graph: Graph) -> dict[str, DataFrame]:
     out = {}
     for name, df in tables.items():
         key = graph.nodes[name].key
-        kept = [df.join(part, key, "left_semi") for part in held.get(name, [])]
-        out[name] = df if graph.nodes[name].include_all else reduce(DataFrame.unionByName, kept, df.limit(0))
+        if graph.nodes[name].include_all:
+            out[name] = df
+        elif name in held:
+            out[name] = df.join(checkpoint(reduce(DataFrame.unionByName, held[name])), key, "left_semi")
+        else:
+            out[name] = df.limit(0)
+    dropped(next(iter(tables.values())).sparkSession, paths)
     return out
 
 
-def export(kept: dict[str, DataFrame], folder: str, remap: dict[str, dict[str, Column]] | None = None) -> DataFrame:
-    """Writes each table of a subset as Parquet under ``folder``, columns replaced as ``remap`` says; (table, rows, path) of each."""
-    for name, df in kept.items():
-        df.withColumns((remap or {}).get(name, {})).write.parquet(f"{folder.rstrip('/')}/{name}")
+def export(kept: dict[str, DataFrame], folder: str, remap: dict[str, dict[str, Column]] | None = None, where: dict[str, str] | None = None, empty: bool = True) -> DataFrame:
+    """Writes each table of a subset as Parquet under ``folder``; (table, rows, path) of each, counted in what was written.
+
+    ``remap`` replaces columns, ``where`` keeps only rows that meet a table's own condition on the
+    columns as they were. Without ``empty`` tables that come out empty are left out, also of the folder.
+    """
+    counts = []
+    for name, df in sorted(kept.items()):
+        path = f"{folder.rstrip('/')}/{name}"
+        rows = df.where((where or {}).get(name, "true"))
+        if not empty and rows.isEmpty():
+            continue
+        rows.withColumns((remap or {}).get(name, {})).write.parquet(path)
+        counts.append((name, df.sparkSession.read.parquet(path).count(), path))
     spark = next(iter(kept.values())).sparkSession
-    counts = [spark.read.parquet(f"{folder.rstrip('/')}/{name}").agg(F.lit(name).alias("table"), F.count("*").alias("rows"), F.lit(f"{folder.rstrip('/')}/{name}").alias("path")) for name in sorted(kept)]
-    return reduce(DataFrame.unionByName, counts)
+    return spark.createDataFrame(counts, "table string, rows long, path string")
 
 
 def empty_tables(kept: dict[str, DataFrame]) -> list[str]:

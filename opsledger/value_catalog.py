@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from opsledger.functions import dialect, masks, random_values, rules
 from opsledger.operators import relational as rel
+from opsledger.operators.report_lines import REPORT, computed_lines
 from opsledger.registry import query, t
 
 _LETTERS = "array_to_string(list_transform(range(1, 11), lambda k: chr(cast(97 + ('0x' || substr(md5('s|c_name|' || c_custkey || '|' || ((k - 1) // 8)), cast(((k - 1) % 8) * 4 + 1 as integer), 4))::bigint % 26 as integer))), '')"
@@ -94,3 +95,26 @@ def encryption_spread(spark, d):
     ]
     out: list[DataFrame] = [df.agg(F.lit(kind).alias("kind"), F.count("*").alias("n"), F.count_distinct("x").alias("different"), (F.count_if(F.col("raw") != F.col("x")) >= 0.95 * F.count("*")).alias("moved"), (F.count_if(F.col("x") != F.col("y")) >= 0.95 * F.count("*")).alias("keyed"), F.bool_and(inside).alias("inside")) for kind, df, inside in whole]
     return reduce(DataFrame.unionByName, out)
+
+
+@query("""with d as (select s_nationkey, s_suppkey, s_acctbal as balance, s_suppkey % 7 as parts, null as label, 0 as e, 0 as kind from supplier),
+ f as (select s_nationkey, null as s_suppkey, sum(balance) as balance, null as parts, 'SUM' as label, 0 as e, 1 as kind from d group by 1
+ union all select s_nationkey, null, null, max(parts), 'MAX', 0, 2 from d group by 1 union all select null, null, sum(balance), null, 'SUM', 1, 1 from d union all select null, null, null, max(parts), 'MAX', 1, 2 from d union all select null, null, avg(balance), null, 'AVG', 1, 3 from d),
+ a as (select * from d union all select * from f) select row_number() over (order by e, s_nationkey, kind, s_suppkey) as line, s_nationkey, s_suppkey, round(balance, 4) as balance, cast(parts as double) as parts, label from a""")
+def report_with_lines(spark, d):
+    """Suppliers by nation, with sums and maxima below each, and sum, maximum and mean at the end."""
+    s = t(spark, d, "supplier").select("s_nationkey", "s_suppkey", F.col("s_acctbal").alias("balance"), (F.col("s_suppkey") % 7).alias("parts"))
+    out = computed_lines(s, ["s_nationkey"], ["s_suppkey"], [("SUM", "balance", "s_nationkey"), ("MAX", "parts", "s_nationkey"), ("SUM", "balance", REPORT), ("MAX", "parts", REPORT), ("AVG", "balance", REPORT)])
+    return out.withColumn("balance", F.round("balance", 4))
+
+
+@query("select o_orderkey, cast(date_diff('day', cast(o_orderdate as date), today) as integer) as age, tag from orders, (select date '2004-01-01' as today, 'aged' as tag) one where o_orderdate < today - interval 900 day")
+def against_one_row(spark, d):
+    """Orders beside a row that no table holds."""
+    return spark.sql("select o_orderkey, datediff(today, cast(o_orderdate as date)) as age, tag from {orders}, (select date '2004-01-01' as today, 'aged' as tag) one where o_orderdate < today - interval 900 day", orders=t(spark, d, "orders"))
+
+
+@query(" union all ".join(f"""select '{n}' as tab, '{c}' as col, case typeof(any_value({c})) when 'VARCHAR' then 'VARCHAR' when 'BIGINT' then 'NUMBER' when 'INTEGER' then 'NUMBER' when 'DOUBLE' then 'FLOAT' else 'DATE' end as kind, case typeof(any_value({c})) when 'BIGINT' then 19 when 'INTEGER' then 10 end as precision, max(length(cast({c} as varchar))) filter (typeof({c}) = 'VARCHAR') as length, '{r}' as rule, count(*) as rows from {n}""" for n, c, r in [("customer", "c_name", "MAP"), ("customer", "c_custkey", "FPE"), ("orders", "o_orderdate", "DATE"), ("orders", "o_totalprice", "FIXED"), ("supplier", "s_nationkey", "MAP")]))
+def masked_column_metadata(spark, d):
+    tables = {n: t(spark, d, n) for n in ("customer", "orders", "supplier")}
+    return rules.masked_columns(tables, [("customer", "c_name", "MAP"), ("customer", "c_custkey", "FPE"), ("orders", "o_orderdate", "DATE"), ("orders", "o_totalprice", "FIXED"), ("supplier", "s_nationkey", "MAP")])
