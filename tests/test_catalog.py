@@ -4,7 +4,7 @@ import pytest
 from opsledger import catalog
 
 D = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem events documents".split()
+TABLES = "region nation customer supplier part orders lineitem events documents pages labels conversations benchmark embeddings".split()
 
 
 def rows(cols, data):
