@@ -34,6 +34,7 @@ class Node:
     include_all: bool = False
     pull_parents: bool = True
     pull_children: bool = True
+    app: str = ""  # the application that the table belongs to
 
 
 @dataclass
@@ -60,10 +61,11 @@ def first_rows(keys: DataFrame, key: str, most: int, paths: list[str] | None = N
     return checkpoint(ranked(keys, key).where(F.col("rank") <= most).select(key), paths)
 
 
-def subset(tables: dict[str, DataFrame], graph: Graph) -> dict[str, DataFrame]:
+def subset(tables: dict[str, DataFrame], graph: Graph, apps: list[str] | None = None) -> dict[str, DataFrame]:
     """Rows to keep of every table. A rule that fails raises.
 
-    Tables with a rule and tables taken whole drive one after another, by name. New rows pull
+    Tables with a rule and tables taken whole drive one after another, by application and name; only
+    those of ``apps``, if given, but they pull rows of any. New rows pull
     their parents, and the children of the driving table and of children found, as the driving
     table's flags say; a table's forced children are pulled always, and instead of others. Children
     are capped at their table's ``max_rows``, what is held already counted in; parents never are, so
@@ -75,7 +77,7 @@ def subset(tables: dict[str, DataFrame], graph: Graph) -> dict[str, DataFrame]:
 
     def fresh(name: str, found: DataFrame, capped: bool) -> DataFrame | None:
         node = graph.nodes[name]
-        if node.include_all:
+        if node.include_all and (apps is None or node.app in apps):
             return None
         found = found.distinct()
         for part in held.get(name, []):
@@ -92,8 +94,8 @@ def subset(tables: dict[str, DataFrame], graph: Graph) -> dict[str, DataFrame]:
         size[name] = size.get(name, 0) + n
         return found
 
-    for root, rule in sorted(graph.nodes.items()):
-        if not (rule.include_all or rule.where or rule.percent):
+    for root, rule in sorted(graph.nodes.items(), key=lambda x: (x[1].app, x[0])):
+        if not (rule.include_all or rule.where or rule.percent) or (apps is not None and rule.app not in apps):
             continue
         start = checkpoint(tables[root].select(rule.key).distinct(), paths) if rule.include_all else fresh(root, seeds(tables[root], rule, paths), False)
         todo = [(root, start, None, None)] if start is not None else []
@@ -120,7 +122,7 @@ def subset(tables: dict[str, DataFrame], graph: Graph) -> dict[str, DataFrame]:
     out = {}
     for name, df in tables.items():
         key = graph.nodes[name].key
-        if graph.nodes[name].include_all:
+        if graph.nodes[name].include_all and (apps is None or graph.nodes[name].app in apps):
             out[name] = df
         elif name in held:
             out[name] = df.join(checkpoint(reduce(DataFrame.unionByName, held[name])), key, "left_semi")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsledger.functions import masks
 from opsledger.shared import dropped, stored
+from opsledger.sources import versioned
 
 KEY = ["owner", "table", "column"]
 
@@ -36,6 +37,19 @@ def masked(df: DataFrame, plan: dict[str, tuple[str, int | None]]) -> DataFrame:
     return df.select(*[masks.fit(masks.mask(plan[c][0], F.col(c)), plan[c][1]).alias(c) if c in plan else F.col(c) for c in df.columns])
 
 
+def rebuilt(spark: SparkSession, root: str, plan: dict[str, tuple[str, int | None]]) -> tuple[int, int]:
+    """Masks the versioned table under ``root`` in place: one projection, in which every masked column is cast back to its declared type; (rows before, rows after).
+
+    A mask that its type can't hold gives null. Readers see the old rows until all new ones are written.
+    """
+
+    def cast(df: DataFrame) -> DataFrame:
+        new = {c: masks.fit(masks.mask(i, F.col(c).cast("string")), n).try_cast(df.schema[c].dataType) for c, (i, n) in plan.items()}
+        return df.select(*[new[c].alias(c) if c in new else F.col(c) for c in df.columns])
+
+    return versioned.rewrite(spark, root, cast)
+
+
 TAIL = 6  # characters at the end of a value that tell it from equal ones
 ROUNDS = 64
 

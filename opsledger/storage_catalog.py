@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from opsledger.plans import masking
 from opsledger.registry import query, t
 from opsledger.shared import dropped, shared_dir, stored
 from opsledger.sources import partitioned, replica, versioned
@@ -87,3 +88,16 @@ def verified_replicas(spark, d):
     rows = [(k, replica.replicate(t(spark, d, k), f"{folder}/{k}", key)) for k, key in (("supplier", "s_suppkey"), ("part", "p_partkey"), ("orders", "o_orderkey"))]
     dropped(spark, [folder])
     return spark.createDataFrame(rows, "tab string, rows long")
+
+
+_ACCOUNT = "lpad(cast(((('0x' || substr(md5('ACCOUNT|' || c_nationkey), 1, 7))::bigint % 2147483646 + 1) * 131 + 17) % 1000000000000 as varchar), 4, '0')"
+
+
+@query(f"select c_custkey, 'MASKED' as c_mktsegment, cast({_ACCOUNT} as integer) as c_nationkey, cast(null as double) as c_acctbal, c_name from customer")
+def masked_in_place(spark, d):
+    """A stored table masked by one rewrite: texts cut to their length, numbers cast back, null where a mask is no number."""
+    root = _folder(spark)
+    versioned.create(t(spark, d, "customer"), root)
+    masking.rebuilt(spark, root, {"c_mktsegment": ("FREE_TEXT", 6), "c_nationkey": ("ACCOUNT", None), "c_acctbal": ("FREE_TEXT", None)})
+    versioned.vacuum(spark, root)
+    return versioned.read(spark, root).select("c_custkey", "c_mktsegment", "c_nationkey", "c_acctbal", "c_name")

@@ -113,3 +113,11 @@ def subset_over_a_cycle(spark, d):
 def subset_without_dangling_rows(spark, d):
     tables, graph = _graph(spark, d, ["region", "nation", "customer", "orders"], orders=Node("o_orderkey", percent=5), nation=Node("n_nationkey", max_rows=1))
     return dangling(subset(tables, graph), graph)
+
+
+@query(_sql(f"customer_kept as (select * from customer where c_custkey % 40 = 1), supplier_kept as (select * from supplier where 1 = 2), part_kept as (select * from part where 1 = 2), {UP.format(fk='c_nationkey', of='customer')}", customer="c_custkey", supplier="s_suppkey", part="p_partkey", **GEO))
+def subset_of_applications(spark, d):
+    """Only the shop's tables drive: the store's rule and its table taken whole don't count, the nations that the shop needs do."""
+    tables, graph = _graph(spark, d, ["region", "nation", "customer", "supplier", "part"], customer=Node("c_custkey", where="c_custkey % 40 = 1", app="shop"), supplier=Node("s_suppkey", where="s_acctbal > 0", app="store"), part=Node("p_partkey", include_all=True, app="store"))
+    kept = subset(tables, graph, ["shop"])
+    return reduce(DataFrame.unionByName, [df.select(F.lit(k).alias("tab"), F.col(graph.nodes[k].key).cast("string").alias("key")) for k, df in sorted(kept.items())])
