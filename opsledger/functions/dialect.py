@@ -224,6 +224,16 @@ def instrb(text: Column, what: str) -> Column:
     return F.when(at == 0, 0).otherwise(F.octet_length(F.substr(text, F.lit(1), at - 1)) + 1)
 
 
+# fixed values: hours of the dialect's time zones from Greenwich
+ZONES = {"AST": -4, "ADT": -3, "BST": -11, "BDT": -10, "CST": -6, "CDT": -5, "EST": -5, "EDT": -4, "GMT": 0, "HST": -10, "HDT": -9, "MST": -7, "MDT": -6, "NST": -3.5, "PST": -8, "PDT": -7, "YST": -9, "YDT": -8}
+
+
+def new_time(ts: Column, own: str, other: str) -> Column:
+    """The time in zone ``other`` when it is ``ts`` in zone ``own``."""
+    seconds = int((ZONES[other.upper()] - ZONES[own.upper()]) * 3600)
+    return F.timestamp_micros(F.unix_micros(ts) + F.lit(seconds * 1_000_000))
+
+
 def to_number(text: Column, point: str = ".", group: str = ",") -> Column:
     """A number with its groups taken out; null if the text is none."""
     plain = F.replace(F.replace(F.trim(text), F.lit(group), F.lit("")), F.lit(point), F.lit("."))

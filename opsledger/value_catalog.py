@@ -118,3 +118,20 @@ def against_one_row(spark, d):
 def masked_column_metadata(spark, d):
     tables = {n: t(spark, d, n) for n in ("customer", "orders", "supplier")}
     return rules.masked_columns(tables, [("customer", "c_name", "MAP"), ("customer", "c_custkey", "FPE"), ("orders", "o_orderdate", "DATE"), ("orders", "o_totalprice", "FIXED"), ("supplier", "s_nationkey", "MAP")])
+
+
+@query("select o_orderkey, cast(o_orderdate as timestamp) - interval 2 hour as west, cast(o_orderdate as timestamp) - interval 210 minute as island from orders")
+def zone_times(spark, d):
+    ts = F.col("o_orderdate").cast("timestamp")
+    return t(spark, d, "orders").select("o_orderkey", dialect.new_time(ts, "EST", "PDT").cast("timestamp_ntz").alias("west"), dialect.new_time(ts, "gmt", "nst").cast("timestamp_ntz").alias("island"))
+
+
+_SPECIAL = "lpad(cast(((('0x' || substr(md5('IBAN_SPECIAL|' || upper(trim(x))), 1, 7))::bigint % 2147483646 + 1) * 137 + 31) % 1000000000000 as varchar), 20, '0')"
+
+
+@query(f"""with v as (select c_custkey, case c_custkey % 4 when 0 then c_name when 1 then ' es' || lpad(cast(c_custkey as varchar), 22, '0') || ' ' when 2 then 'a b' end as x from customer), b as (select *, {_SPECIAL} as bban from v), f as (select *, 'ES' || lpad(cast(98 - cast(bban || '142800' as hugeint) % 97 as varchar), 2, '0') || bban as iban, length(replace(trim(x), ' ', '')) as n from b)
+ select c_custkey, case when n > 0 and n < 24 then substr(iban, 1, n) else iban end as special from f""")
+def special_ibans(spark, d):
+    """The other salt of account numbers, cut to inputs that are shorter."""
+    x = F.expr("case c_custkey % 4 when 0 then c_name when 1 then concat(' es', lpad(c_custkey, 22, '0'), ' ') when 2 then 'a b' end")
+    return t(spark, d, "customer").select("c_custkey", masks.iban(x, "IBAN_SPECIAL").alias("special"))

@@ -105,3 +105,15 @@ def test_ciphers_over_whole_small_domains(spark):
     form = ["AB", "0123456789", "xyz"]
     got = spark.range(60).select(rules.number_form(F.col("id"), form).alias("x")).select("x", rules.text_fpe(F.col("x"), form, "k").alias("e"))
     assert {r["e"] for r in got.collect()} == {r["x"] for r in got.collect()} and got.where("x = e").count() < 10
+
+
+def test_identifiers_find_their_masks(spark):
+    """Exact names, names that hold one, bank columns by their value, free text for the rest."""
+    from opsledger.functions import masks
+
+    df = spark.createDataFrame([("12345678Z",), ("ES9121000418450200051332",), ("Some Name 7",), (None,), ("",)], "x string")
+    x = F.col("x")
+    pairs = [(f"{a}{k}{b}", f) for k, f in masks.EXACT.items() for a, b in (("", ""), ("MY_", ""), ("", "_2"), ("old ", " x"))] + [("THE_BANK", masks.bank), ("unknown", masks.free_text), ("", masks.free_text)]
+    rows = df.select(*[masks.mask(i.lower(), x).eqNullSafe(f(x)).alias(str(n)) for n, (i, f) in enumerate(pairs)]).collect()
+    assert all(all(r) for r in rows)
+    assert df.select(masks.bank(x).eqNullSafe(masks.iban(x)).alias("b")).collect()[1]["b"] and [r[0] for r in df.select(masks.fit(masks.free_text(x), 3)).collect()] == ["MAS", "MAS", "MAS", None, "MAS"]
