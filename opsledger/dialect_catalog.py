@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from opsledger.functions import dialect, masks, rules
-from opsledger.operators import relational as rel
 from opsledger.plans import masking
 from opsledger.registry import query, t
 

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opsledger.sources.reports import key_values
+
 VERSIONS = (10, 11, 12)
 
 
@@ -121,9 +123,9 @@ def mib(x: Column) -> Column:
 def fields(lines: DataFrame, rows: DataFrame, table: DataFrame) -> DataFrame:
     """A row a file: figures of PROFILE from its ``lines``, of OS from the ``rows`` of its sections, of ACTIVITY, per second, from their ``table``."""
     profile = F.create_map(*[x for k, v in PROFILE.items() for x in (F.lit(k), F.lit(v))])
-    label = F.regexp_extract("line", r"^\s*([A-Za-z]+(?: [A-Za-z]+)?)(?:s?(?: \([^)]*\))?):", 1)
-    label = F.when(label.startswith("Logical read"), "Logical read").otherwise(label)
-    a = lines.select("file", profile[label].alias("field"), number(F.regexp_extract("line", r":\s+([0-9,.]+(?:E\+\d+)?)", 1)).alias("value"))
+    label = F.regexp_replace("key", r"\s*\(.*\)$", "")
+    label = F.when(label == "Logical reads", "Logical read").otherwise(label)
+    a = key_values(lines).select("file", profile[label].alias("field"), F.col("value").try_cast("decimal(24,4)").alias("value"))
     words = F.split(F.trim("line"), r"\s+")
     b = rows.where("section = 'operating system'").select("file", F.create_map(*[x for k, v in OS.items() for x in (F.lit(k), F.lit(v))])[words[0]].alias("field"), number(F.get(words, F.lit(1))).alias("value"))
     c = table.where("section = 'activity'").select("file", F.create_map(*[x for k, v in ACTIVITY.items() for x in (F.lit(k), F.lit(v))])[F.col("cells")[0]].alias("field"), number(F.get("cells", F.lit(2))).alias("value"))

@@ -24,9 +24,10 @@ def tagged(report: DataFrame, headers: dict[str, str]) -> DataFrame:
 
 
 def key_values(rows: DataFrame, *by: str) -> DataFrame:
-    """(file, by..., key, value) of 'key: value' lines, thousands separators taken out."""
-    m = rows.where(F.col("line").rlike(r"^[^:]+:\s*-?[\d,]+(\.\d+)?$"))
-    return m.select("file", *by, F.trim(F.regexp_extract("line", r"^([^:]+):", 1)).alias("key"), F.regexp_replace(F.regexp_extract("line", r":\s*(.*)$", 1), ",", "").cast("double").alias("value"))
+    """(file, by..., key, value) of 'key: value' lines, a value the first number after the colon; thousands separators are taken out, powers of ten understood, what follows is left."""
+    m = rows.where(F.col("line").rlike(r"^\s*[^:]+:\s*-?\d[\d,]*(\.\d+)?(E\+\d+)?(\s|$)"))
+    value = F.regexp_extract("line", r":\s*(-?\d[\d,]*(?:\.\d+)?(?:E\+\d+)?)", 1)
+    return m.select("file", *by, F.trim(F.regexp_extract("line", r"^\s*([^:]+):", 1)).alias("key"), F.regexp_replace(value, ",", "").cast("double").alias("value"))
 
 
 def fixed_width(rows: DataFrame, least: int = 6, most: int = 10) -> DataFrame:

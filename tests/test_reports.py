@@ -93,3 +93,9 @@ def test_throughputs_are_rounded_each(spark):
     assert tuple(one) == (0.0, 0.01, 14305.11)
     # cut off after six decimals, then half a hundredth is added: 5,242.88 bytes are 0.005 MiB
     assert spark.range(1).select(rs.rounded(rs.ratio(F.lit(2).cast("decimal(24,4)"), F.lit(3).cast("decimal(24,4)"), 7) * 1000, 3).cast("double")).first()[0] == 666.667
+
+
+def test_keys_and_values(spark):
+    lines = ["Elapsed:    30.50 (mins)", " Redo size (bytes):  1,200.7   3", "Big: 1.5E+10", "Minus: -3", "no number: x", "time 10:20", "a:b: 1", "x: 1.2.3"]
+    df = spark.createDataFrame([("f", x) for x in lines], "file string, line string")
+    assert sorted((r["key"], r["value"]) for r in reports.key_values(df).collect()) == [("Big", 1.5e10), ("Elapsed", 30.5), ("Minus", -3.0), ("Redo size (bytes)", 1200.7), ("time 10", 20.0)]
