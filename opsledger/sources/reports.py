@@ -68,4 +68,4 @@ def to_xls(df: DataFrame, path: str) -> None:
     """The same table under the name that spreadsheets open, with the sheet's head before it."""
     to_html(df, path)
     line = '<html xmlns:x="urn:schemas-microsoft-com:office:excel"><meta charset="utf-8">'
-    df.sparkSession.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/00-sheet")
+    df.sparkSession.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/0-a-sheet")

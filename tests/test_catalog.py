@@ -26,8 +26,8 @@ def test_same_rows_as_sql(spark, name):
 
 
 def test_collisions_go(spark):
-    q = catalog.QUERIES["masked_without_collisions"](spark, D)
-    assert q.count() == q.select("c_name").distinct().count()
+    r = catalog.QUERIES["masked_without_collisions"](spark, D).first()
+    assert r["n"] == r["different"] == 150
 
 
 def test_ranked_keys_are_numbered_once(spark):
