@@ -25,7 +25,7 @@ from opsledger.llm.common import Recent, checkpoint, each, table
 CAPACITY = 2048
 END = 1
 WINDOW = 4096  # pieces that are packed together, on average
-REMEMBERED = 300_000
+REMEMBERED = 100_000  # words whose ids a task keeps, about twice
 BATCH = 3_000_000  # characters that are encoded together, about
 
 
@@ -45,7 +45,7 @@ class Ids:
     Texts with other than Latin letters, or with what may be a special token, go to it whole.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -55,7 +55,7 @@ class Ids:
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.last = np.zeros(max(vocab.values()) + 1, bool)
         self.last[[k for x, k in vocab.items() if x.endswith("</w>")]] = True
-        self.seen = Recent(REMEMBERED)
+        self.seen = Recent(remembered)
 
     def words(self, words: list[str]) -> None:
         missing = self.seen.absent(words)
@@ -155,11 +155,11 @@ def pack(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.
     return sequence, offset
 
 
-def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, batch: int = BATCH) -> DataFrame:
+def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, batch: int = BATCH, remembered: int = REMEMBERED) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens) of every piece of every document."""
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = Ids(path)
+        ids = Ids(path, remembered)
         end = np.array([END], "<u4").tobytes()
         for p in parts:
             held: list[tuple] = []
@@ -185,7 +185,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, batch: int = BA
     return out.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
-def packed(docs: DataFrame, path: str, capacity: int = CAPACITY, window: int = WINDOW, batch: int = BATCH) -> DataFrame:
+def packed(docs: DataFrame, path: str, capacity: int = CAPACITY, window: int = WINDOW, batch: int = BATCH, remembered: int = REMEMBERED) -> DataFrame:
     """A row per piece with sequence_id and offset, gapless in its sequence.
 
     Null texts count as empty; an empty text is the end id alone. Null ids, repeated ids and
@@ -193,7 +193,7 @@ def packed(docs: DataFrame, path: str, capacity: int = CAPACITY, window: int = W
     dealt by row, so one document's pieces or many copies spread over all of them. ``batch``:
     characters that are encoded together, of which more take less time and more memory.
     """
-    p = checkpoint(pieces(docs, path, capacity, batch)).withColumn("row", F.monotonically_increasing_id())
+    p = checkpoint(pieces(docs, path, capacity, batch, remembered)).withColumn("row", F.monotonically_increasing_id())
     windows = max(1, -(-p.count() // window))
     kind = dict(p.dtypes)["doc_id"]
 
@@ -210,4 +210,4 @@ def packed(docs: DataFrame, path: str, capacity: int = CAPACITY, window: int = W
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return packed(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), batch=4 * BATCH)
+    return packed(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), batch=4 * BATCH, remembered=3 * REMEMBERED)
