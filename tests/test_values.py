@@ -140,6 +140,12 @@ def test_numbers_between_minus_one_and_zero_keep_their_sign(spark, tmp_path):
     assert got == want and "-0" in {r[2] for r in got}
 
 
+def test_anti_join_sees_every_order(spark, tmp_path):
+    orders = [(1, "O", "5-LOW"), (2, "F", "1-URGENT"), (None, "F", "1-URGENT")]
+    got, want = checked(spark, "anti_join", tmp_path, {"customer": ([(1,), (2,), (3,)], "c_custkey long"), "orders": (orders, "o_custkey long, o_orderstatus string, o_orderpriority string")})
+    assert got == want == [(3,)]
+
+
 def test_spread_counts_customers_beyond_five_digits(spark, tmp_path):
     from datetime import datetime
 
