@@ -175,23 +175,26 @@ def fit(x: Column, length: int | None) -> Column:
 def feistel(n: Column, top: int, key: str, decrypt: bool = False, rounds: int = 6) -> Column:
     """A keyed bijection on [0, top): a balanced Feistel network, walked on while the value is outside.
 
-    At least a quarter of the network's values lie inside, so of 160 steps all are outside for about one value in 10**20; that one gives null.
+    At least a quarter of the network's values lie inside, so of 169 steps all are outside for about one value in 10**20; that one gives null, as does a value that isn't in [0, top).
     """
     half = max(1, (max(1, (top - 1).bit_length()) + 1) // 2)
-    mask = (1 << half) - 1
+    mask = F.lit((1 << half) - 1)
+    keys = F.array(*[F.lit(f"{key}|{r}") for r in (reversed(range(rounds)) if decrypt else range(rounds))])
 
-    def once(v: Column) -> Column:
-        left, right = F.shiftright(v, half), v.bitwiseAND(F.lit(mask))
-        for r in reversed(range(rounds)) if decrypt else range(rounds):
-            if decrypt:
-                left, right = right.bitwiseXOR(F.xxhash64(F.lit(f"{key}|{r}"), left).bitwiseAND(F.lit(mask))), left
-            else:
-                left, right = right, left.bitwiseXOR(F.xxhash64(F.lit(f"{key}|{r}"), right).bitwiseAND(F.lit(mask)))
-        return F.shiftleft(left, half).bitwiseOR(right)
+    def turn(v: Column, k: Column) -> Column:
+        left, right = F.shiftright(v, half), v.bitwiseAND(mask)
+        if decrypt:
+            return F.shiftleft(right.bitwiseXOR(F.xxhash64(k, left).bitwiseAND(mask)), half).bitwiseOR(left)
+        return F.shiftleft(right, half).bitwiseOR(left.bitwiseXOR(F.xxhash64(k, right).bitwiseAND(mask)))
 
-    walk = F.aggregate(F.sequence(F.lit(1), F.lit(160)), F.struct(F.lit(False).alias("done"), n.cast("long").alias("v")), lambda acc, _: F.when(acc["done"], acc).otherwise(_walked(once(acc["v"]), top)))
-    return F.when(walk["done"], walk["v"])
+    # a value that is still outside is held as its complement, which is negative; every step is worked out once
+    def step(v: Column, _: Column) -> Column:
+        return F.when(v >= 0, v).otherwise(F.aggregate(keys, F.bitwise_not(v), turn, lambda w: F.when(w < top, w).otherwise(F.bitwise_not(w))))
 
+    def steps(v: Column, _: Column) -> Column:
+        return F.when(v >= 0, v).otherwise(F.aggregate(F.sequence(F.lit(1), F.lit(13)), v, step))
 
-def _walked(v: Column, top: int) -> Column:
-    return F.struct((v < top).alias("done"), v.alias("v"))
+    def walk(v: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(1), F.lit(13)), F.when((v >= 0) & (v < top), F.bitwise_not(v)), steps, lambda w: F.when(w >= 0, w))
+
+    return F.transform(F.array(n.cast("long")), walk)[0]
