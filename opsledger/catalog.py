@@ -174,7 +174,7 @@ def masked_without_collisions(spark, d):
 
 @query("select c_custkey, c_custkey as back, true as inside from customer")
 def format_preserving(spark, d):
-    c = t(spark, d, "customer").select("c_custkey").withColumn("e", masks.feistel(F.col("c_custkey"), 10_000_000, "k"))
+    c = t(spark, d, "customer").select("c_custkey").repartition("c_custkey").withColumn("e", masks.feistel(F.col("c_custkey"), 10_000_000, "k"))
     return c.select("c_custkey", masks.feistel(F.col("e"), 10_000_000, "k", decrypt=True).alias("back"), F.col("e").between(0, 9_999_999).alias("inside"))
 
 
