@@ -69,9 +69,8 @@ def phone(x: Column) -> Column:
 def email(x: Column) -> Column:
     """Ten letters by the recurrence of ``mix_alpha``; number and domain come from the seed after the tenth."""
     s = seed("EMAIL", F.lower(F.trim(F.substring(x, 1, 1000))))
-    steps = F.transform(F.sequence(F.lit(1), F.lit(10)), lambda k: (s + 17 * k) % 26)  # 131 is 1 modulo 26
-    last = F.element_at(steps, 10)
-    user = F.array_join(F.transform(steps, lambda v: F.char((v + 97).cast("int"))), "")
+    user = F.lower(F.substr(F.lit(CYCLE), ((s * 23 + 1) % 26).cast("int") + 1, F.lit(10)))
+    last = (s + 170) % 26
     return F.when(x.isNotNull(), F.concat(user, ((last * 31 + 7) % 999).cast("string"), F.when(last % 2 == 0, F.lit("@example.com")).otherwise(F.lit("@example.org"))))
 
 
