@@ -70,23 +70,26 @@ def first_mask(t: Target, x: Column) -> Column:
 
 def _told(x: Column) -> Column:
     """128 bits for a value, so that no long text is shuffled to be counted; null for null."""
-    return F.when(x.isNotNull(), F.struct(F.xxhash64(x), F.xxhash64(F.lit(1), x)))
+    return F.when(x.isNotNull(), F.struct(F.xxhash64(x).alias("h"), F.xxhash64(F.lit(1), x).alias("g")))
 
 
 def profile(df: DataFrame, targets: list[Target]) -> DataFrame:
     """A row for each of one table's ``targets``, from one pass over ``df``: filled and different values, the longest, and how many different and how long masked ones are."""
     raw = {c: f"x{k}" for k, c in enumerate(dict.fromkeys(t.column for t in targets))}
     values = df.select(*[F.col(c).cast("string").alias(x) for c, x in raw.items()], *[first_mask(t, F.col(t.column).cast("string")).alias(f"y{k}") for k, t in enumerate(targets)])
-    # each value is worked out once, and goes on as a hash and a length
+    # each value is worked out once, and goes on as a narrow row of its column, a hash and a length; equal ones meet before any is counted
     names = [*raw.values(), *[f"y{k}" for k in range(len(targets))]]
     values = values.select(*[_told(F.col(n)).alias(n) for n in names], *[F.length(n).alias(f"n_{n}") for n in names])
-    out = []
-    for k, t in enumerate(targets):
-        x, y = raw[t.column], f"y{k}"
-        known = [F.lit(v).alias(n) for n, v in (("owner", t.owner), ("tab", t.table), ("col", t.column), ("identifier", t.final), ("kind", t.kind))]
-        counts = [F.count(x).alias("filled"), F.count_distinct(x).alias("different"), F.max(f"n_{x}").alias("longest"), F.count_distinct(y).alias("masked_different"), F.max(f"n_{y}").alias("masked_longest")]
-        out.append(F.struct(*known, F.lit(t.length).cast("int").alias("length"), rule_of(t).alias("step"), *counts))
-    return values.agg(F.array(*out).alias("r")).select(F.inline("r"))
+    cells = values.select(F.inline(F.array(*[F.struct(F.lit(k).alias("c"), F.col(f"{n}.h").alias("h"), F.col(f"{n}.g").alias("g"), F.col(f"n_{n}").alias("size")) for k, n in enumerate(names)]))).where("h is not null")
+    each = cells.groupBy("c", "h", "g").agg(F.count("*").alias("n"), F.max("size").alias("size"))
+    counts = each.groupBy("c").agg(F.sum("n").alias("filled"), F.count("*").alias("different"), F.max("size").alias("longest"))
+    sides = [F.struct(F.lit(k).alias("k"), F.lit(own).alias("own"), F.lit(names.index(n)).alias("c")) for k, t in enumerate(targets) for own, n in ((True, raw[t.column]), (False, f"y{k}"))]
+    told = df.sparkSession.range(1).select(F.inline(F.array(*sides))).join(counts, "c", "left")
+    of = lambda own, n: F.max(F.when(F.col("own") == own, F.col(n)))
+    told = told.groupBy("k").agg(of(True, "filled").alias("filled"), of(True, "different").alias("different"), of(True, "longest").alias("longest"), of(False, "different").alias("masked_different"), of(False, "longest").alias("masked_longest"))
+    known = lambda t: F.struct(*[F.lit(v).alias(n) for n, v in (("owner", t.owner), ("tab", t.table), ("col", t.column), ("identifier", t.final), ("kind", t.kind))], F.lit(t.length).cast("int").alias("length"), rule_of(t).alias("step"))
+    some = lambda n: F.coalesce(n, F.lit(0).cast("long")).alias(n)
+    return told.sort("k").withColumn("t", F.array(*map(known, targets))[F.col("k")]).select("t.*", some("filled"), some("different"), "longest", some("masked_different"), "masked_longest")
 
 
 def fallback() -> Column:

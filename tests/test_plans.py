@@ -72,3 +72,12 @@ def test_selected_columns(spark):
     x = spark.createDataFrame([("o", "A", v, "EXCLUDE", "Y") for v in ("k", "v")] + [("o", "b", "k", "EXCLUDE", "N")], "owner string, table string, column string, action string, active string")
     assert sorted(tuple(r) for r in masking.selected(c, x, "a, B,", {"b": " V ,none"}).collect()) == [("A", "k", "SKIP_TABLE"), ("A", "v", "SKIP_TABLE"), ("b", "v", "MASK")]
     assert masking.selected(c, x, "", {}).count() == 0
+
+
+def test_profiles_count_in_narrow_rows(spark, plan_of):
+    df = spark.createDataFrame([("a", None), ("b", None), ("a", None)], "x string, y string")
+    got = precedence.profile(df, [Target("o", "t", "x", "FREE_TEXT", length=30), Target("o", "t", "y", "NAME", length=30)])
+    assert "Expand" not in plan_of(got)  # a row for each distinct count, as wide as all of them
+    told = sorted((r["col"], r["filled"], r["different"], r["longest"], r["masked_different"], r["masked_longest"]) for r in got.collect())
+    assert told == [("x", 3, 2, 1, 1, 11), ("y", 0, 0, None, 0, None)]
+    assert [r["filled"] for r in precedence.profile(df.limit(0), [Target("o", "t", "x", "NAME", length=30)]).collect()] == [0]
