@@ -11,35 +11,71 @@ from opsledger.operators.ranges import running_sum
 from opsledger.shared import dropped, stored
 
 PARTS = 8  # sets of pairs kept side by side before they are written as one
+REACH = 128  # rows of a join an edge, or a pair, up to which closures go several edges at once
+ROWS = 100_000  # that a task of a closure takes, about
+
+
+def spread(df: DataFrame, rows: float, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` to as many tasks as ``rows`` rows need, so that many small rounds don't pay for many empty tasks."""
+    return df.repartition(int(rows // ROWS) + 1, *keys)
+
+
+def strides(e: DataFrame, most: int | None, paths: list[str]) -> tuple[DataFrame, DataFrame, list[int]]:
+    """(up, down, hops) of all pairs at most a stride of edges of ``e`` apart, how many each ``up`` has by strides, and these: powers of two up to that stride.
+
+    The stride is doubled while the join that doubles it has at most REACH rows an edge, which is
+    counted before, and while it is not above ``most``; so the pairs grow with the edges.
+    """
+    hops, stride = stored(e.where("up <> down").withColumn("hops", F.lit(1)), paths), 1
+    size = held = hops.count()
+    while most is None or 2 * stride <= most:
+        far = hops.where(F.col("hops") == stride).select(F.col("up").alias("start"), F.col("down").alias("mid"), F.col("hops").alias("so_far"))
+        ways = spread(hops.select(F.col("up").alias("mid")), held, "mid").groupBy("mid").agg(F.count("*").alias("n"))
+        rows = far.join(ways, "mid").agg(F.sum(F.col("n").cast("double"))).first()[0]
+        if not rows or rows > REACH * size:
+            break
+        on = far.join(hops, F.col("mid") == F.col("up")).where("start <> down").select(F.col("start").alias("up"), "down", (F.col("so_far") + F.col("hops")).alias("hops"))
+        held += rows
+        hops = stored(spread(hops.unionByName(on), held, "up", "down").groupBy("up", "down").agg(F.min("hops").alias("hops")), paths)
+        stride *= 2
+    steps = [2**k for k in range(stride.bit_length())]
+    return hops, stored(spread(hops, held, "up").groupBy("up").agg(*[F.count_if(F.col("hops") <= s).alias(f"n{s}") for s in steps]), paths), steps
 
 
 def closure(edges: DataFrame, roots: DataFrame, depth: int | None = None) -> DataFrame:
     """(root, node, depth): what each of ``roots`` (root) reaches over ``edges`` (up, down), itself at depth 0, with the least number of edges.
 
-    Semi-naive: a round joins only the pairs that the last one found, and keeps those that no
-    round had, so cycles end and diamonds don't multiply: work grows with pairs and edges, not with
-    paths. Edges with a null end and null roots play no part; repeated rows count once. ``depth``,
-    if given, is the greatest.
+    Semi-naive: a round joins only the pairs at the greatest depth that the last one found, and keeps
+    those that no round had, so cycles end and diamonds don't multiply: work grows with pairs and
+    edges, not with paths. A round goes as many edges on as ``strides`` has, or fewer, where its join would
+    have over REACH rows a pair; one edge always goes. Edges with a null end and null roots play no part;
+    repeated rows count once. ``depth``, if given, is the greatest.
     """
     spark, paths = edges.sparkSession, []
-    e = stored(edges.select("up", "down").where("up is not null and down is not null").distinct(), paths)
+    hops, sizes, steps = strides(edges.select("up", "down").where("up is not null and down is not null").distinct(), depth, paths)
     own: list[str] = []
     new = stored(roots.select("root").where("root is not null").distinct().select("root", F.col("root").alias("node"), F.lit(0).alias("depth")), own)
     held, k = [new], 0
-    while (depth is None or k < depth) and not new.isEmpty():
-        k += 1
-        found = new.join(e, F.col("node") == F.col("up")).select("root", F.col("down").alias("node")).distinct()
+    while depth is None or k < depth:
+        last = new.where(F.col("depth") == k)
+        met = last.join(sizes, F.col("node") == F.col("up")).agg(F.count("*").alias("n"), *[F.sum(f"n{s}").alias(f"n{s}") for s in steps]).first()
+        if not met["n"]:
+            break
+        step = max(s for s in steps if s == 1 or met[f"n{s}"] <= REACH * met["n"])
+        top = k + step if depth is None else min(k + step, depth)
+        found = last.select("root", "node").join(hops.where(F.col("hops") <= top - k), F.col("node") == F.col("up")).select("root", F.col("down").alias("node"), "hops")
+        found = spread(found, met[f"n{step}"], "root", "node").groupBy("root", "node").agg((F.min("hops") + k).alias("depth"))
         known = reduce(DataFrame.unionByName, held).select("root", "node")
-        new = stored(found.join(known, ["root", "node"], "left_anti").withColumn("depth", F.lit(k)), own)
+        new = stored(found.join(known, ["root", "node"], "left_anti"), own)
         held.append(new)
+        k = top
         if len(held) > PARTS:
             old, own = own, []
             held = [stored(reduce(DataFrame.unionByName, held), own)]
-            new = held[0].where(F.col("depth") == k)
+            new = held[0]
             dropped(spark, old)
-    out = stored(reduce(DataFrame.unionByName, held))
-    dropped(spark, [*paths, *own])
-    return out
+    dropped(spark, paths)
+    return reduce(DataFrame.unionByName, held)
 
 
 def pre_order(df: DataFrame, key: list[str], parent: list[str], by: list[str]) -> DataFrame:

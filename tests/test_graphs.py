@@ -40,6 +40,28 @@ def test_closures_count_nodes_not_paths(spark):
     assert graphs.closure(ring, spark.createDataFrame([], "root int")).count() == 0
 
 
+def test_long_closures_take_few_rounds(spark, monkeypatch):
+    """A chain of 100 edges with rings and diamonds on it: rounds go several edges at once, and give each node's least depth."""
+    edges = [(k, k + 1) for k in range(100)] + [(k + 5, k) for k in range(0, 90, 10)] + [(k, 1000 + k) for k in range(0, 100, 7)] + [(1000 + k, k + 2) for k in range(0, 100, 7)] + [(3, 3)]
+    made, plain = [], graphs.stored
+    monkeypatch.setattr(graphs, "stored", lambda df, *a: made.append(1) or plain(df, *a))
+    got = graphs.closure(spark.createDataFrame(edges, "up int, down int"), spark.createDataFrame([(0,), (50,)], "root int"))
+    assert {(r["root"], r["node"]): r["depth"] for r in got.collect()} == plain_closure(edges, [0, 50])
+    assert len(made) < 30
+    limited = graphs.closure(spark.createDataFrame(edges, "up int, down int"), spark.createDataFrame([(0,)], "root int"), depth=13)
+    assert {(r["root"], r["node"]): r["depth"] for r in limited.collect()} == {k: v for k, v in plain_closure(edges, [0]).items() if v <= 13}
+
+
+@pytest.mark.parametrize("reach", [0, 3])
+def test_closures_where_strides_are_short(spark, monkeypatch, reach):
+    """Hubs whose doubled edges would be too many: the rest goes edge by edge, with the same result."""
+    rng = random.Random(reach)
+    edges = [(0, k) for k in range(1, 9)] + [(k, 9) for k in range(1, 9)] + [(9, k) for k in range(10, 40)] + [(rng.randrange(40), rng.randrange(60)) for _ in range(20)]
+    monkeypatch.setattr(graphs, "REACH", reach)
+    got = graphs.closure(spark.createDataFrame(edges, "up int, down int"), spark.createDataFrame([(0,), (9,)], "root int"))
+    assert {(r["root"], r["node"]): r["depth"] for r in got.collect()} == plain_closure(edges, [0, 9])
+
+
 def plain_order(rows):
     kids = {}
     for key, up, by in rows:
