@@ -8,8 +8,8 @@ that remains, with the counts of each length traced back.
 
 from __future__ import annotations
 
+import functools
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -30,7 +30,14 @@ BATCH = 3_000_000  # characters that are encoded together, about
 
 
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"  # the file's own pre-tokens
-PLAIN = re.compile("[^\\x01-\\x0a\\x0c-\\x1b\\x20-\\x7f\\xa1-\\xff]|<\\|")  # not in texts whose words can be told apart without the library
+PLAIN = bytes([*range(0x01, 0x0B), *range(0x0C, 0x1C), *range(0x20, 0x80), *range(0xA1, 0x100)])  # Latin-1 of texts whose words can be told apart without the library
+
+
+def plain(text: str) -> bool:
+    try:
+        return not text.encode("latin-1").translate(None, PLAIN) and "<|" not in text
+    except UnicodeEncodeError:
+        return False
 
 
 def segments(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -47,21 +54,36 @@ class Ids:
 
     def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        from tokenizers import normalizers, pre_tokenizers
+
+        self.path = path
+        # plain words are normal and pre-tokens already, so only their bytes are left to be told
+        self.merger = self._loaded()
+        self.merger.normalizer = normalizers.Sequence([])
+        self.merger.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocab = self.merger.get_vocab(with_added_tokens=True)
         self.last = np.zeros(max(vocab.values()) + 1, bool)
         self.last[[k for x, k in vocab.items() if x.endswith("</w>")]] = True
         self.seen = Recent(remembered)
 
+    def _loaded(self):
+        from tokenizers import Tokenizer
+
+        out = Tokenizer.from_file(self.path)
+        out.no_truncation()
+        out.no_padding()
+        return out
+
+    @functools.cached_property
+    def tokenizer(self):
+        """The file's own, for texts that go to it whole."""
+        return self._loaded()
+
     def words(self, words: list[str]) -> None:
         missing = self.seen.absent(words)
         for at in range(0, len(missing), 2000):
             part = missing[at : at + 2000]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.merger.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             stops = ((np.flatnonzero(self.last[ids]) + 1) * 4).tolist()
             b = ids.tobytes()
             for w, start, stop in zip(part, [0, *stops[:-1]], stops, strict=True):
@@ -70,15 +92,16 @@ class Ids:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, little-endian."""
         out: list[bytes | None] = [None] * len(texts)
-        odd = [k for k, x in enumerate(texts) if PLAIN.search(x)]
-        for k, e in zip(odd, self.tokenizer.encode_batch([texts[k] for k in odd], add_special_tokens=False), strict=True):
-            out[k] = np.array(e.ids, "<u4").tobytes()
-        plain = [k for k in range(len(texts)) if out[k] is None]
-        if not plain:
+        odd = [k for k, x in enumerate(texts) if not plain(x)]
+        if odd:
+            for k, e in zip(odd, self.tokenizer.encode_batch([texts[k] for k in odd], add_special_tokens=False), strict=True):
+                out[k] = np.array(e.ids, "<u4").tobytes()
+        rest = [k for k in range(len(texts)) if out[k] is None]
+        if not rest:
             return out
-        cut = pc.split_pattern(pa.array([texts[k].lower() for k in plain], pa.large_string()), " ")
+        cut = pc.split_pattern(pa.array([texts[k].lower() for k in rest], pa.large_string()), " ")
         chunks = cut.values.dictionary_encode()
-        parts = pc.split_pattern(pc.replace_substring_regex(pc.replace_substring_regex(chunks.dictionary, rf"({WORD})", "\\1\0"), r"\s+", ""), "\0")
+        parts = pc.split_pattern(pc.replace_substring_regex(pc.replace_substring_regex(chunks.dictionary, WORD, "\\0\0"), r"\s+", ""), "\0")
         words = parts.values.dictionary_encode()
         names = words.dictionary.to_pylist()
         self.words([w for w in names if w])
@@ -95,7 +118,7 @@ class Ids:
         flat, sums = flat[segments(start[c], n[c])], np.concatenate(([0], np.cumsum(n[c])))
         bounds = sums[cut.offsets.to_numpy()] * 4
         b = flat.tobytes()
-        for k, x, y in zip(plain, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        for k, x, y in zip(rest, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             out[k] = b[x:y]
         return out
 

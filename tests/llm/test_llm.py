@@ -1,6 +1,7 @@
 """The training-data operators against brute force, on the small tables and on odd rows."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -222,6 +223,20 @@ def test_packing(both):
         assert at <= 2048
 
 
+def test_plain_words_need_no_pre_tokens_of_the_library():
+    """Latin-1 words are told apart once, by one pass; which texts are plain is told by bytes."""
+    old = re.compile("[^\\x01-\\x0a\\x0c-\\x1b\\x20-\\x7f\\xa1-\\xff]|<\\|")
+    assert all(packing.plain(x) == (not old.search(x)) for x in [*map(chr, range(0x300)), "", "a<|b", "a< |b", "\ud800", "\U0001f600", "a\u0300"])
+    tokenizer, ids = Tokenizer.from_file(P.path("word_bpe_49k.json")), packing.Ids(P.path("word_bpe_49k.json"))
+    rng = random.Random(4)
+    letters = [chr(k) for k in range(1, 0x100) if packing.plain(chr(k))]
+    texts = ["".join(rng.choice(letters if rng.random() < 0.5 else "abcSTRElmdv'  .9") for _ in range(rng.randrange(60))) for _ in range(3000)]
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(b, "<u4").tolist() for b in ids.encode(texts)] == want
+    assert "tokenizer" not in vars(ids)  # no text went to the library whole
+
+
+
 def test_ids_of_texts_with_control_characters():
     tokenizer, ids = Tokenizer.from_file(P.path("word_bpe_49k.json")), packing.Ids(P.path("word_bpe_49k.json"))
     marks = [*map(chr, range(256))]
