@@ -10,7 +10,7 @@ whose five-word shingles are alike enough are kept.
 
 A seed's first document need not be the one that has the passage. Where the seeds of a document
 go on from one first document to another, or to another place in it, the seeds before and after
-the crossing are joined in pairs to the first document that has the pair, so passages that
+the crossing, all within MARGIN words, are joined in pairs to the first document that has the pair, so passages that
 earlier documents have in parts only are met too. And windows of LEAST words all of whose seeds are in
 several documents, and which no equal run of an alignment holds, are joined to the first document
 that has the whole window, and runs of them that no passage holds are passages too: every window
@@ -41,7 +41,7 @@ SIMILAR = 0.8
 GAP = 0.1  # of a word's score, for each word of a gap in either document
 MARGIN = 64  # words beyond a chain's ends that the alignment may take in; twice as many beyond a lone match
 SHIFT = 8  # words by which edits may move a run's place in its source
-RUNS = 3  # runs after one with which its seeds are paired
+DOCS = 500  # documents whose seeds are paired at once
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _M = np.uint64(0x9E3779B97F4A7C15)
 CACHE = 100_000
@@ -118,25 +118,35 @@ def windows(h: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, w
 
 
-def crossings(pos: np.ndarray, h: np.ndarray, src: np.ndarray, spos: np.ndarray) -> list[tuple[int, int, int]]:
+def near(pos: np.ndarray, h: np.ndarray, src: np.ndarray, spos: np.ndarray, whole: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, first place, second place) of pairs of a document's seeds, in order of place, whose links belong to different runs.
 
     A run's links have one source and about one distance to it. The last two seeds of a run are
-    paired with the first two of each of the next RUNS that begin within MARGIN words.
+    paired with the first two of each run that begins within MARGIN words of its end, and, if ``whole``, all
+    seeds of different runs within MARGIN words of each other.
     """
     off = spos - pos
-    new = np.flatnonzero((src[1:] != src[:-1]) | (np.abs(off[1:] - off[:-1]) > SHIFT)) + 1
-    begin, end = np.concatenate(([0], new)), np.concatenate((new, [len(pos)]))
-    out = []
-    for i in range(len(begin)):
-        for j in range(i + 1, min(i + 1 + RUNS, len(begin))):
-            if pos[begin[j]] - pos[end[i] - 1] > MARGIN:
-                break
-            for a in range(max(begin[i], end[i] - 2), end[i]):
-                for b in range(begin[j], min(begin[j] + 2, end[j])):
-                    pair = grams(np.array([h[a], h[b]], np.int64).view(np.uint64), 2)
-                    out.append((int(pair.view(np.int64)[0]), int(pos[a]), int(pos[b])))
-    return out
+    run = np.concatenate(([0], np.cumsum((src[1:] != src[:-1]) | (np.abs(off[1:] - off[:-1]) > SHIFT))))[: len(pos)]
+    begin, end = np.searchsorted(run, run, "left"), np.searchsorted(run, run, "right") - 1
+    at = np.arange(len(pos))
+    last, first = end - at < 2, at - begin < 2
+    left, right = [], []
+    for s in range(1, len(pos)):
+        ok = last[:-s] & first[s:] & (pos[begin[s:]] - pos[end[:-s]] <= MARGIN)
+        if whole:
+            ok |= pos[s:] - pos[:-s] <= MARGIN
+        k = np.flatnonzero(ok & (run[s:] != run[:-s]))
+        if not len(k):  # seeds that are further apart enclose such pairs
+            break
+        left.append(k), right.append(k + s)
+    a, b = (np.concatenate([np.zeros(0, np.int64), *z]) for z in (left, right))
+    g = h.view(np.uint64)[a] * _M + h.view(np.uint64)[b]
+    return ((g ^ (g >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)).view(np.int64), pos[a], pos[b]
+
+
+def crossings(pos: np.ndarray, h: np.ndarray, src: np.ndarray, spos: np.ndarray, whole: bool = False) -> list[tuple[int, int, int]]:
+    """The pairs of ``near`` as tuples."""
+    return list(zip(*(v.tolist() for v in near(pos, h, src, spos, whole)), strict=True))
 
 
 def chains(x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int, int]]:
@@ -290,14 +300,19 @@ def _seeded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict({"h": np.concatenate(hs), "d": np.concatenate(ds), "pos": np.concatenate(at).astype(np.int32), "lead": np.concatenate(leads)})
 
 
-@F.pandas_udf(ArrayType(StructType([StructField("pair", LongType()), StructField("pos", IntegerType()), StructField("pos2", IntegerType())])))
-def _crossings(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for s in parts:
-        out = []
-        for rows in s:
-            rows = sorted((r["pos"], r["h"], r["src"], r["spos"]) for r in rows)
-            out.append([{"pair": k, "pos": a, "pos2": b} for k, a, b in crossings(*np.array(rows, np.int64).T)])
-        yield pd.Series(out)
+def _crossed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(d, pair, pos, pos2) of the pairs of each document's seeds; DOCS documents at once, whose places are set wide apart."""
+    for p in parts:
+        for at in range(0, p.num_rows, DOCS):
+            part = p.slice(at, DOCS)
+            own, ds = part["own"], part["d"].to_numpy()
+            n = own.value_lengths().to_numpy()
+            pos, h, src, spos = (v.to_numpy(zero_copy_only=False).astype(np.int64) for v in own.flatten().flatten())
+            pos += np.repeat(np.arange(len(n)), n) << 32
+            order = np.argsort(pos, kind="stable")
+            pair, a, b = near(pos[order], h[order], src[order], spos[order], True)
+            if len(pair):
+                yield pa.RecordBatch.from_pydict({"d": ds[a >> 32], "pair": pair, "pos": (a & 0xFFFFFFFF).astype(np.int32), "pos2": (b & 0xFFFFFFFF).astype(np.int32)})
 
 
 @F.pandas_udf(ArrayType(StructType([StructField(c, IntegerType()) for c in ("a", "b", "c", "e")])))
@@ -410,7 +425,7 @@ def passages(docs: DataFrame, key: str, paths: list[str] | None = None) -> DataF
     docs = docs.where("text is not null").select(F.col(key).cast("long").alias("d"), "text")
     found = stored(docs.mapInArrow(_seeded, "h long, d long, pos int, lead boolean"), own)
     links = stored(found.select("h", "d", "pos").join(_first(found.where("lead")), "h").select("h", "d", "pos", "src", "spos"), own)
-    crossed = stored(links.groupBy("d").agg(F.collect_list(F.struct("pos", "h", "src", "spos")).alias("own")).select("d", F.explode(_crossings("own")).alias("r")).select("d", "r.*"), own)
+    crossed = stored(links.groupBy("d").agg(F.collect_list(F.struct("pos", "h", "src", "spos")).alias("own")).select("d", "own").mapInArrow(_crossed, "d long, pair long, pos int, pos2 int"), own)
     begun = crossed.groupBy("pair").agg(F.min(F.struct("d", "pos", "pos2")).alias("first"), F.max("d").alias("m")).where("first.d < m")
     begun = stored(begun.select("pair", F.col("first.d").alias("src"), F.col("first.pos").alias("spos"), F.col("first.pos2").alias("spos2")), own)
     both = crossed.join(begun, "pair").where("d <> src").select("d", "src", F.explode(F.array(F.struct("pos", "spos"), F.struct(F.col("pos2").alias("pos"), F.col("spos2").alias("spos")))).alias("r")).select("d", "r.pos", "src", "r.spos")

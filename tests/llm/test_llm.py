@@ -651,6 +651,23 @@ def test_crossings():
     assert chaining.crossings(*np.array(run(0, 9, 1, 3), np.int64).T) == []
 
 
+def test_crossings_of_many_short_runs():
+    """All seeds of different runs within MARGIN words are paired, however many runs lie between them and whatever their places in them."""
+    rng = random.Random(5)
+    for k in range(40):
+        pos = sorted(rng.sample(range(400), 60))
+        rows = [(p, 7000 + p, src := rng.choice([1, 1, 1, 2, 3] if k % 2 else range(60)), p + 100 * src) for p in pos]
+        run = [0]
+        for a, b in zip(rows, rows[1:]):
+            run.append(run[-1] + (a[2] != b[2]))
+        want = {(a[0], b[0]) for i, a in enumerate(rows) for j, b in enumerate(rows) if i < j and run[i] != run[j] and b[0] - a[0] <= chaining.MARGIN}
+        got = {(a, b) for _, a, b in chaining.crossings(*np.array(rows, np.int64).T, whole=True)}
+        assert want <= got
+        ends = {(a[0], b[0]) for i, a in enumerate(rows) for j, b in enumerate(rows) if i < j and run[i] != run[j] and run[i + 1 : j].count(run[i]) < 2 and run[i:j].count(run[j]) < 2 and rows[run.index(run[j])][0] - max(r[0] for r, n in zip(rows, run) if n == run[i]) <= chaining.MARGIN}
+        assert got == want | ends
+        assert {(a, b) for _, a, b in chaining.crossings(*np.array(rows, np.int64).T)} == ends
+
+
 def test_one_of_each_group_stays(odd, docs):
     named = odd.withColumn("id", F.lit("mine")).withColumn("place", F.lit("too"))
     kept = simhash.keep_one(named)
