@@ -4,20 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsledger.operators.ranges import running_sum
 from opsledger.shared import dropped, stored
 
-PARTS = 8  # sets of pairs kept side by side before they are written as one
-REACH = 128  # rows of a join an edge, or a pair, up to which closures go several edges at once
-ROWS = 100_000  # that a task of a closure takes, about
-
-
-def spread(df: DataFrame, rows: float, *keys: str) -> DataFrame:
-    """``df`` dealt by ``keys`` to as many tasks as ``rows`` rows need, so that many small rounds don't pay for many empty tasks."""
-    return df.repartition(int(rows // ROWS) + 1, *keys)
+PARTS = 8  # tables of sets kept side by side before they are written as one
+REACH = 16  # rows of a join an edge, or a set, up to which closures go several edges at once
 
 
 def strides(e: DataFrame, most: int | None, paths: list[str]) -> tuple[DataFrame, DataFrame, list[int]]:
@@ -26,20 +20,28 @@ def strides(e: DataFrame, most: int | None, paths: list[str]) -> tuple[DataFrame
     The stride is doubled while the join that doubles it has at most REACH rows an edge, which is
     counted before, and while it is not above ``most``; so the pairs grow with the edges.
     """
-    hops, stride = stored(e.where("up <> down").withColumn("hops", F.lit(1)), paths), 1
-    size = held = hops.count()
+    hops, stride = stored(e.withColumn("hops", F.lit(1)), paths), 1
+    size = hops.count()
     while most is None or 2 * stride <= most:
         far = hops.where(F.col("hops") == stride).select(F.col("up").alias("start"), F.col("down").alias("mid"), F.col("hops").alias("so_far"))
-        ways = spread(hops.select(F.col("up").alias("mid")), held, "mid").groupBy("mid").agg(F.count("*").alias("n"))
+        ways = hops.groupBy(F.col("up").alias("mid")).agg(F.count("*").alias("n"))
         rows = far.join(ways, "mid").agg(F.sum(F.col("n").cast("double"))).first()[0]
         if not rows or rows > REACH * size:
             break
         on = far.join(hops, F.col("mid") == F.col("up")).where("start <> down").select(F.col("start").alias("up"), "down", (F.col("so_far") + F.col("hops")).alias("hops"))
-        held += rows
-        hops = stored(spread(hops.unionByName(on), held, "up", "down").groupBy("up", "down").agg(F.min("hops").alias("hops")), paths)
+        hops = stored(hops.unionByName(on).groupBy("up", "down").agg(F.min("hops").alias("hops")), paths)
         stride *= 2
     steps = [2**k for k in range(stride.bit_length())]
-    return hops, stored(spread(hops, held, "up").groupBy("up").agg(*[F.count_if(F.col("hops") <= s).alias(f"n{s}") for s in steps]), paths), steps
+    return hops, stored(hops.groupBy("up").agg(*[F.count_if(F.col("hops") <= s).alias(f"n{s}") for s in steps]), paths), steps
+
+
+def first_met(found: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+    """``found`` (node, block, depth, bits), each bit of a node and block at its least depth only, and not if ``seen`` (node, block, seen) has it."""
+    out = found.repartition("node", "block").groupBy("node", "block", "depth").agg(F.bit_or("bits").alias("bits"))
+    out = out.withColumn("seen", F.lit(0).cast("long")) if seen is None else out.join(seen, ["node", "block"], "left")
+    before = F.bit_or("bits").over(Window.partitionBy("node", "block").orderBy("depth").rowsBetween(Window.unboundedPreceding, -1))
+    out = out.withColumn("had", F.coalesce("seen", F.lit(0)).bitwiseOR(F.coalesce(before, F.lit(0))))
+    return out.select("node", "block", "depth", F.col("bits").bitwiseAND(F.bitwise_not("had")).alias("bits")).where("bits <> 0")
 
 
 def closure(edges: DataFrame, roots: DataFrame, depth: int | None = None) -> DataFrame:
@@ -47,15 +49,23 @@ def closure(edges: DataFrame, roots: DataFrame, depth: int | None = None) -> Dat
 
     Semi-naive: a round joins only the pairs at the greatest depth that the last one found, and keeps
     those that no round had, so cycles end and diamonds don't multiply: work grows with pairs and
-    edges, not with paths. A round goes as many edges on as ``strides`` has, or fewer, where its join would
-    have over REACH rows a pair; one edge always goes. Edges with a null end and null roots play no part;
+    edges, not with paths. Up to 64 roots, next to each other in their order, are the bits of one number, so
+    that what they have in common is stored and shuffled once. Nodes without edges of their own are left
+    to the end. A round goes as many edges on as ``strides`` has, or fewer, where its join would
+    have over REACH rows a set; one edge always goes. Edges with a null end and null roots play no part;
     repeated rows count once. ``depth``, if given, is the greatest.
     """
     spark, paths = edges.sparkSession, []
-    hops, sizes, steps = strides(edges.select("up", "down").where("up is not null and down is not null").distinct(), depth, paths)
     own: list[str] = []
-    new = stored(roots.select("root").where("root is not null").distinct().select("root", F.col("root").alias("node"), F.lit(0).alias("depth")), own)
-    held, k = [new], 0
+    names = roots.select("root").where("root is not null").distinct().orderBy("root").withColumn("at", F.monotonically_increasing_id())
+    names = stored(names.select("root", F.expr("shiftright(at, 6)").alias("block"), F.expr("int(at & 63)").alias("bit")), own)
+    e = stored(edges.select("up", "down").where("up <> down").distinct(), paths)
+    e = e.join(e.select(F.col("down").alias("up")).unionByName(names.select(F.col("root").alias("up"))), "up", "left_semi")  # others begin at nodes that nothing leads to
+    going = e.select(F.col("up").alias("down"))
+    ends = stored(e.join(going, "down", "left_anti").select("up", "down", F.count("*").over(Window.partitionBy("down")).alias("ways")), own)
+    hops, sizes, steps = strides(e.join(going, "down", "left_semi").select("up", "down"), depth, paths)
+    new = stored(names.select(F.col("root").alias("node"), "block", F.lit(0).alias("depth"), F.expr("shiftleft(1L, bit)").alias("bits")), own)
+    held, k, parts = [new], 0, []
     while depth is None or k < depth:
         last = new.where(F.col("depth") == k)
         met = last.join(sizes, F.col("node") == F.col("up")).agg(F.count("*").alias("n"), *[F.sum(f"n{s}").alias(f"n{s}") for s in steps]).first()
@@ -63,19 +73,24 @@ def closure(edges: DataFrame, roots: DataFrame, depth: int | None = None) -> Dat
             break
         step = max(s for s in steps if s == 1 or met[f"n{s}"] <= REACH * met["n"])
         top = k + step if depth is None else min(k + step, depth)
-        found = last.select("root", "node").join(hops.where(F.col("hops") <= top - k), F.col("node") == F.col("up")).select("root", F.col("down").alias("node"), "hops")
-        found = spread(found, met[f"n{step}"], "root", "node").groupBy("root", "node").agg((F.min("hops") + k).alias("depth"))
-        known = reduce(DataFrame.unionByName, held).select("root", "node")
-        new = stored(found.join(known, ["root", "node"], "left_anti"), own)
+        found = last.join(hops.where(F.col("hops") <= top - k), F.col("node") == F.col("up")).select(F.col("down").alias("node"), "block", (F.col("hops") + k).alias("depth"), "bits")
+        seen = reduce(DataFrame.unionByName, held).groupBy("node", "block").agg(F.bit_or("bits").alias("seen"))
+        new = stored(first_met(found, seen), parts)
         held.append(new)
         k = top
         if len(held) > PARTS:
-            old, own = own, []
-            held = [stored(reduce(DataFrame.unionByName, held), own)]
+            old, parts = parts, []
+            held = [stored(reduce(DataFrame.unionByName, held), parts)]
             new = held[0]
             dropped(spark, old)
     dropped(spark, paths)
-    return reduce(DataFrame.unionByName, held)
+    sets = reduce(DataFrame.unionByName, held)
+    on = sets if depth is None else sets.where(F.col("depth") < depth)
+    last = on.join(ends, F.col("node") == F.col("up")).select("ways", F.col("down").alias("node"), "block", (F.col("depth") + 1).alias("depth"), "bits")
+    last = last.where("ways = 1").drop("ways").unionByName(first_met(last.where("ways > 1")))  # what one edge leads to is met once
+    blocks = names.groupBy("block").agg(F.transform(F.sort_array(F.collect_list(F.struct("bit", "root"))), lambda x: x["root"]).alias("roots"))
+    pairs = sets.unionByName(last).join(blocks, "block").select("node", "depth", "bits", F.posexplode("roots").alias("bit", "root"))
+    return pairs.where("getbit(bits, bit) = 1").select("root", "node", "depth")
 
 
 def pre_order(df: DataFrame, key: list[str], parent: list[str], by: list[str]) -> DataFrame:

@@ -62,6 +62,33 @@ def test_closures_where_strides_are_short(spark, monkeypatch, reach):
     assert {(r["root"], r["node"]): r["depth"] for r in got.collect()} == plain_closure(edges, [0, 9])
 
 
+def test_closures_keep_once_what_roots_share(spark, monkeypatch):
+    """130 roots lead to one chain that 300 nodes end: the rows of all tables on the way grow with nodes and edges, not with the 43,160 pairs."""
+    edges = [(1000 + k, 0) for k in range(130)] + [(k, k + 1) for k in range(30)] + [(30, 2000 + k) for k in range(300)]
+    rows, plain = [], graphs.stored
+
+    def counted(df, *a):
+        out = plain(df, *a)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(graphs, "stored", counted)
+    got = graphs.closure(spark.createDataFrame(edges, "up int, down int"), spark.createDataFrame([(1000 + k,) for k in range(130)], "root int"))
+    assert {(r["root"], r["node"]): r["depth"] for r in got.collect()} == plain_closure(edges, range(1000, 1130))
+    assert got.count() == 43_160 and sum(rows) < 12_000
+
+
+@pytest.mark.parametrize("depth", [None, 0, 1, 5])
+def test_closures_of_more_roots_than_a_set_holds(spark, depth):
+    """150 of 200 nodes are roots, among them some on cycles, some without edges of their own, some without any; all pairs once."""
+    rng = random.Random(5)
+    edges = [(rng.randrange(160), rng.randrange(200)) for _ in range(220)]
+    roots = rng.sample(range(200), 149) + [-7]
+    got = graphs.closure(spark.createDataFrame([(f"n{a}", f"n{b}") for a, b in edges], "up string, down string"), spark.createDataFrame([(f"n{r}",) for r in roots], "root string"), depth).collect()
+    want = {(f"n{a}", f"n{b}"): k for (a, b), k in plain_closure(edges, roots).items() if depth is None or k <= depth}
+    assert {(r["root"], r["node"]): r["depth"] for r in got} == want and len(got) == len(want)
+
+
 def plain_order(rows):
     kids = {}
     for key, up, by in rows:
